@@ -121,12 +121,6 @@ def _event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- queries -----------------------------------------------------------------------
 
 
-def _shown(df: DataFrame) -> DataFrame:
-    """Floating-point results at six decimals, as both engines print them alike."""
-    numbers = [name for name, kind in df.dtypes if kind == "double"]
-    return df.withColumns({n: F.round(n, 6).cast("decimal(18,6)") for n in numbers})
-
-
 def _scan_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _region_rows(spark, sf_dir, period=True)
 
@@ -224,7 +218,7 @@ def _item_detail(offset_days: int, table: bool = False):
 
 def _on_rows(plan: Callable[[DataFrame], DataFrame], rows: Callable[..., DataFrame], **kwargs):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _shown(plan(rows(spark, sf_dir, **kwargs)))
+        return plan(rows(spark, sf_dir, **kwargs))
 
     return run
 
@@ -351,7 +345,11 @@ def _detail_sql(offset_days: int, allowed: str) -> str:
 
 
 def _hours_sql(rows: str, units: int = 100) -> str:
-    """Common tables: rows r, user-days d, team-days s with exact sums of whole units."""
+    """Common tables: rows r, user-days d and u, team-days s, flags f, counts c.
+
+    ``t`` is a whole number of units of 1/``units`` minute, so sums are exact; hours
+    are made from exact sums, so their last bit does not depend on row order.
+    """
     return f"""
     WITH r AS ({rows}),
     d AS (SELECT nap, team, usr,
@@ -359,13 +357,17 @@ def _hours_sql(rows: str, units: int = 100) -> str:
           FROM r GROUP BY nap, team, usr),
     u AS (SELECT *, CAST(minutes AS double) / 60 AS hours,
                  CAST(minutes * {units} AS hugeint) AS t FROM d),
-    s AS (SELECT nap, team, CAST(count(*) AS hugeint) AS n, count(t) AS known,
-                 CAST(sum(t) AS hugeint) AS total, CAST(sum(t * t) AS hugeint) AS squares,
-                 CASE WHEN count(hours) = count(*) THEN avg(hours) END AS mean_hours,
-                 CASE WHEN count(hours) = count(*) THEN stddev_samp(hours) END AS sd_hours
+    g AS (SELECT nap, team, CAST(count(*) AS hugeint) AS n,
+                 CASE WHEN count(t) = count(*) THEN CAST(sum(t) AS hugeint) END AS total,
+                 CASE WHEN count(t) = count(*) THEN CAST(sum(t * t) AS hugeint) END AS squares
           FROM u GROUP BY nap, team),
+    s AS (SELECT *, CAST(total AS double) / CAST(n AS double) / {60.0 * units} AS mean_hours,
+                 CASE WHEN n > 1 THEN
+                      sqrt(CAST(n * squares - total * total AS double)
+                           / CAST(n * (n - 1) AS double)) / {60.0 * units} END AS sd_hours
+          FROM g),
     f AS (SELECT u.nap, u.team, u.usr, u.hours, s.mean_hours, s.sd_hours,
-                 CASE WHEN s.known = s.n AND s.n > 1 THEN
+                 CASE WHEN s.total IS NOT NULL AND s.n > 1 THEN
                       s.total - s.n * u.t > 0
                       AND (s.n - 1) * (s.total - s.n * u.t) * (s.total - s.n * u.t)
                           > s.n * (s.n * s.squares - s.total * s.total) END AS flag
@@ -376,12 +378,9 @@ def _hours_sql(rows: str, units: int = 100) -> str:
           FROM f GROUP BY team, usr)"""
 
 
-def _six(column: str, name: str) -> str:
-    return f'CAST(round({column}, 6) AS decimal(18,6)) AS "{name}"'
-
-
 _KEYS_SQL = 'nap AS "NAP", team AS "F_KISCSOPORT", usr AS "F_NEV"'
-_STATS_SQL = f"{_six('mean_hours', 'MUNKAORA_ATLAG')}, {_six('sd_hours', 'MUNKAORA_SZORAS')}"
+_HOURS_SQL = 'hours AS "MUNKAORA"'
+_STATS_SQL = 'mean_hours AS "MUNKAORA_ATLAG", sd_hours AS "MUNKAORA_SZORAS"'
 
 
 def _rows_sql(rows: str) -> str:
@@ -390,7 +389,7 @@ def _rows_sql(rows: str) -> str:
 
 def _flags_sql(rows: str) -> str:
     return (
-        f"{_hours_sql(rows)} SELECT {_KEYS_SQL}, {_six('hours', 'MUNKAORA')}, {_STATS_SQL}, "
+        f"{_hours_sql(rows)} SELECT {_KEYS_SQL}, {_HOURS_SQL}, {_STATS_SQL}, "
         'flag AS "GYANUS_NAP" FROM f'
     )
 
@@ -448,11 +447,11 @@ def oracle_sql() -> dict[str, str]:
         "item_detail_d3": _detail_sql(3, _ALLOW_LIST_SQL),
         "item_detail_user_table": _detail_sql(1, _ALLOW_TABLE_SQL),
         "user_day_hours": f"""{_hours_sql(_REGION_SQL)}
-            SELECT {_KEYS_SQL}, {_six('hours', 'MUNKAORA')} FROM u""",
+            SELECT {_KEYS_SQL}, {_HOURS_SQL} FROM u""",
         "group_day_stats": f"""{_hours_sql(_REGION_SQL)}
             SELECT nap AS "NAP", team AS "F_KISCSOPORT", {_STATS_SQL} FROM s""",
         "user_day_with_stats": f"""{_hours_sql(_REGION_SQL)}
-            SELECT {_KEYS_SQL}, {_six('hours', 'MUNKAORA')}, {_STATS_SQL} FROM f""",
+            SELECT {_KEYS_SQL}, {_HOURS_SQL}, {_STATS_SQL} FROM f""",
         "suspicious_flag": _flags_sql(_REGION_SQL),
         "suspicious_days": _days_sql(_status_sql()),
         "suspicious_days_period": _days_sql(_PERIOD_SQL),
