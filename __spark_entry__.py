@@ -11,14 +11,13 @@ The tables stand in for the inputs of the library:
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import shiftgauge as sg
-from shiftgauge.checkpoints import checkpoint_folder
+from shiftgauge.checkpoints import scratch_path
 from shiftgauge.functions.days import on_day
 from shiftgauge.functions.text import number_to_text
 from shiftgauge.operators.filters import in_users
@@ -93,7 +92,7 @@ def _region_rows(spark: SparkSession, sf_dir: str, period: bool = False) -> Data
             F.to_date("l_shipdate").alias(DAY),
             F.col("n_regionkey").cast("string").alias(TEAM),
             F.col("l_suppkey").cast("string").alias(USER),
-            F.col("l_quantity").cast("decimal(18,2)").alias(MINUTES),
+            F.col("l_quantity").cast("bigint").alias(MINUTES),
         )
     )
 
@@ -125,20 +124,16 @@ def _scan_period(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _region_rows(spark, sf_dir, period=True)
 
 
-def _scratch(spark: SparkSession) -> str:
-    return f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
-
-
 def _scan_period_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Period rows of the whole events table, written as CSV and read by the reader."""
-    root = _scratch(spark)
+    root = scratch_path(spark)
     _event_rows(spark, sf_dir).write.csv(period_path(root, "2024H1"), header=True)
     return sg.read_period(spark, root, "2024H1")
 
 
 def _scan_period_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One half-year out of a table partitioned by half-year, written from all lines."""
-    path = f"{_scratch(spark)}/rows"
+    path = f"{scratch_path(spark)}/rows"
     half = F.when(F.month(DAY) <= 6, "H1").otherwise("H2")
     rows = _status_rows(spark, sf_dir).select(DAY, TEAM, USER, MINUTES)
     rows = rows.withColumn("period", F.concat(F.year(DAY).cast("string"), half))
@@ -241,7 +236,7 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report as read back from the written file: every column is text."""
     days = sg.suspicious_days(_region_rows(spark, sf_dir, period=True))
-    path = sg.write_report(days, _scratch(spark), PERIOD)
+    path = sg.write_report(days, scratch_path(spark), PERIOD)
     return spark.read.csv(path, header=True)
 
 
@@ -309,7 +304,7 @@ _ALLOW_TABLE_SQL = (
 
 _REGION_SQL = """
     SELECT CAST(l_shipdate AS date) AS nap, CAST(n_regionkey AS varchar) AS team,
-           CAST(l_suppkey AS varchar) AS usr, CAST(l_quantity AS decimal(18,2)) AS minutes
+           CAST(l_suppkey AS varchar) AS usr, CAST(l_quantity AS bigint) AS minutes
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
     JOIN nation ON s_nationkey = n_nationkey"""
 
@@ -344,7 +339,7 @@ def _detail_sql(offset_days: int, allowed: str) -> str:
       AND a.user_azon IN ({allowed})"""
 
 
-def _hours_sql(rows: str, units: int = 100) -> str:
+def _hours_sql(rows: str, units: int = 1) -> str:
     """Common tables: rows r, user-days d and u, team-days s, flags f, counts c.
 
     ``t`` is a whole number of units of 1/``units`` minute, so sums are exact; hours
@@ -387,16 +382,16 @@ def _rows_sql(rows: str) -> str:
     return f'SELECT {_KEYS_SQL}, minutes AS "CKLIDO" FROM ({rows})'
 
 
-def _flags_sql(rows: str) -> str:
+def _flags_sql(rows: str, units: int = 1) -> str:
     return (
-        f"{_hours_sql(rows)} SELECT {_KEYS_SQL}, {_HOURS_SQL}, {_STATS_SQL}, "
+        f"{_hours_sql(rows, units)} SELECT {_KEYS_SQL}, {_HOURS_SQL}, {_STATS_SQL}, "
         'flag AS "GYANUS_NAP" FROM f'
     )
 
 
-def _days_sql(rows: str) -> str:
+def _days_sql(rows: str, units: int = 1) -> str:
     return (
-        f'{_hours_sql(rows)} SELECT team AS "F_KISCSOPORT", usr AS "F_NEV", '
+        f'{_hours_sql(rows, units)} SELECT team AS "F_KISCSOPORT", usr AS "F_NEV", '
         'days AS "GYANUS_NAPO_DB" FROM c'
     )
 
@@ -459,8 +454,8 @@ def oracle_sql() -> dict[str, str]:
         "suspicious_days_missing": _days_sql(
             _status_sql(minutes=f"CASE WHEN NOT ({lost}) THEN CAST(l_quantity AS bigint) END")
         ),
-        "suspicious_days_events": _days_sql(_EVENTS_SQL),
-        "suspicious_flag_events": _flags_sql(_EVENTS_SQL),
+        "suspicious_days_events": _days_sql(_EVENTS_SQL, units=100),
+        "suspicious_flag_events": _flags_sql(_EVENTS_SQL, units=100),
         "report": f"""{_hours_sql(_status_sql())}
             SELECT {_NUMBER_SQL} AS row_no, team AS "F_KISCSOPORT", usr AS "F_NEV",
                    days AS "GYANUS_NAPO_DB" FROM c""",

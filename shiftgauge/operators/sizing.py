@@ -20,7 +20,8 @@ def _width(field: T.StructField) -> Column:
         return F.lit(8) + F.coalesce(F.octet_length(column), F.lit(0))
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
         raise TypeError(f"cannot measure nested column {field.name}")
-    return F.lit(24)
+    wide = isinstance(field.dataType, T.DecimalType) and field.dataType.precision > 18
+    return F.lit(24 if wide else 8)
 
 
 def payload(df: DataFrame) -> Column:

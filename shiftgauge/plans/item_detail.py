@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shiftgauge.checkpoints import store
 from shiftgauge.functions.days import day_before, on_day
 from shiftgauge.functions.text import number_to_text
 from shiftgauge.operators.filters import in_users
@@ -83,11 +84,13 @@ def processed_items(
     """One row per processed item: user, personnel number, item key, account, time.
 
     ``offset_days=1`` is yesterday, ``3`` the single day three days before ``as_of``.
+    The selected actions are stored, so the log is scanned once although their size
+    decides how they are joined.
     """
     if not isinstance(allow, DataFrame):
         allow = list(allow)
     actions = select_actions(log, allow, as_of, offset_days, status, day_partition, limit_bytes)
-    detail = join_items(actions, select_items(items, direction), limit_bytes=limit_bytes)
+    detail = join_items(store(actions), select_items(items, direction), limit_bytes=limit_bytes)
     detail = join_users(detail, in_users(users, allow, limit_bytes=limit_bytes), limit_bytes)
     account = number_to_text(F.col("ceg_szlaszam"), items.schema["ceg_szlaszam"].dataType)
     return detail.select(

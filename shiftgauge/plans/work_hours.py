@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shiftgauge.checkpoints import cut
+from shiftgauge.checkpoints import cut, store
 from shiftgauge.functions import threshold
 from shiftgauge.functions.strict import strict_avg, strict_stddev, strict_sum
 from shiftgauge.operators.members import LARGE_SHARE, attach_to_members
@@ -121,10 +121,10 @@ def _with_team(rows: DataFrame, limit_bytes: int, large_share: int) -> DataFrame
     """User-days with the statistics of their team.
 
     The user-days are needed twice, once to be summarised and once to be compared.
-    They are materialised in between, so the period rows are read and shuffled once
-    and the size of the statistics is known before the join is chosen.
+    They are stored in between, so the period rows are read and shuffled once and
+    the size of the statistics is known before the join is chosen.
     """
-    days = cut(_user_days(rows))
+    days = store(_user_days(rows))
     return attach_to_members(
         days, cut(_team_days(days)), [DAY, TEAM], "_n", USER, limit_bytes, large_share
     )
