@@ -3,16 +3,19 @@
 In floating point the answer at ties depends on the order of summation: three
 members with 1, 2 and 3 hours have a threshold of exactly 1 hour, and the rule is
 a strict "less than". With whole units of time ``t`` for each of ``n`` members,
-``S`` the sum and ``Q`` the sum of squares, put ``V = n*Q - S*S`` and
-``D = S - n*t``. Then ``t < mean - sd`` holds exactly if ``D > 0`` and
-``D*D > V*n/(n-1) = V + V/(n-1)``. ``D*D`` is a whole number, so the right side may
-be rounded down, which leaves one whole-number limit per group and keeps every
-intermediate within ``n*n*t*t``.
+``S`` the sum and ``Q`` the sum of squares, put ``V = n*Q - S*S``. Then
+``t < mean - sd`` holds exactly if ``S - n*t > 0`` and
+``(S - n*t)**2 > V*n/(n-1) = V + V/(n-1)``. The left side is a whole number, so the
+right side may be rounded down to ``T``, and with ``r`` the whole square root of
+``T`` the test is ``n*t <= S - r - 1``. That is one largest suspicious value per
+group: members need a plain comparison, and no intermediate exceeds ``n*n*t*t``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from decimal import Decimal
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,31 +27,59 @@ def is_exact(data_type: T.DataType) -> bool:
 
 
 def scale_of(data_type: T.DataType) -> int:
-    return data_type.scale if isinstance(data_type, T.DecimalType) else 0
+    return max(data_type.scale, 0) if isinstance(data_type, T.DecimalType) else 0
 
 
 def whole_units(column: Column, data_type: T.DataType) -> Column:
     """A decimal or integer column as a whole number of its smallest unit."""
     scale = scale_of(data_type)
-    if scale <= 0:
+    if scale == 0:
         return column.cast(WHOLE)
     # Leaves room for the product: 38 digits hold it without dropping any of the scale.
     narrow = column.cast(T.DecimalType(36 - scale, scale))
     return (narrow * F.lit(10**scale).cast(T.DecimalType(scale + 1, 0))).cast(WHOLE)
 
 
-def spread(n: Column, total: Column, squares: Column) -> Column:
-    """``V``: n(n-1) times the sample variance."""
-    return (n * squares - total * total).cast(WHOLE)
+def from_units(units: Column, data_type: T.DataType) -> Column:
+    """The inverse of ``whole_units``, again exact."""
+    scale = scale_of(data_type)
+    if scale == 0:
+        return units
+    narrow = units.cast(T.DecimalType(37 - scale, 0))
+    return narrow * F.lit(Decimal(1).scaleb(-scale)).cast(T.DecimalType(scale, scale))
 
 
-def limit(n: Column, spread_: Column) -> Column:
-    """Largest ``D*D`` that is not yet below the threshold; NULL for one member."""
-    others = F.nullif(n - F.lit(1), F.lit(0))
-    return (spread_ + (spread_ - spread_ % others) / others).cast(WHOLE)
+def with_largest_below(df: DataFrame, name: str) -> DataFrame:
+    """Add the largest whole number below mean - sd per group; NULL for one member.
 
-
-def below(units: Column, n: Column, total: Column, limit_: Column) -> Column:
-    """``t < mean - sd``; NULL where the group has one member or a missing value."""
-    deficit = (total - n * units).cast(WHOLE)
-    return F.when(limit_.isNotNull(), (deficit > 0) & (deficit * deficit > limit_))
+    ``df`` has ``_n``, ``_sum`` and ``_squares``; the spread ``V`` is added as
+    ``_spread``. Each step is a column of its own, so nothing is evaluated twice.
+    """
+    n, total, v = F.col("_n"), F.col("_sum"), F.col("_spread")
+    df = df.withColumn("_spread", (n * F.col("_squares") - total * total).cast(WHOLE))
+    others = F.nullif(n - F.lit(1), F.lit(0))
+    df = df.withColumn("_bound", (v + _floor_divide(v, others)).cast(WHOLE))
+    df = with_whole_root(df, "_bound", "_root")
+    df = df.withColumn("_room", (total - F.col("_root") - 1).cast(WHOLE))
+    return df.withColumn(name, _floor_divide(F.col("_room"), n)).drop("_bound", "_root", "_room")
+
+
+def with_whole_root(df: DataFrame, square: str, name: str) -> DataFrame:
+    """Add the square root of a whole number >= 0, rounded down.
+
+    The double root is off by its 53 bits; one Newton step leaves at most one.
+    """
+    s, near, step = F.col(square), F.col("_near"), F.col("_step")
+    df = df.withColumn("_near", F.nullif(F.sqrt(s.cast("double")).cast(WHOLE), F.lit(0)))
+    df = df.withColumn("_step", F.floor((near + s / near) / 2).cast("decimal(19,0)"))
+    root = (
+        F.when((step + 1) * (step + 1) <= s, step + 1)
+        .when(step * step > s, step - 1)
+        .otherwise(step)
+    )
+    root = F.when(s == 0, F.lit(0)).otherwise(root).cast(WHOLE)
+    return df.withColumn(name, root).drop("_near", "_step")
+
+
+def _floor_divide(a: Column, b: Column) -> Column:
+    return ((a - F.pmod(a, b)) / b).cast(WHOLE)

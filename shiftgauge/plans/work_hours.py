@@ -53,10 +53,8 @@ def suspicious_flags(
     floating point, with its rounding at ties.
     """
     joined = _with_team(rows, limit_bytes, large_share)
-    data_type = joined.schema[MINUTES].dataType
-    if threshold.is_exact(data_type):
-        units = threshold.whole_units(F.col(MINUTES), data_type)
-        flag = threshold.below(units, F.col("_n"), F.col("_sum"), F.col("_limit"))
+    if threshold.is_exact(joined.schema[MINUTES].dataType):
+        flag = F.col(MINUTES) <= F.col("_largest")
     else:
         flag = _hours() < F.col(MEAN) - F.col(DEVIATION)
     return joined.select(
@@ -95,25 +93,20 @@ def _team_days(days: DataFrame) -> DataFrame:
         )
     units = threshold.whole_units(F.col(MINUTES), data_type)
     per_hour = F.lit(float(MINUTES_PER_HOUR * 10 ** threshold.scale_of(data_type)))
-    n, total = F.col("_n"), F.col("_sum")
-    spread = threshold.spread(n, total, F.col("_squares"))
-    pairs = F.nullif(n * (n - 1), F.lit(0))
-    return (
-        days.groupBy(DAY, TEAM)
-        .agg(
-            members,
-            strict_sum(units).alias("_sum"),
-            strict_sum((units * units).cast(threshold.WHOLE)).alias("_squares"),
-        )
-        .select(
-            DAY,
-            TEAM,
-            "_n",
-            "_sum",
-            threshold.limit(n, spread).alias("_limit"),
-            (total.cast("double") / n.cast("double") / per_hour).alias(MEAN),
-            (F.sqrt(spread.cast("double") / pairs.cast("double")) / per_hour).alias(DEVIATION),
-        )
+    totals = days.groupBy(DAY, TEAM).agg(
+        members,
+        strict_sum(units).alias("_sum"),
+        strict_sum((units * units).cast(threshold.WHOLE)).alias("_squares"),
+    )
+    n, total, spread = (F.col(c).cast("double") for c in ("_n", "_sum", "_spread"))
+    pairs = F.nullif(n * (n - 1), F.lit(0.0))
+    return threshold.with_largest_below(totals, "_units").select(
+        DAY,
+        TEAM,
+        "_n",
+        threshold.from_units(F.col("_units"), data_type).alias("_largest"),
+        (total / n / per_hour).alias(MEAN),
+        (F.sqrt(spread / pairs) / per_hour).alias(DEVIATION),
     )
 
 

@@ -56,6 +56,20 @@ def test_hours_and_stats(spark):
     assert stats["e"]["MUNKAORA_SZORAS"] is None
 
 
+# Three equally spaced or equal members: the lowest is exactly at the threshold.
+TIES = [
+    ("d", f"t{first}", f"u{i}", first + i * step)
+    for first, step in ((60, 60), (426, 6), (6, 0), (7, 1))
+    for i in range(3)
+]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "int", "decimal(9,0)", "decimal(20,6)"])
+def test_ties_in_every_exact_type(spark, kind):
+    flags = flags_of(sg.suspicious_flags(period_rows(spark, TIES, kind)))
+    assert set(flags.values()) == {False}
+
+
 @pytest.mark.parametrize("join", BOTH_JOINS)
 class TestRules:
     def test_single_member_is_undecided(self, spark, join):
@@ -84,11 +98,8 @@ class TestRules:
         assert {r["MUNKAORA_SZORAS"] for r in rows.values()} == {None}
         assert set(counts_of(sg.suspicious_days(df, **join)).values()) == {None}
 
-    @pytest.mark.parametrize("minutes", [(60, 120, 180), (426, 432, 438), (6, 6, 6)])
-    @pytest.mark.parametrize("kind", ["bigint", "int", "decimal(18,2)", "decimal(9,0)"])
-    def test_ties_are_not_suspicious(self, spark, join, minutes, kind):
-        df = period_rows(spark, [("d", "t", f"u{i}", m) for i, m in enumerate(minutes)], kind)
-        assert set(flags_of(sg.suspicious_flags(df, **join)).values()) == {False}
+    def test_ties_are_not_suspicious(self, spark, join):
+        assert set(flags_of(sg.suspicious_flags(period_rows(spark, TIES), **join)).values()) == {False}
 
     def test_clear_case(self, spark, join):
         df = period_rows(spark, [("d", "t", f"u{i}", m) for i, m in enumerate([0, 480, 480, 480])])
@@ -108,7 +119,7 @@ class TestRules:
         assert got["t", "u"] == pytest.approx(1.5 / 60)
         assert got["", "u"] == pytest.approx(3 / 60)
 
-    @pytest.mark.parametrize("seed", [1, 2, 3])
+    @pytest.mark.parametrize("seed", [1, 2])
     def test_against_brute_force(self, spark, join, seed):
         rows = random_rows(seed)
         df = period_rows(spark, rows)
