@@ -39,8 +39,20 @@ PERIOD, PERIOD_START, PERIOD_END = "1996H1", "1996-01-01", "1996-07-01"
 # --- the tables as inputs of the library -------------------------------------------
 
 
+# Schemas of the tables. Naming them saves a job per read to look them up.
+_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+    " l_quantity double, l_discount double, l_tax double, l_linestatus string,"
+    " l_shipdate timestamp_ntz",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "nation": "n_nationkey int, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_acctbal double, c_mktsegment string",
+}
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:

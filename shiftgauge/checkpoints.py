@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def checkpoint_folder(spark: SparkSession) -> str:
@@ -27,22 +27,35 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
+def scratch_path(spark: SparkSession) -> str:
+    """A new path below the checkpoint folder."""
+    return f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def cut(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
     """Checkpoint ``df``: later reads and lost executors do not go back to its inputs.
 
-    Partitions and their row order are kept. For large results use ``store``.
+    ``measures`` are aggregates taken while the rows pass by; their values are returned
+    next to the frame. Partitions and their row order are kept. For large results use
+    ``store``.
     """
     checkpoint_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
-
+    df, values = _observed(df, measures)
+    kept = df.checkpoint(eager=True)
+    return kept, values()
 
-def scratch_path(spark: SparkSession) -> str:
-    """A new path below the checkpoint folder."""
-    return f"{checkpoint_folder(spark)}/{uuid.uuid4().hex}"
 
-
-def store(df: DataFrame) -> DataFrame:
+def store(df: DataFrame, **measures: Column) -> tuple[DataFrame, dict]:
     """Like ``cut``, as a Parquet table: far smaller, and later reads take only their columns."""
     path = scratch_path(df.sparkSession)
+    df, values = _observed(df, measures)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), values()
+
+
+def _observed(df: DataFrame, measures: dict[str, Column]):
+    if not measures:
+        return df, dict
+    observation = Observation()
+    named = [column.alias(name) for name, column in measures.items()]
+    return df.observe(observation, *named), lambda: observation.get

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftgauge.operators.sizing import BROADCAST_BYTES, payload
+from shiftgauge.operators.sizing import BROADCAST_BYTES
 
 #: A group is "large" if it holds more than 1/LARGE_SHARE of all members, so there
 #: are always fewer than LARGE_SHARE large groups.
@@ -20,13 +20,17 @@ def attach_to_members(
     keys: list[str],
     size: str,
     spread_by: str,
+    stats_bytes: int,
+    total_members,
     limit_bytes: int = BROADCAST_BYTES,
     large_share: int = LARGE_SHARE,
 ) -> DataFrame:
     """Left join ``members`` to ``stats`` (one row per key), NULL keys matching NULL keys.
 
     ``size`` names the member count in ``stats``; ``spread_by`` is a column that is
-    distinct within a group. Both inputs should be cheap to read again.
+    distinct within a group. ``stats_bytes`` and ``total_members`` are the measured
+    payload of ``stats`` and the sum of its counts. Both inputs should be cheap to
+    read again.
 
     Statistics that fit are broadcast, and the members stay where they are.
     Otherwise the fewer than ``large_share`` large groups are attached by a broadcast,
@@ -35,16 +39,13 @@ def attach_to_members(
     more than 1/``large_share`` of the members on account of one group.
     """
     extra = [name for name in stats.columns if name not in keys]
-    total = stats.agg(
-        payload(stats).alias("bytes"), F.sum(size).cast("decimal(38,0)").alias("members")
-    ).first()
     m = members.alias("m")
-    if total["bytes"] <= limit_bytes:
+    if stats_bytes <= limit_bytes:
         joined = m.join(F.broadcast(stats).alias("s"), _same(keys, "m", "s"), "left")
         return joined.select("m.*", *[F.col(f"s.{name}") for name in extra])
 
     packed = F.struct(*[F.col(name) for name in extra])
-    large = stats.where(F.col(size) * large_share > F.lit(total["members"]))
+    large = stats.where(F.col(size) * large_share > F.lit(total_members))
     large = large.select(*keys, packed.alias("_large"))
     served = m.join(F.broadcast(large).alias("s"), _same(keys, "m", "s"), "left").select(
         "m.*",

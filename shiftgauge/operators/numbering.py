@@ -17,7 +17,8 @@ def number_rows(df: DataFrame, order: list[Column], column: str = "row_no") -> D
     in its partition plus the number of rows in the partitions before it; only the
     per-partition counts meet in one place.
     """
-    placed = cut(df.orderBy(*order)).select(
+    ordered, _ = cut(df.orderBy(*order))
+    placed = ordered.select(
         F.spark_partition_id().alias("_part"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_POSITION_BITS)).alias("_seq"),
         "*",

@@ -13,7 +13,7 @@ from shiftgauge.checkpoints import store
 from shiftgauge.functions.days import day_before, on_day
 from shiftgauge.functions.text import number_to_text
 from shiftgauge.operators.filters import in_users
-from shiftgauge.operators.sizing import BROADCAST_BYTES, broadcast_if_small
+from shiftgauge.operators.sizing import BROADCAST_BYTES, broadcast_if_small, payload
 from shiftgauge.schemas import ITEM_KEY
 
 
@@ -48,14 +48,17 @@ def join_items(
     items: DataFrame,
     keys: list[str] = ITEM_KEY,
     limit_bytes: int = BROADCAST_BYTES,
+    actions_bytes: int | None = None,
 ) -> DataFrame:
     """Actions with their items; every pair of equal keys is kept.
 
     Columns are those of ``actions`` and the non-key columns of ``items``. The
     actions are the selective side: if they fit they are broadcast, and the items
-    are neither shuffled nor exposed to a hot key.
+    are neither shuffled nor exposed to a hot key. ``actions_bytes`` is their payload
+    if it is known already.
     """
-    a, b = broadcast_if_small(actions, limit_bytes).alias("a"), items.alias("b")
+    a = broadcast_if_small(actions, limit_bytes, actions_bytes).alias("a")
+    b = items.alias("b")
     same = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys])
     extra = [F.col(f"b.{name}") for name in items.columns if name not in keys]
     return a.join(b, same, "inner").select("a.*", *extra)
@@ -84,13 +87,19 @@ def processed_items(
     """One row per processed item: user, personnel number, item key, account, time.
 
     ``offset_days=1`` is yesterday, ``3`` the single day three days before ``as_of``.
-    The selected actions are stored, so the log is scanned once although their size
-    decides how they are joined.
+    The selected actions are stored and measured in one pass over the log, since their
+    size decides how they are joined.
     """
     if not isinstance(allow, DataFrame):
         allow = list(allow)
     actions = select_actions(log, allow, as_of, offset_days, status, day_partition, limit_bytes)
-    detail = join_items(store(actions), select_items(items, direction), limit_bytes=limit_bytes)
+    actions, measured = store(actions, bytes=payload(actions))
+    detail = join_items(
+        actions,
+        select_items(items, direction),
+        limit_bytes=limit_bytes,
+        actions_bytes=measured["bytes"],
+    )
     detail = join_users(detail, in_users(users, allow, limit_bytes=limit_bytes), limit_bytes)
     account = number_to_text(F.col("ceg_szlaszam"), items.schema["ceg_szlaszam"].dataType)
     return detail.select(

@@ -15,7 +15,7 @@ from shiftgauge.checkpoints import cut, store
 from shiftgauge.functions import threshold
 from shiftgauge.functions.strict import strict_avg, strict_stddev, strict_sum
 from shiftgauge.operators.members import LARGE_SHARE, attach_to_members
-from shiftgauge.operators.sizing import BROADCAST_BYTES
+from shiftgauge.operators.sizing import BROADCAST_BYTES, payload
 from shiftgauge.schemas import DAY, MINUTES, TEAM, USER
 
 # Output columns.
@@ -117,7 +117,17 @@ def _with_team(rows: DataFrame, limit_bytes: int, large_share: int) -> DataFrame
     They are stored in between, so the period rows are read and shuffled once and
     the size of the statistics is known before the join is chosen.
     """
-    days = store(_user_days(rows))
+    days, _ = store(_user_days(rows))
+    stats = _team_days(days)
+    stats, measured = cut(stats, bytes=payload(stats), members=F.sum("_n"))
     return attach_to_members(
-        days, cut(_team_days(days)), [DAY, TEAM], "_n", USER, limit_bytes, large_share
+        days,
+        stats,
+        keys=[DAY, TEAM],
+        size="_n",
+        spread_by=USER,
+        stats_bytes=measured["bytes"],
+        total_members=measured["members"],
+        limit_bytes=limit_bytes,
+        large_share=large_share,
     )
