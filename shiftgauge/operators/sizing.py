@@ -31,15 +31,20 @@ def payload(df: DataFrame) -> Column:
     return F.coalesce(F.sum(row), F.lit(0).cast("bigint"))
 
 
+def payload_bytes(df: DataFrame) -> int:
+    """Measure the payload of ``df``, which reads it once."""
+    return df.agg(payload(df).alias("bytes")).first()["bytes"]
+
+
 def broadcast_if_small(
     df: DataFrame, limit_bytes: int = BROADCAST_BYTES, measured: int | None = None
 ) -> DataFrame:
-    """Mark ``df`` for broadcast if its measured payload fits, else return it unchanged.
+    """Mark ``df`` for broadcast if its payload fits, else return it unchanged.
 
-    Without ``measured`` the payload is measured here, which reads ``df`` once more.
-    Unmarked, the join is a shuffle join whose oversized partitions are split by
-    adaptive execution, by their real sizes and on both sides of an inner join.
+    The payload is measured here unless it is known already. Unmarked, the join is a
+    shuffle join whose oversized partitions are split by adaptive execution, by their
+    real sizes and on both sides of an inner join.
     """
     if measured is None:
-        measured = df.agg(payload(df).alias("bytes")).first()["bytes"]
+        measured = payload_bytes(df)
     return F.broadcast(df) if measured <= limit_bytes else df

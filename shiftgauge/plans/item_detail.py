@@ -13,7 +13,12 @@ from shiftgauge.checkpoints import store
 from shiftgauge.functions.days import day_before, on_day
 from shiftgauge.functions.text import number_to_text
 from shiftgauge.operators.filters import in_users
-from shiftgauge.operators.sizing import BROADCAST_BYTES, broadcast_if_small, payload
+from shiftgauge.operators.sizing import (
+    BROADCAST_BYTES,
+    broadcast_if_small,
+    payload,
+    payload_bytes,
+)
 from shiftgauge.schemas import ITEM_KEY
 
 
@@ -25,6 +30,7 @@ def select_actions(
     status: str = "67",
     day_partition: str | None = None,
     limit_bytes: int = BROADCAST_BYTES,
+    allow_bytes: int | None = None,
 ) -> DataFrame:
     """Log rows of the allowed users with the given status on the one day.
 
@@ -35,7 +41,7 @@ def select_actions(
     if day_partition is not None:
         picked = picked.where(F.col(day_partition) == day_before(as_of, offset_days))
     picked = picked.select("user_azon", *ITEM_KEY, "azon_forgtet_mod_idopont")
-    return in_users(picked, allow, limit_bytes=limit_bytes)
+    return in_users(picked, allow, limit_bytes=limit_bytes, allow_bytes=allow_bytes)
 
 
 def select_items(items: DataFrame, direction: str = "J") -> DataFrame:
@@ -90,9 +96,15 @@ def processed_items(
     The selected actions are stored and measured in one pass over the log, since their
     size decides how they are joined.
     """
-    if not isinstance(allow, DataFrame):
+    allow_bytes = None
+    if isinstance(allow, DataFrame):
+        allow = allow.select(allow.columns[0])
+        allow_bytes = payload_bytes(allow)
+    else:
         allow = list(allow)
-    actions = select_actions(log, allow, as_of, offset_days, status, day_partition, limit_bytes)
+    actions = select_actions(
+        log, allow, as_of, offset_days, status, day_partition, limit_bytes, allow_bytes
+    )
     actions, measured = store(actions, bytes=payload(actions))
     detail = join_items(
         actions,
@@ -100,7 +112,8 @@ def processed_items(
         limit_bytes=limit_bytes,
         actions_bytes=measured["bytes"],
     )
-    detail = join_users(detail, in_users(users, allow, limit_bytes=limit_bytes), limit_bytes)
+    known = in_users(users, allow, limit_bytes=limit_bytes, allow_bytes=allow_bytes)
+    detail = join_users(detail, known, limit_bytes)
     account = number_to_text(F.col("ceg_szlaszam"), items.schema["ceg_szlaszam"].dataType)
     return detail.select(
         "user_azon",

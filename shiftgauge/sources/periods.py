@@ -29,6 +29,8 @@ def read_period(
     day_type: str = "date",
     minutes_type: str = "decimal(18,2)",
     encoding: str = "UTF-8",
+    multiline: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """Read the rows of one period (a file or a folder of files with a header).
 
@@ -36,18 +38,23 @@ def read_period(
     is a team of its own; a blank number is missing. Days that are not plain ISO
     dates, and minutes that are no numbers or have more digits than
     ``minutes_type``, raise; pass ``day_type="string"`` to keep the day as written.
-    Columns may come in any order and other columns are ignored. A record is one
-    line, which keeps large files splittable.
+    Columns may come in any order and other columns are ignored. Rows with more or
+    fewer fields than the header raise; with ``strict=False`` missing fields are blank
+    and surplus ones dropped, and columns that are not used are not parsed. A record is one
+    line, which keeps large files splittable; ``multiline`` allows line breaks in
+    quoted text, at the price of one task per file.
     """
-    raw = spark.read.csv(
+    reader = spark.read.option("columnPruning", not strict)
+    raw = reader.csv(
         period_path(root, period),
         header=True,
         enforceSchema=False,
-        mode="FAILFAST",
+        mode="FAILFAST" if strict else "PERMISSIVE",
         quote='"',
         escape='"',
         nullValue=_NEVER,
         encoding=encoding,
+        multiLine=multiline,
     )
     day = _text(F.col(DAY))
     if day_type != "string":

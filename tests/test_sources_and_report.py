@@ -62,6 +62,29 @@ def test_bad_values_raise(spark, tmp_path, line):
         sg.read_period(spark, root, "2018H2").collect()
 
 
+@pytest.mark.parametrize("extra", ["", "extra,"])
+@pytest.mark.parametrize("multiline", [False, True])
+def test_short_and_long_rows(spark, tmp_path, extra, multiline):
+    """Whether or not there are columns to leave out."""
+    x = "1," if extra else ""
+    head = f"{extra}NAP,F_KISCSOPORT,F_NEV,CKLIDO\n{x}2018-07-02,T,a,1\n"
+    for period, line in (("short", f"{x}2018-07-02,T,b"), ("long", f"{x}2018-07-02,T,b,2,3")):
+        root = write_period(tmp_path, f"{head}{line}\n", period)
+        with pytest.raises(Exception, match="FAILED_READ_FILE|MALFORMED"):
+            sg.read_period(spark, root, period, multiline=multiline).collect()
+        loose = sg.read_period(spark, root, period, multiline=multiline, strict=False)
+        expected = {"short": None, "long": Decimal("2.00")}[period]
+        assert [r[MINUTES] for r in loose.collect()] == [Decimal("1.00"), expected]
+
+
+def test_line_breaks_in_quoted_text(spark, tmp_path):
+    text = 'NAP,F_KISCSOPORT,F_NEV,CKLIDO\n2018-07-02,"T\nX",a,1\n'
+    root = write_period(tmp_path, text)
+    assert sg.read_period(spark, root, "2018H2", multiline=True).first()[TEAM] == "T\nX"
+    with pytest.raises(Exception):
+        sg.read_period(spark, root, "2018H2").collect()
+
+
 def test_finer_minutes_and_other_days_on_request(spark, tmp_path):
     root = write_period(tmp_path, "NAP,F_KISCSOPORT,F_NEV,CKLIDO\n2.7.2018,T,a,1.234\n,T,a,1\n")
     df = sg.read_period(spark, root, "2018H2", day_type="string", minutes_type="decimal(18,4)")
