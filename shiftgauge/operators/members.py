@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shiftgauge.operators.sizing import BROADCAST_BYTES
@@ -21,7 +22,7 @@ def attach_to_members(
     size: str,
     spread_by: str,
     stats_bytes: int,
-    total_members,
+    total_members: Decimal | None,
     limit_bytes: int = BROADCAST_BYTES,
     large_share: int = LARGE_SHARE,
 ) -> DataFrame:
@@ -39,22 +40,14 @@ def attach_to_members(
     more than 1/``large_share`` of the members on account of one group.
     """
     extra = [name for name in stats.columns if name not in keys]
-    m = members.alias("m")
     if stats_bytes <= limit_bytes:
-        joined = m.join(F.broadcast(stats).alias("s"), _same(keys, "m", "s"), "left")
+        joined = members.alias("m").join(F.broadcast(stats).alias("s"), _same(keys, "m", "s"), "left")
         return joined.select("m.*", *[F.col(f"s.{name}") for name in extra])
 
     packed = F.struct(*[F.col(name) for name in extra])
     large = stats.where(F.col(size) * large_share > F.lit(total_members))
     large = large.select(*keys, packed.alias("_large"))
-    served = m.join(F.broadcast(large).alias("s"), _same(keys, "m", "s"), "left").select(
-        "m.*",
-        "_large",
-        F.when(F.col("_large").isNull(), F.lit(0))
-        .otherwise(F.pmod(F.xxhash64(F.col(f"m.{spread_by}")), F.lit(large_share)) + 1)
-        .cast("int")
-        .alias("_spread"),
-    )
+    served = serve_large(members, large, keys, spread_by, large_share)
     rest = stats.select(*keys, packed.alias("_rest"), F.lit(0).alias("_spread"))
     joined = served.alias("m").join(
         rest.alias("s"),
@@ -68,7 +61,21 @@ def attach_to_members(
     )
 
 
-def _same(keys: list[str], left: str, right: str):
+def serve_large(
+    members: DataFrame, large: DataFrame, keys: list[str], spread_by: str, large_share: int
+) -> DataFrame:
+    """Attach ``large`` (keys and ``_large``, fewer than ``large_share`` rows) by a broadcast.
+
+    ``_spread`` is 0 for members still to be served and 1..``large_share``, by their own
+    value, for those that need nothing more but a way through the shuffle.
+    """
+    joined = members.alias("m").join(F.broadcast(large).alias("s"), _same(keys, "m", "s"), "left")
+    own = F.pmod(F.xxhash64(F.col(f"m.{spread_by}")), F.lit(large_share)) + 1
+    spread = F.when(F.col("_large").isNull(), F.lit(0)).otherwise(own)
+    return joined.select("m.*", "_large", spread.cast("int").alias("_spread"))
+
+
+def _same(keys: list[str], left: str, right: str) -> Column:
     return reduce(
         lambda a, b: a & b,
         [F.col(f"{left}.{key}").eqNullSafe(F.col(f"{right}.{key}")) for key in keys],

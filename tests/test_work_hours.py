@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import shiftgauge as sg
 from shiftgauge.functions.strict import strict_avg, strict_stddev, strict_sum
+from shiftgauge.operators.members import serve_large
 from shiftgauge.schemas import DAY, TEAM, USER
 
 from helpers import brute_counts, brute_flags, counts_of, flags_of, period_rows
@@ -130,14 +131,31 @@ class TestRules:
 
 
 def test_large_group_is_spread(spark):
-    """Members of a large team-day get distinct join keys in the shuffle form."""
+    """Members of a large team-day get keys of their own for the shuffle, the others none."""
+    members = spark.range(3000).select(
+        F.when(F.col("id") < 1000, F.lit(None)).otherwise(F.col("id") % 400).alias("k"),
+        F.concat(F.lit("u"), F.col("id").cast("string")).alias("u"),
+    )
+    large = spark.range(1).select(
+        F.lit(None).cast("bigint").alias("k"), F.struct(F.lit(7).alias("x")).alias("_large")
+    )
+    served = serve_large(members, large, ["k"], "u", 50)
+    by_key = served.groupBy(F.col("k").isNull().alias("hot"), "_spread").count().collect()
+    hot = {r["_spread"]: r["count"] for r in by_key if r["hot"]}
+    assert set(hot) == set(range(1, 51)) and sum(hot.values()) == 1000 and max(hot.values()) < 60
+    assert {r["_spread"]: r["count"] for r in by_key if not r["hot"]} == {0: 2000}
+
+
+def test_shuffled_statistics(spark, conf):
+    """A third of all user-days in one team-day, and no broadcast that is not bounded."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
     rows = [("d", "hot", f"u{i}", str(i)) for i in range(400)]
-    rows += [(f"{i}", "t", f"u{j}", str(j)) for i in range(200) for j in range(3)]
-    joined = sg.user_day_with_stats(period_rows(spark, rows), limit_bytes=0, large_share=50)
-    plan = joined._jdf.queryExecution().optimizedPlan().toString()
-    assert "xxhash64" in plan
-    assert joined.where(F.col("MUNKAORA_ATLAG").isNull()).count() == 0
-    assert joined.count() == 1000
+    rows += [(f"{i}", "t", f"u{j}", str(j)) for i in range(200) for j in range(4)]
+    flags = sg.suspicious_flags(period_rows(spark, rows), limit_bytes=0, large_share=50)
+    assert flags_of(flags) == brute_flags(rows)
+    plan = flags._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("Initial Plan")]
+    assert final.count("SortMergeJoin") == 1 and final.count("BroadcastHashJoin") == 1
 
 
 @pytest.mark.parametrize("factor", [1, 7, 1000])
