@@ -10,18 +10,19 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _if_complete(column: Column, aggregate: Column) -> Column:
+def if_complete(column: Column, aggregate: Column) -> Column:
+    """``aggregate``, or NULL if ``column`` is NULL in any row of the group."""
     return F.when(F.count(column) == F.count(F.lit(1)), aggregate)
 
 
 def strict_sum(column: Column) -> Column:
-    return _if_complete(column, F.sum(column))
+    return if_complete(column, F.sum(column))
 
 
 def strict_avg(column: Column) -> Column:
-    return _if_complete(column, F.avg(column))
+    return if_complete(column, F.avg(column))
 
 
 def strict_stddev(column: Column) -> Column:
     """Sample standard deviation; NULL for a single value."""
-    return _if_complete(column, F.stddev_samp(column))
+    return if_complete(column, F.stddev_samp(column))

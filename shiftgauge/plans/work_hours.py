@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from shiftgauge.checkpoints import cut, store
 from shiftgauge.functions import threshold
-from shiftgauge.functions.strict import strict_avg, strict_stddev, strict_sum
+from shiftgauge.functions.strict import if_complete, strict_avg, strict_stddev, strict_sum
 from shiftgauge.operators.members import LARGE_SHARE, attach_to_members
 from shiftgauge.operators.sizing import BROADCAST_BYTES, payload
 from shiftgauge.schemas import DAY, MINUTES, TEAM, USER
@@ -91,12 +91,11 @@ def _team_days(days: DataFrame) -> DataFrame:
             strict_avg(_hours()).alias(MEAN),
             strict_stddev(_hours()).alias(DEVIATION),
         )
-    units = threshold.whole_units(F.col(MINUTES), data_type)
     per_hour = F.lit(float(MINUTES_PER_HOUR * 10 ** threshold.scale_of(data_type)))
-    totals = days.groupBy(DAY, TEAM).agg(
-        members,
-        strict_sum(units).alias("_sum"),
-        strict_sum((units * units).cast(threshold.WHOLE)).alias("_squares"),
+    t = F.col("_t")
+    units = days.select(DAY, TEAM, threshold.whole_units(F.col(MINUTES), data_type).alias("_t"))
+    totals = units.groupBy(DAY, TEAM).agg(
+        members, strict_sum(t).alias("_sum"), if_complete(t, F.sum(t * t)).alias("_squares")
     )
     n, total, spread = (F.col(c).cast("double") for c in ("_n", "_sum", "_spread"))
     pairs = F.nullif(n * (n - 1), F.lit(0.0))
