@@ -45,10 +45,13 @@ def attach_to_members(
         return joined.select("m.*", *[F.col(f"s.{name}") for name in extra])
 
     packed = F.struct(*[F.col(name) for name in extra])
-    large = stats.where(F.col(size) * large_share > F.lit(total_members))
-    large = large.select(*keys, packed.alias("_large"))
+    is_large = F.col(size) * large_share > F.lit(total_members)
+    large = stats.where(is_large).select(*keys, packed.alias("_large"))
     served = serve_large(members, large, keys, spread_by, large_share)
-    rest = stats.select(*keys, packed.alias("_rest"), F.lit(0).alias("_spread"))
+    # Not a literal: a constant would be optimised out of the join keys, and with it
+    # the spreading of the members.
+    spread = F.when(is_large, F.lit(-1)).otherwise(F.lit(0)).alias("_spread")
+    rest = stats.select(*keys, packed.alias("_rest"), spread)
     joined = served.alias("m").join(
         rest.alias("s"),
         _same(keys, "m", "s") & (F.col("m._spread") == F.col("s._spread")),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 from decimal import Decimal
 
 import pytest
@@ -156,6 +157,9 @@ def test_shuffled_statistics(spark, conf):
     plan = flags._jdf.queryExecution().executedPlan().toString()
     final = plan[: plan.index("Initial Plan")]
     assert final.count("SortMergeJoin") == 1 and final.count("BroadcastHashJoin") == 1
+    # The spread key takes part in the shuffle of both sides.
+    shuffles = re.findall(r"Exchange hashpartitioning\(([^\n]*)", final)
+    assert sum("_spread#" in keys for keys in shuffles) == 2
 
 
 @pytest.mark.parametrize("factor", [1, 7, 1000])
