@@ -7,13 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shiftgauge.checkpoints import scratch_path
-from shiftgauge.llm import packing, token_files
+from shiftgauge.llm import decontaminate, packing, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_digest(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).drop("row")
 
@@ -26,10 +32,41 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op5_benchmark_decontamination": _decontamination,
         "op9_best_fit_packing": _packing,
         "op10_token_files": _token_files,
     }
 
 
+_WORDS_SQL = """string_split(trim(regexp_replace(
+    translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g')), ' ')"""
+
+_DECONTAMINATION_SQL = f"""
+    WITH d AS (SELECT doc_id, list_filter({_WORDS_SQL.format("text")}, lambda x: x <> '') AS w
+               FROM documents),
+    b AS (SELECT item_id, list_filter({_WORDS_SQL.format("text")}, lambda x: x <> '') AS w
+          FROM benchmark),
+    iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n,
+                  array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS run
+           FROM (SELECT *, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b
+                 WHERE len(w) > 0)),
+    sizes AS (SELECT DISTINCT n FROM iw),
+    dw AS (SELECT doc_id, i, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS run
+           FROM (SELECT d.*, n, unnest(range(1, len(w) - n + 2)) AS i
+                 FROM d, sizes WHERE len(w) >= n)),
+    hits AS (SELECT doc_id, i, dw.n, item_id FROM dw JOIN iw USING (run) WHERE dw.n = iw.n),
+    covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + n)) AS at FROM hits),
+    h AS (SELECT doc_id, count(*) AS n_hit FROM covered GROUP BY doc_id),
+    ids AS (SELECT doc_id, count(*) AS n_items,
+                   string_agg(CAST(item_id AS varchar), ',' ORDER BY CAST(item_id AS varchar))
+                       AS ids
+            FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+    SELECT d.doc_id, len(d.w) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
+           coalesce(ids.n_items, 0) AS n_items, sha256(coalesce(ids.ids, '')) AS items_sha256,
+           coalesce(h.n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN h USING (doc_id) LEFT JOIN ids USING (doc_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_benchmark_decontamination": _DECONTAMINATION_SQL}
