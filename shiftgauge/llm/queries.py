@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shiftgauge.checkpoints import scratch_path
-from shiftgauge.llm import decontaminate, packing, token_files
+from shiftgauge.llm import decontaminate, packing, personal_data, secret_scan, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secret_digest(_table(spark, sf_dir, "documents"))
+
+
+def _personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.personal_data_digest(_table(spark, sf_dir, "documents"))
+
+
 def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -32,6 +40,8 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_secret_scan": _secrets,
+        "op4_personal_data": _personal_data,
         "op5_benchmark_decontamination": _decontamination,
         "op9_best_fit_packing": _packing,
         "op10_token_files": _token_files,
