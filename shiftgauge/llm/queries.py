@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from shiftgauge.checkpoints import scratch_path
-from shiftgauge.llm import decontaminate, packing, personal_data, secret_scan, token_files
+from shiftgauge.llm import (
+    decontaminate,
+    language_id,
+    packing,
+    personal_data,
+    secret_scan,
+    token_files,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +26,10 @@ def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(_table(spark, sf_dir, "documents"))
 
 
+def _language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_digest(_table(spark, sf_dir, "documents"))
+
+
 def _personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.personal_data_digest(_table(spark, sf_dir, "documents"))
 
@@ -28,6 +40,12 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
 def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).drop("row")
 
@@ -41,8 +59,10 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_secret_scan": _secrets,
+        "op3_language_id": _language,
         "op4_personal_data": _personal_data,
         "op5_benchmark_decontamination": _decontamination,
+        "op7_toxicity": _toxicity,
         "op9_best_fit_packing": _packing,
         "op10_token_files": _token_files,
     }
