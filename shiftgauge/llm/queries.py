@@ -10,6 +10,7 @@ from shiftgauge.checkpoints import scratch_path
 from shiftgauge.llm import (
     decontaminate,
     language_id,
+    license_scan,
     packing,
     personal_data,
     secret_scan,
@@ -22,6 +23,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.license_digest(_table(spark, sf_dir, "documents"))
+
+
 def _secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_digest(_table(spark, sf_dir, "documents"))
 
@@ -58,6 +63,7 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_license_scan": _licenses,
         "op2_secret_scan": _secrets,
         "op3_language_id": _language,
         "op4_personal_data": _personal_data,
