@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shiftgauge.checkpoints import scratch_path
 from shiftgauge.llm import (
     decontaminate,
+    jaccard,
     language_id,
     license_scan,
     packing,
@@ -45,6 +46,10 @@ def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.duplicate_digest(_table(spark, sf_dir, "documents"))
+
+
 def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_digest(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
@@ -68,6 +73,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_language_id": _language,
         "op4_personal_data": _personal_data,
         "op5_benchmark_decontamination": _decontamination,
+        "op6_ngram_jaccard_join": _near_duplicates,
         "op7_toxicity": _toxicity,
         "op9_best_fit_packing": _packing,
         "op10_token_files": _token_files,
