@@ -14,6 +14,7 @@ from shiftgauge.llm import (
     license_scan,
     packing,
     personal_data,
+    search,
     secret_scan,
     token_files,
     toxicity,
@@ -56,6 +57,10 @@ def _toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.every_50th(_table(spark, sf_dir, "documents"))
+
+
 def _packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_table(spark, sf_dir, "documents")).drop("row")
 
@@ -75,6 +80,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_benchmark_decontamination": _decontamination,
         "op6_ngram_jaccard_join": _near_duplicates,
         "op7_toxicity": _toxicity,
+        "op8_exact_search": _search,
         "op9_best_fit_packing": _packing,
         "op10_token_files": _token_files,
     }
