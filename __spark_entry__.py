@@ -26,6 +26,12 @@ from shiftgauge.plans.report import report_rows
 from shiftgauge.schemas import DAY, ITEM_KEY, MINUTES, TEAM, USER
 from shiftgauge.sources.periods import period_path
 
+try:  # the operators for training data may be left out as a whole
+    import corpus_pipeline
+    from shiftgauge.llm import queries as llm
+except ImportError:
+    corpus_pipeline = llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameters of the item queries: the reference day, the codes, and an IN list of
@@ -283,7 +289,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "suspicious_flag_events": _on_rows(sg.suspicious_flags, _event_rows),
         "report": _report,
         "report_file": _report_file,
-    }
+    } | _llm_queries()
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -475,4 +485,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST({_NUMBER_SQL} AS varchar) AS row_no, team AS "F_KISCSOPORT",
                    usr AS "F_NEV", coalesce(CAST(days AS varchar), '#N/A') AS "GYANUS_NAPO_DB"
             FROM c""",
-    }
+    } | _llm_sql()
+
+
+def _llm_sql() -> dict[str, str]:
+    if not llm:
+        return {}
+    whole = corpus_pipeline.ORACLE_SQL
+    return llm.oracle_sql() | ({"pipeline": whole} if whole else {})
