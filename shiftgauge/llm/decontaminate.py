@@ -284,7 +284,7 @@ def remove_contamination(
     return out.select(docs.columns)
 
 
-def cut_words(text: str, spans) -> str:
+def cut_words(text, spans):
     """The text without the words of the spans."""
     if text is None or spans is None or not len(spans):
         return text
