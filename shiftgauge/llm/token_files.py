@@ -34,8 +34,8 @@ def write_tokens(
     vocabulary: str | None = None,
     end_id: int = 0,
     encoding: str = "dictionary",
-    shard_bytes: int = 64 << 20,
-    row_group_bytes: int = 32 << 20,
+    shard_bytes: int = 32 << 20,
+    row_group_bytes: int = 16 << 20,
     page_rows: int = 2_000,
 ) -> None:
     """Encode ``text`` of ``docs`` (doc_id, text) into Parquet files below ``path``.

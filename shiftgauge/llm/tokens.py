@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,8 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
-def text_encoder(path: str, max_pieces: int = 800_000) -> Callable:
+@lru_cache(maxsize=2)  # the tasks of a worker process share what it has learnt
+def text_encoder(path: str, max_pieces: int = 400_000) -> Callable:
     """A function from an Arrow array of texts to (ids, offsets of each text's ids).
 
     ``max_pieces`` bounds the pieces kept; beyond it they are forgotten and asked for
@@ -107,7 +109,7 @@ def text_encoder(path: str, max_pieces: int = 800_000) -> Callable:
     return encode
 
 
-def text_chunks(batch: pa.RecordBatch, column: str, size: int = 16 << 20) -> Iterator:
+def text_chunks(batch: pa.RecordBatch, column: str, size: int = 4 << 20) -> Iterator:
     """Slices of the batch with about ``size`` bytes of text, one row at least."""
     lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
     part = np.cumsum(lengths) // size
