@@ -102,12 +102,13 @@ def query_terms(
 class Shard:
     """Posting lists of some words over some documents, and the evaluation of queries."""
 
-    def __init__(self, vocabulary: set[bytes], mean: float):
+    def __init__(self, vocabulary: dict[bytes, bytes], mean: float):
         self.vocabulary, self.mean = vocabulary, mean or 1.0
         self.found: list[tuple] = []  # (id is NULL, id, words of interest, length)
 
     def add(self, doc_id, words: list[bytes]) -> None:
-        own = list(filter(self.vocabulary.__contains__, words))
+        # The vocabulary's own objects, so that a text's words are not held.
+        own = [w for w in map(self.vocabulary.get, words) if w]
         if own:
             self.found.append((doc_id is None, doc_id, own, len(words)))
 
@@ -198,7 +199,7 @@ def _shard_tops(docs: DataFrame, terms: dict, mean: float, k: int, shard_docs: i
         for query, own in terms.items():
             for word, _ in own:
                 asking[word].append(query)
-        vocabulary = set(asking)
+        vocabulary = {word: word for word in asking}
         shard = Shard(vocabulary, mean)
 
         def answers():
@@ -234,7 +235,7 @@ def search(
     *,
     max_terms: int = 16,
     queries_per_block: int = 20_000,
-    shard_docs: int = 50_000,
+    shard_docs: int = 10_000,
 ) -> DataFrame:
     """query_id, rank (from 1), doc_id, score: the best ``k`` of ``docs`` per row of ``queries``.
 
