@@ -32,6 +32,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from shiftgauge.checkpoints import store
 from shiftgauge.llm.rows import held_out
+from shiftgauge.llm.tokens import text_chunks
 
 CLASSES = 64
 PREFIXES = range(3, 9)
@@ -72,7 +73,8 @@ def count_trigrams(docs: DataFrame) -> DataFrame:
         table = _class_table()
         total = np.zeros(CLASSES**3, np.int64)
         for batch in batches:
-            for text in batch.column("text").to_pylist():
+            for value in batch.column("text"):
+                text = value.as_py()
                 for at in range(0, len(text or ""), 1 << 20):
                     # Stretches overlap by two characters, so every trigram counts once.
                     part = text[max(0, at - 2) : at + (1 << 20)]
@@ -171,7 +173,7 @@ def _pieces(texts: pa.Array):
 class Reader:
     """Words, restored ones included, of texts; what a stretch stands for is kept, up to a bound."""
 
-    def __init__(self, model: np.ndarray, value=lambda words: words, most: int = 500_000):
+    def __init__(self, model: np.ndarray, value=lambda words: words, most: int = 150_000):
         self.model, self.value, self.most = model, value, most
         self.known: dict[str, tuple] = {}
 
@@ -185,6 +187,10 @@ class Reader:
 
     def read(self, texts: pa.Array):
         """Per text: its values and how many stretches it has."""
+        for part in text_chunks(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
+            yield from self._read(part.column("text"))
+
+    def _read(self, texts: pa.Array):
         codes, starts, different = _pieces(texts)
         values = list(map(self.of, different))
         filled = np.fromiter(map(bool, values), bool, len(values))[codes]
@@ -220,28 +226,29 @@ def _feature_counts(rows: DataFrame, lm) -> DataFrame:
 
     def run(batches):
         reader = Reader(lm.value)
-        counts: dict[str, list[int]] = {}
+        counts = {0: Counter(), 1: Counter()}
         for batch in batches:
             labels = batch.column("toxic").to_pylist()
             for (words, _), toxic in zip(reader.read(batch.column("text")), labels, strict=True):
                 own = {w for group in words for w in group}
-                for f in {f for w in own for f in features_of(w)}:
-                    counts.setdefault(f, [0, 0])[0 if toxic else 1] += 1
-            if len(counts) > 300_000:
-                yield _counted(counts)
-                counts = {}
-        yield _counted(counts)
+                counts[toxic > 0].update({f for w in own for f in features_of(w)})
+                if len(counts[0]) + len(counts[1]) > 200_000:
+                    yield from _counted(counts)
+        yield from _counted(counts)
 
     made = rows.mapInArrow(run, "feature string, toxic bigint, clean bigint")
     return made.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
-def _counted(counts: dict) -> pa.RecordBatch:
-    both = np.array(list(counts.values()), np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(counts), pa.string()), pa.array(both[:, 0]), pa.array(both[:, 1])],
-        names=["feature", "toxic", "clean"],
-    )
+def _counted(counts: dict[int, Counter]):
+    """What was counted, as rows; the counters start anew."""
+    for toxic, own in counts.items():
+        n, none = pa.array(list(own.values()), pa.int64()), pa.array(np.zeros(len(own), np.int64))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(own), pa.string()), n if toxic else none, none if toxic else n],
+            names=["feature", "toxic", "clean"],
+        )
+        own.clear()
 
 
 def _telling(counts: DataFrame, n_toxic: int, n_clean: int, most: int) -> list[str]:
