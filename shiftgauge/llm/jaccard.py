@@ -32,19 +32,20 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftgauge.checkpoints import store
 from shiftgauge.llm.components import connected
-from shiftgauge.llm.rows import _FOLD
+from shiftgauge.llm.rows import _FOLD, give_back, text_chunks
 
 SKETCH = 64
 BUCKET = 1000
-BLOCK_MEMBERS = 1024
+BLOCK_MEMBERS = 512
 BLOCK_GRAMS = 1 << 20
 
+_AT_ONCE = 1 << 19  # bytes of text; hashing takes some fifty times as much
+
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
@@ -107,15 +108,6 @@ def gram_sets(texts: list[bytes | None], n: int = 5) -> list[np.ndarray]:
     return out
 
 
-def _chunks(batch: pa.RecordBatch, size: int = 2 << 20) -> Iterator[pa.RecordBatch]:
-    lengths = pc.binary_length(batch.column("text")).fill_null(0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(lengths.astype(np.int64)) // size
-    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
-    for a, b in zip(edges, edges[1:], strict=False):
-        if b > a:
-            yield batch.slice(a, b - a)
-
-
 def _bytes(column: pa.Array) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
@@ -156,7 +148,7 @@ def _signed(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
         signer = Signer(bands, rows)
         none = np.zeros(0, np.int64)
         for batch in batches:
-            for part in _chunks(batch):
+            for part in text_chunks(batch, size=_AT_ONCE):
                 sets = gram_sets(_bytes(part.column("text")), n)
                 signs = [signer.sign(s) if len(s) else (none, b"") for s in sets]
                 yield pa.RecordBatch.from_arrays(
@@ -171,6 +163,7 @@ def _signed(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                     ],
                     names=["row", "doc_id", "text_hash", "set_id", "n_grams", "bands", "sketch"],
                 )
+        give_back()
 
     return texts.mapInArrow(
         run,
@@ -224,16 +217,18 @@ def _roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
 
 def _candidate_edges(signed: DataFrame, reps: DataFrame, least_alike: int) -> DataFrame:
     """a, b: representatives that share a bucket and whose sketches agree enough."""
-    members = signed.join(reps.select("row"), "row").select(
-        "row", "sketch", F.explode("bands").alias("key")
-    )
+    # Both sides of these joins grow with the corpus, so neither is ever broadcast.
+    own = signed.join(reps.select("row").hint("merge"), "row").select("row", "bands", "sketch")
+    members = own.select("row", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("hub"))
-    buckets = buckets.where("n > 1")
-    met = members.join(buckets, "key")
+    met = members.join(buckets.where("n > 1").hint("merge"), "key")
+    # Sketches travel with the few members of shared buckets only.
+    met = met.join(own.select("row", "sketch").hint("merge"), "row")
     parts = F.ceil(F.col("n") / BUCKET)
     part = F.when(F.col("n") > BUCKET, F.pmod(F.xxhash64("row"), parts)).otherwise(F.lit(0))
+    large = F.col("n") > BUCKET
     dealt = met.select(
-        "row", "sketch", F.xxhash64("key", part).alias("key"), (F.col("n") > BUCKET).alias("large"), "hub"
+        "row", "sketch", F.xxhash64("key", part).alias("key"), large.alias("large"), "hub"
     )
 
     def run(batches):
@@ -331,6 +326,7 @@ def _verified(blocks: DataFrame, threshold: float) -> DataFrame:
                 [pa.array(np.concatenate(x)) for x in (rows, roots, links)],
                 names=["row", "root", "n_links"],
             )
+        give_back()
 
     return blocks.repartition("block").sortWithinPartitions("block", "side", "row").mapInArrow(
         run, "row bigint, root bigint, n_links bigint"
@@ -406,7 +402,7 @@ def near_duplicates(
     )
     same = (F.coalesce(texts["doc_id"], F.lit(-(1 << 63))) == F.coalesce(
         placed["doc_id"], F.lit(-(1 << 63)))) & (texts["text_hash"] == placed["text_hash"])
-    found = texts.join(placed, same).select("row", "copies", "cluster", "blocks", "set_id", "text")
+    found = texts.join(placed.hint("merge"), same).select("row", "copies", "cluster", "blocks", "set_id", "text")
     verified, _ = store(_verified(_in_blocks(found, n), threshold))
     links = verified.groupBy("row").agg(F.sum("n_links").alias("n_links"))
     roots = connected(verified.select(F.col("row").alias("a"), F.col("root").alias("b")))
@@ -439,7 +435,7 @@ def _in_blocks(found: DataFrame, n: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in _chunks(batch):
+            for part in text_chunks(batch, size=_AT_ONCE):
                 sets = gram_sets(_bytes(part.column("text")), n)
                 ids = part.column("set_id").to_pylist()
                 # Another text with the same id and hash is no member.
@@ -450,6 +446,7 @@ def _in_blocks(found: DataFrame, n: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     columns, names=["row", "copies", "cluster", "blocks", "grams"]
                 )
+        give_back()
 
     sets = found.mapInArrow(run, schema)
     own = F.pmod(F.xxhash64("row"), F.col("blocks"))

@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftgauge.checkpoints import store
+from shiftgauge.llm.rows import give_back, text_chunks
 from shiftgauge.llm.token_files import with_end
-from shiftgauge.llm.tokens import text_chunks, text_encoder, vocabulary_path
+from shiftgauge.llm.tokens import text_encoder, vocabulary_path
 
 _PIECES = (
     "row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -71,6 +72,7 @@ def token_pieces(
                     ],
                     names=["row", "doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        give_back()
 
     return rows.mapInArrow(run, _PIECES)
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,13 +34,31 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(crc % parts == part, F.lit(False))
 
 
+def text_chunks(
+    batch: pa.RecordBatch, column: str = "text", size: int = 4 << 20
+) -> Iterator[pa.RecordBatch]:
+    """Slices of the batch with about ``size`` bytes of text, one row at least."""
+    lengths = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths.astype(np.int64)) // size
+    edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(edges, edges[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
+
+
+def give_back() -> None:
+    """Return what Arrow holds in reserve, so that reused workers do not add it up."""
+    pa.default_memory_pool().release_unused()
+
+
 def map_texts(
     df: DataFrame, start: Callable[[], Callable], schema: str, text: str = "text"
 ) -> DataFrame:
     """Replace the text column by the columns of ``schema``; other columns stay.
 
     ``start()`` runs once per task and returns a function from one text (or None) to
-    one tuple. Texts travel in Arrow batches; a task holds one batch at a time.
+    one tuple. Texts travel in Arrow batches; a task holds one batch at a time and
+    works on a slice of it.
     """
     kept = [f for f in df.schema.fields if f.name != text]
     names = [f.name for f in kept]
@@ -49,12 +69,14 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         one = start()
         for batch in batches:
-            rows = [one(t) for t in batch.column(text).to_pylist()]
-            columns = [batch.column(n) for n in names]
-            made = zip(*rows, strict=True) if rows else [() for _ in added.fields]
-            for values, kind in zip(made, arrow.types[len(names) :], strict=True):
-                columns.append(pa.array(values, kind))
-            columns = [c.cast(t) for c, t in zip(columns, arrow.types, strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+            for part in text_chunks(batch, text):
+                rows = [one(t) for t in part.column(text).to_pylist()]
+                columns = [part.column(n) for n in names]
+                made = zip(*rows, strict=True)
+                for values, kind in zip(made, arrow.types[len(names) :], strict=True):
+                    columns.append(pa.array(values, kind))
+                columns = [c.cast(t) for c, t in zip(columns, arrow.types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, schema=arrow)
+        give_back()
 
     return df.mapInArrow(run, whole)

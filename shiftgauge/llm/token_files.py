@@ -22,7 +22,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shiftgauge.llm.tokens import text_chunks, text_encoder, vocabulary_path
+from shiftgauge.llm.rows import give_back, text_chunks
+from shiftgauge.llm.tokens import text_encoder, vocabulary_path
 
 SCHEMA = "doc_id bigint, tokens array<int>, n_tokens bigint, shard int, shard_start bigint"
 
@@ -68,6 +69,7 @@ def write_tokens(
                     ],
                     names=["doc_id", "tokens", "n_tokens", "shard", "shard_start"],
                 )
+        give_back()
 
     (
         dealt.mapInArrow(run, SCHEMA)

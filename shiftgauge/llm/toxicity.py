@@ -31,8 +31,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from shiftgauge.checkpoints import store
-from shiftgauge.llm.rows import held_out
-from shiftgauge.llm.tokens import text_chunks
+from shiftgauge.llm.rows import give_back, held_out, text_chunks
 
 CLASSES = 64
 PREFIXES = range(3, 9)
@@ -235,6 +234,7 @@ def _feature_counts(rows: DataFrame, lm) -> DataFrame:
                 if len(counts[0]) + len(counts[1]) > 200_000:
                     yield from _counted(counts)
         yield from _counted(counts)
+        give_back()
 
     made = rows.mapInArrow(run, "feature string, toxic bigint, clean bigint")
     return made.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
@@ -320,11 +320,12 @@ def fit(
 
     def solve(batches):
         table = pa.Table.from_batches(list(batches))  # max_training_rows at most
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(_logistic(table, len(features)))], names=["weight"]
-        )
+        made = pa.array(_logistic(table, len(features)))
+        del table
+        give_back()
+        yield pa.RecordBatch.from_arrays([made], names=["weight"])
 
-    weights = sparse.coalesce(1).mapInArrow(solve, "weight double").collect()
+    weights = sparse.repartition(1).mapInArrow(solve, "weight double").collect()
     return features, np.array([r[0] for r in weights])
 
 
@@ -374,12 +375,15 @@ def score_toxicity(
         reader = Reader(lm, _indexed(features))
         own, per_length, constant = weights[:-2], weights[-2], weights[-1]
         for batch in batches:
-            scores = []
-            for at, values, length in _vectors(batch.column("text"), reader):
-                z = constant + per_length * length + float(np.dot(own[at], values) if at else 0)
-                scores.append(1 / (1 + math.exp(-z)) if z > -700 else 0.0)
-            columns = [c.cast(t) for c, t in zip(batch.columns, arrow.types, strict=False)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(scores)], schema=arrow)
+            for part in text_chunks(batch):
+                scores = []
+                for at, values, length in _vectors(part.column("text"), reader):
+                    z = constant + per_length * length + float(np.dot(own[at], values) if at else 0)
+                    scores.append(1 / (1 + math.exp(-z)) if z > -700 else 0.0)
+                columns = [c.cast(t) for c, t in zip(part.columns, arrow.types, strict=False)]
+                scored = pa.array(scores, pa.float64())
+                yield pa.RecordBatch.from_arrays([*columns, scored], schema=arrow)
+        give_back()
 
     return docs.mapInArrow(run, schema)
 
