@@ -168,11 +168,17 @@ class Matcher:
 
 
 def find_contamination(
-    docs: DataFrame, benchmark: DataFrame, window: int = 10, *, max_words: int = 200_000
+    docs: DataFrame,
+    benchmark: DataFrame,
+    window: int = 10,
+    *,
+    max_words: int = 200_000,
+    cut: bool = False,
 ) -> DataFrame:
     """doc_id, text, n_words, hit spans (words), items and the longest run, per row of ``docs``.
 
     Other columns of ``docs`` stay; the four columns added replace any of the same name.
+    With ``cut`` the texts come without the words of the spans.
     """
     added = ["n_words", "spans", "items", "longest"]
     docs = docs.drop(*added).withColumn("text", F.col("text").cast("string"))
@@ -183,7 +189,7 @@ def find_contamination(
     total = items.select(F.sum(words)).first()[0] or 0
     shards = max(1, math.ceil(total / max_words))
     if shards == 1:
-        return _matched(docs, [tuple(r) for r in items.collect()], window)
+        return _matched(docs, [tuple(r) for r in items.collect()], window, cut)
     keyed, _ = store(docs.withColumn("_row", F.monotonically_increasing_id()))
     shard = F.pmod(F.xxhash64("item", "text"), F.lit(shards))
     found = None
@@ -197,10 +203,16 @@ def find_contamination(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
         F.max("longest").alias("longest"),
     )
-    return keyed.join(merged.withColumn("spans", _united("spans")), "_row").drop("_row")
+    found = keyed.join(merged.withColumn("spans", _united("spans")), "_row").drop("_row")
+    if cut:
+        hit = F.size("spans") > 0
+        without = F.udf(cut_words, "string")
+        made = without(F.when(hit, F.col("text")), F.when(hit, F.col("spans")))
+        found = found.withColumn("text", F.coalesce(made, "text"))
+    return found
 
 
-def _matched(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
+def _matched(docs: DataFrame, items: list[tuple], window: int, cut: bool = False) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(items)
 
     def start():
@@ -209,10 +221,11 @@ def _matched(docs: DataFrame, items: list[tuple], window: int) -> DataFrame:
         def one(text):
             words = words_of(text)
             spans, items, longest = matcher.match(words)
+            spans = [{"start": a, "end": b} for a, b in spans]
             return (
-                text,
+                cut_words(text, spans) if cut else text,
                 len(words),
-                [{"start": a, "end": b} for a, b in spans],
+                spans,
                 sorted(items),
                 longest,
             )
@@ -272,13 +285,10 @@ def remove_contamination(
     others the hit spans are cut, from the first byte of the first word to the last of the
     last one; ``n_chars`` follows if there is such a column. Clean documents stay as they are.
     """
-    found = find_contamination(docs, benchmark, window)
-    kept = found.where(n_hit() <= F.col("n_words") * max_coverage)
-    hit = F.size("spans") > 0
-    cut = F.udf(cut_words, "string")(F.when(hit, F.col("text")), F.when(hit, F.col("spans")))
-    out = kept.withColumn("text", F.coalesce(cut, "text"))
+    found = find_contamination(docs, benchmark, window, cut=True)
+    out = found.where(n_hit() <= F.col("n_words") * max_coverage)
     if "n_chars" in docs.columns:
-        changed = F.when(hit, F.char_length("text"))
+        changed = F.when(F.size("spans") > 0, F.char_length("text"))
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.coalesce(changed.cast(kind), "n_chars"))
     return out.select(docs.columns)

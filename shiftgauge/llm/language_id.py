@@ -129,6 +129,8 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     table = np.zeros((len(languages), BUCKETS))
     for lang, bucket, n in counts.collect():  # languages x BUCKETS at most
         table[languages.index(lang), bucket] = n
+    if not languages:
+        return [], np.ones((0, 1), np.int8), np.zeros((1, BUCKETS + 1), np.float32)
     code = codewords(len(languages))
     # Each language weighs the same, however much there is of it.
     share = (table + 0.5) / (table + 0.5).sum(axis=1, keepdims=True)

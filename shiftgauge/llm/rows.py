@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,8 +50,11 @@ def text_chunks(
 
 
 def give_back() -> None:
-    """Return what Arrow holds in reserve, so that reused workers do not add it up."""
+    """Return freed memory to the system, so that reused workers do not add it up."""
+    gc.collect()
     pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library has it
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 def map_texts(
