@@ -54,7 +54,11 @@ def with_largest_below(df: DataFrame, name: str) -> DataFrame:
 
     ``df`` has ``_n``, ``_sum`` and ``_squares``; the spread ``V`` is added as
     ``_spread``. Each step is a column of its own, so nothing is evaluated twice.
+    Without ANSI mode a product out of range would be NULL, as if minutes were missing, so
+    such a session is refused.
     """
+    if df.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
+        raise RuntimeError("the exact threshold needs spark.sql.ansi.enabled=true")
     n, total, v = F.col("_n"), F.col("_sum"), F.col("_spread")
     df = df.withColumn("_spread", (n * F.col("_squares") - total * total).cast(WHOLE))
     others = F.nullif(n - F.lit(1), F.lit(0))

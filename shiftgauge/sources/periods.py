@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shiftgauge.functions.casts import exact_cast
 from shiftgauge.schemas import DAY, MINUTES, PERIOD_ROWS, TEAM, USER
 
 # File name of a period's rows and the text of a missing value.
@@ -43,7 +44,11 @@ def read_period(
     and surplus ones dropped, and columns that are not used are not parsed. A record is one
     line, which keeps large files splittable; ``multiline`` allows line breaks in
     quoted text, at the price of one task per file.
+
+    ``encoding`` is one that Spark reads by itself, or ``windows-1250``. Text that is not
+    valid in UTF-8 raises, since names that differ in such a letter only would become one.
     """
+    central = encoding.lower() in ("windows-1250", "cp1250")
     reader = spark.read.option("columnPruning", not strict)
     raw = reader.csv(
         period_path(root, period),
@@ -53,9 +58,13 @@ def read_period(
         quote='"',
         escape='"',
         nullValue=_NEVER,
-        encoding=encoding,
+        encoding="ISO-8859-1" if central else encoding,
         multiLine=multiline,
     )
+    if central:
+        raw = raw.select(*[F.translate(_named(c), *_CENTRAL).alias(c) for c in raw.columns])
+    elif encoding.upper() in ("UTF-8", "UTF8"):
+        raw = raw.select(*[_decoded(c).alias(c) for c in raw.columns])
     day = _text(F.col(DAY))
     if day_type != "string":
         day = _iso_date(day)
@@ -68,9 +77,31 @@ def read_period(
 
 
 def read_period_table(spark: SparkSession, path: str, period: str) -> DataFrame:
-    """Read one period from a Parquet table partitioned by ``period``."""
-    columns = [F.col(f.name).cast(f.dataType) for f in PERIOD_ROWS.fields]
-    return spark.read.parquet(path).where(F.col("period") == period).select(*columns)
+    """Read one period from a Parquet table partitioned by ``period``.
+
+    A number that the schema cannot hold without rounding raises.
+    """
+    rows = spark.read.parquet(path).where(F.col("period") == period)
+    return rows.select(*[exact_cast(rows, f) for f in PERIOD_ROWS.fields])
+
+
+def _named(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _decoded(name: str) -> Column:
+    text = _named(name)
+    message = F.concat(F.lit(f"{name} is not UTF-8: "), text)
+    return F.when(text.contains("\ufffd"), F.raise_error(message).cast("string")).otherwise(text)
+
+
+# windows-1250 read byte by byte as ISO-8859-1, and what the bytes stand for.
+_BYTES = [
+    (chr(b), bytes([b]).decode("cp1250"))
+    for b in range(0x80, 0x100)
+    if bytes([b]).decode("cp1250", "replace") != "\ufffd"
+]
+_CENTRAL = ("".join(a for a, _ in _BYTES), "".join(b for _, b in _BYTES))
 
 
 def _text(column: Column) -> Column:

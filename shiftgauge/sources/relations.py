@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shiftgauge.functions.casts import exact_cast
+
 
 def read_relation(
     spark: SparkSession,
@@ -25,7 +27,8 @@ def read_relation(
     ``fmt="jdbc"`` takes a database table; pass ``url`` and, for a parallel read,
     ``partitionColumn``, ``lowerBound``, ``upperBound`` and ``numPartitions``.
     ``blank_is_null`` is for databases in which the empty string is NULL, ``padded``
-    names fixed-width text columns to be right-trimmed.
+    names fixed-width text columns to be right-trimmed. Numbers that the schema would
+    round raise.
     """
     if fmt == "table":
         df = spark.read.table(".".join(f"`{part}`" for part in source.split(".")))
@@ -38,9 +41,7 @@ def read_relation(
 
 
 def _conform(df: DataFrame, field: T.StructField, blank_is_null: bool, padded: bool) -> Column:
-    column = F.col(f"`{field.name}`")
-    if df.schema[field.name].dataType != field.dataType:
-        column = column.cast(field.dataType)
+    column = exact_cast(df, field)
     if padded:
         column = F.rtrim(column)
     if blank_is_null and isinstance(field.dataType, T.StringType):
