@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as contract
 
-SF_DIR = Path("/root/testdata/sf0.001")
+SF_DIR = Path("/root/testdata/sf0.01")
 duckdb = pytest.importorskip("duckdb")
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="test tables not present")
 
