@@ -31,6 +31,34 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(_FOLD).split() if text else []
 
 
+def word_counts(
+    texts: pa.Array,
+) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of ``words_of`` for many texts at once, counted per text.
+
+    Returns the different words, then row, number of the word and count for every word of
+    every row (by row, then number), then the number of words of each row. NULL is empty.
+    """
+    texts = texts.cast(pa.large_string()).fill_null("")
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    folded = data.slice(ends[0], ends[-1] - ends[0]).to_pybytes().translate(_FOLD) if data else b""
+    plain = pa.LargeStringArray.from_buffers(
+        len(texts), pa.py_buffer(ends - ends[0]), pa.py_buffer(folded)
+    )
+    split = pc.ascii_split_whitespace(plain)
+    coded = split.flatten().dictionary_encode()
+    codes = coded.indices.to_numpy().astype(np.int64)
+    rows = np.repeat(np.arange(len(texts)), np.diff(split.offsets.to_numpy()))
+    word = pc.binary_length(coded.dictionary).to_numpy(zero_copy_only=False) > 0
+    real = word[codes]
+    rows, codes = rows[real], codes[real]
+    lengths = np.bincount(rows, minlength=len(texts))
+    size = max(1, len(coded.dictionary))
+    keys, counts = np.unique(rows * size + codes, return_counts=True)
+    return coded.dictionary, keys // size, keys % size, counts, lengths
+
+
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     """True for the documents kept out of learning; a document without id is learnt from."""
     crc = F.crc32(doc_id.cast("string").cast("binary"))

@@ -2,11 +2,16 @@
 
 Statistics (documents per word, number and mean length of documents) come from one pass over
 all documents. A query is a text; its terms are the ``max_terms`` words with the largest
-tf * idf, over its whole text. A shard is what one task reads, cut at ``shard_docs``: it
-indexes its documents, a posting list per word with the largest impact of every block of
-``BLOCK`` postings, and answers every query of a block of queries with document-at-a-time
-evaluation that leaps over blocks that cannot enter the top k. Impacts use the statistics of
-all documents, so the top k of the shards merge exactly.
+tf * idf, over its whole text. A shard is some documents of one task, cut at
+``shard_postings`` or ``shard_docs``: posting lists over ``BLOCK`` documents each, with the
+largest impact of a list in every block. A block's bound is the sum of its terms' largest
+impacts; blocks are taken by falling bound, and those that cannot reach the k-th best score
+so far are leapt over. Blocks are bounded and scored for many queries at once. Impacts use the
+statistics of all documents, so the top k of the shards merge exactly.
+
+Before the run over all documents come runs over one document in ``SEEDS[i]``, each of which
+gives every query a score that k documents reach. No document below it can be among the best,
+so the next run starts there, and a run gives a few times k rows a query, however many shards.
 
 Queries are broadcast in blocks of ``queries_per_block``; more of them mean more passes.
 
@@ -18,74 +23,83 @@ with the same query id form one query. Repeated documents are each found.
 
 from __future__ import annotations
 
-import heapq
 import math
-from bisect import bisect_left
-from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shiftgauge.checkpoints import store
-from shiftgauge.llm.rows import words_of
+from shiftgauge.llm.rows import give_back, text_chunks, word_counts
 
 BLOCK = 64
+SEEDS = 64, 8
 K1, B = 1.2, 0.75
+_TOPS = "query_id bigint, doc_id bigint, score double"
 
 
 def word_statistics(docs: DataFrame) -> DataFrame:
     """word, df; the row of the NULL word has the number of documents and of all their words."""
 
+    def summed(parts: list[pa.Table]) -> pa.Table:
+        made = pa.concat_tables(parts).group_by("word").aggregate([("df", "sum"), ("total", "sum")])
+        return made.rename_columns(["word", "df", "total"])
+
     def run(batches):
-        counts: Counter = Counter()
-        n = total = 0
+        parts: list[pa.Table] = []
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                words = words_of(text)
-                n, total = n + 1, total + len(words)
-                counts.update(set(words))
-                if len(counts) > 400_000:
-                    yield _counted(counts, 0, 0)
-                    counts = Counter()
-        yield _counted(counts, n, total)
+            for part in text_chunks(batch):
+                words, _, codes, _, lengths = word_counts(part.column("text"))
+                df = np.bincount(codes, minlength=len(words))
+                parts.append(_statistics_rows(words, df, len(lengths), int(lengths.sum())))
+                if sum(map(len, parts)) > 1_000_000:
+                    parts = [summed(parts)]
+                    if len(parts[0]) > 400_000:
+                        yield from parts[0].to_batches()
+                        parts = []
+        if parts:
+            yield from summed(parts).to_batches()
+        give_back()
 
     texts = docs.select(F.col("text").cast("string").alias("text"))
     made = texts.mapInArrow(run, "word string, df bigint, total bigint")
     return made.groupBy("word").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
 
 
-def _counted(counts: Counter, n: int, total: int) -> pa.RecordBatch:
-    words = pa.array([None, *counts], pa.binary()).cast(pa.string())
-    df = pa.array([n, *counts.values()], pa.int64())
-    totals = np.zeros(len(df), np.int64)
+def _statistics_rows(words: pa.Array, df: np.ndarray, n: int, total: int) -> pa.Table:
+    own = df > 0
+    words = words.filter(pa.array(own)).cast(pa.string())
+    totals = np.zeros(len(words) + 1, np.int64)
     totals[0] = total
-    return pa.RecordBatch.from_arrays([words, df, pa.array(totals)], names=["word", "df", "total"])
+    return pa.table(
+        {
+            "word": pa.concat_arrays([pa.nulls(1, pa.string()), words]),
+            "df": np.concatenate([[n], df[own]]).astype(np.int64),
+            "total": totals,
+        }
+    )
 
 
 def query_terms(
     queries: DataFrame, statistics: DataFrame, n_docs: int, max_terms: int
 ) -> DataFrame:
-    """query_id, terms: array of (word, idf), by tf * idf, then word."""
+    """query_id, word, idf, place: the terms of each query by tf * idf, then word."""
 
     def run(batches):
         for batch in batches:
-            ids, words, counts = [], [], []
-            pairs = zip(batch.column("query_id").to_pylist(), batch.column("text").to_pylist())
-            for query, text in pairs:
-                own = Counter(words_of(text))
-                ids += [query] * len(own)
-                words += own
-                counts += own.values()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.int64()),
-                    pa.array(words, pa.binary()).cast(pa.string()),
-                    pa.array(counts, pa.int64()),
-                ],
-                names=["query_id", "word", "tf"],
-            )
+            for part in text_chunks(batch):
+                words, rows, codes, tf, _ = word_counts(part.column("text"))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("query_id").take(pa.array(rows)),
+                        words.take(pa.array(codes)).cast(pa.string()),
+                        pa.array(tf),
+                    ],
+                    names=["query_id", "word", "tf"],
+                )
+        give_back()
 
     counted = queries.mapInArrow(run, "query_id bigint, word string, tf bigint")
     counted = counted.groupBy("query_id", "word").agg(F.max("tf").alias("tf"))
@@ -94,138 +108,187 @@ def query_terms(
     known = counted.join(statistics.where("word IS NOT NULL"), "word").withColumn("idf", idf)
     best = Window.partitionBy("query_id").orderBy(F.desc(F.col("tf") * F.col("idf")), "word")
     top = known.withColumn("place", F.row_number().over(best)).where(F.col("place") <= max_terms)
-    return top.groupBy("query_id").agg(
-        F.array_sort(F.collect_list(F.struct("word", "idf"))).alias("terms")
-    )
+    return top.select("query_id", "word", "idf", "place")
 
 
-class Shard:
-    """Posting lists of some words over some documents, and the evaluation of queries."""
+class Queries:
+    """The queries of a block: the terms of query ``i`` are ``terms[first[i]:first[i + 1]]``."""
+
+    def __init__(self, rows: pa.Table):
+        rows = rows.sort_by([("query_id", "ascending"), ("word", "ascending")]).combine_chunks()
+        coded = rows["word"].combine_chunks().dictionary_encode()
+        if isinstance(coded, pa.ChunkedArray):
+            coded = coded.combine_chunks()
+        self.words = coded.dictionary.cast(pa.large_string())
+        self.terms = coded.indices.to_numpy().astype(np.int64)
+        self.idf = rows["idf"].to_numpy()
+        self.ids, first = np.unique(rows["query_id"].to_numpy(), return_index=True)
+        self.first = np.append(first, len(self.terms))
+        self.floors = np.zeros(len(self.ids))
 
-    def __init__(self, vocabulary: dict[bytes, bytes], mean: float):
-        self.vocabulary, self.mean = vocabulary, mean or 1.0
-        self.found: list[tuple] = []  # (id is NULL, id, words of interest, length)
+    def batches(self, size: int = 32):
+        """Slices of ``size`` queries: their numbers, query of each term, terms, idf."""
+        for a in range(0, len(self.ids), size):
+            b = min(a + size, len(self.ids))
+            of = np.repeat(np.arange(b - a), np.diff(self.first[a : b + 1]))
+            terms = slice(self.first[a], self.first[b])
+            yield slice(a, b), of, self.terms[terms], self.idf[terms]
 
-    def add(self, doc_id, words: list[bytes]) -> None:
-        # The vocabulary's own objects, so that a text's words are not held.
-        own = [w for w in map(self.vocabulary.get, words) if w]
-        if own:
-            self.found.append((doc_id is None, doc_id, own, len(words)))
 
-    def __len__(self) -> int:
-        return len(self.found)
+class Shard:
+    """Collects documents, then holds their posting lists by term, block and document.
+
+    Documents are numbered by doc_id, which is the order of ties.
+    """
+
+    def __init__(self, queries: Queries, mean: float):
+        self.queries, self.mean = queries, mean or 1.0
+        self.ids: list[pa.Array] = []
+        self.parts: list[tuple] = []
+        self.n_docs = self.n_postings = 0
+
+    def add(self, ids: pa.Array, texts: pa.Array) -> None:
+        words, rows, codes, tf, lengths = word_counts(texts)
+        known = pc.index_in(words, value_set=self.queries.words).fill_null(-1)
+        terms = known.to_numpy().astype(np.int64)[codes]
+        own = terms >= 0
+        rows, terms, tf = rows[own], terms[own], tf[own]
+        impacts = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[rows] / self.mean))
+        self.parts.append((rows + self.n_docs, terms, impacts))
+        self.ids.append(ids)
+        self.n_docs += len(ids)
+        self.n_postings += len(terms)
 
     def index(self) -> None:
-        """Posting lists in the order of doc_id, which is the order of ties."""
-        self.found.sort(key=lambda d: (d[0], d[1] or 0))
-        self.ids = [d[1] for d in self.found]
-        lists: dict[bytes, tuple[list[int], list[float]]] = defaultdict(lambda: ([], []))
-        for i, (_, _, words, length) in enumerate(self.found):
-            norm = K1 * (1 - B + B * length / self.mean)
-            for word, tf in Counter(words).items():
-                docs, impacts = lists[word]
-                docs.append(i)
-                impacts.append(tf * (K1 + 1) / (tf + norm))
-        self.found = []
-        self.lists = {}
-        for word, (docs, impacts) in lists.items():
-            tops = [max(impacts[i : i + BLOCK]) for i in range(0, len(impacts), BLOCK)]
-            self.lists[word] = (docs, impacts, tops, max(tops))
-
-    def top(self, terms: list[tuple[bytes, float]], k: int) -> list[tuple[float, int]]:
-        """(score, document) of the best ``k``, by block-max WAND."""
-        lists = [(i, idf, *self.lists[w]) for i, (w, idf) in enumerate(terms) if w in self.lists]
-        at = {t[0]: 0 for t in lists}
-        best: list[tuple[float, int]] = []  # heap of (score, -document)
-        slack = 1 + 1e-12  # bounds are sums in another order than scores
-
-        def doc(t):
-            return t[2][at[t[0]]]
-
-        while lists:
-            lists.sort(key=doc)
-            least = best[0][0] if len(best) == k else -math.inf
-            bound, pivot = 0.0, -1
-            for i, t in enumerate(lists):
-                bound += t[1] * t[5]
-                if bound * slack > least:
-                    pivot = i
-                    break
-            if pivot < 0:
-                break
-            here = doc(lists[pivot])
-            while pivot + 1 < len(lists) and doc(lists[pivot + 1]) == here:
-                pivot += 1
-            # The blocks that would hold the pivot document.
-            bound, end = 0.0, lists[pivot + 1][2][at[lists[pivot + 1][0]]] if pivot + 1 < len(
-                lists
-            ) else math.inf
-            for t in lists[: pivot + 1]:
-                place = bisect_left(t[2], here, at[t[0]])
-                if place < len(t[2]):
-                    block = place // BLOCK
-                    bound += t[1] * t[4][block]
-                    end = min(end, t[2][min(len(t[2]), (block + 1) * BLOCK) - 1] + 1)
-            if bound * slack <= least:
-                self._leap(lists, pivot, max(end, here + 1), at)
-            elif doc(lists[0]) == here:
-                held = sorted(t for t in lists[: pivot + 1])
-                score = 0.0
-                for t in held:
-                    score += t[1] * t[3][at[t[0]]]
-                    at[t[0]] += 1
-                if score > least or len(best) < k:
-                    heapq.heappush(best, (score, -here))
-                    if len(best) > k:
-                        heapq.heappop(best)
-            else:
-                self._leap(lists, pivot, here, at)
-            lists = [t for t in lists if at[t[0]] < len(t[2])]
-        return sorted(((s, -d) for s, d in best), key=lambda x: (-x[0], x[1]))
+        ids = pa.concat_arrays(self.ids)
+        missing = ids.is_null().to_numpy(zero_copy_only=False)
+        values = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        order = np.lexsort((values, missing))
+        self.ids = ids.take(pa.array(order))
+        number = np.empty(self.n_docs, np.int64)
+        number[order] = np.arange(self.n_docs)
+        rows, terms, impacts = (np.concatenate(c) for c in zip(*self.parts, strict=True))
+        self.parts = []
+        docs = number[rows]
+        order = np.argsort(terms * self.n_docs + docs)
+        docs, terms, self.impact = docs[order], terms[order], impacts[order]
+        self.n_blocks = -(-self.n_docs // BLOCK)
+        cells = terms * self.n_blocks + docs // BLOCK  # the part of a list within a block
+        starts = np.flatnonzero(np.diff(cells, prepend=-1))
+        self.within = (docs % BLOCK).astype(np.int16)
+        self.block = cells[starts] % self.n_blocks
+        self.peak = np.maximum.reduceat(self.impact, starts) if len(starts) else self.impact
+        self.posting = np.append(starts, len(cells))
+        held = np.bincount(terms[starts], minlength=len(self.queries.words))
+        self.cell = np.concatenate([[0], np.cumsum(held)])
+
+    def top(
+        self, of: np.ndarray, terms: np.ndarray, idf: np.ndarray, floors: np.ndarray, k: int
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, document, score) of the best ``k`` for each query, by block-max WAND.
+
+        ``of`` is the query of each term. Documents below the query's floor are left out.
+        """
+        n, floors = len(floors), floors.copy()
+        sizes = self.cell[terms + 1] - self.cell[terms]
+        cells = _ranges(self.cell[terms], sizes)
+        weights = np.repeat(idf, sizes)
+        slots = np.repeat(of, sizes) * self.n_blocks + self.block[cells]
+        # Terms are added in one order here and below, so a bound is never below a score.
+        bounds = np.bincount(slots, weights * self.peak[cells], n * self.n_blocks)
+        bounds = bounds.reshape(n, self.n_blocks)
+        best = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+        step = 4
+        while True:
+            open_ = (bounds > 0) & (bounds >= floors[:, None])
+            if not open_.any():
+                return best
+            if step < self.n_blocks:
+                bounds = np.where(open_, bounds, 0)
+                most = np.argpartition(bounds, self.n_blocks - step, axis=1)[:, -step:]
+                taken = np.zeros_like(open_)
+                np.put_along_axis(taken, most, True, axis=1)
+                open_ &= taken
+            bounds[open_] = 0
+            best = self._merged(best, self._scored(open_, slots, cells, weights, floors), k)
+            kth = np.flatnonzero(np.bincount(best[0], minlength=n) == k)
+            ends = np.searchsorted(best[0], kth, "right") - 1
+            floors[kth] = np.maximum(floors[kth], best[2][ends])
+            step = min(4 * step, 64)
+
+    def _scored(self, chosen, slots, cells, weights, floors):
+        """(query, document, score) of the documents in the chosen blocks that reach the floor."""
+        flat = chosen.ravel()
+        place = np.cumsum(flat) - 1
+        held = flat[slots]
+        cells, weights, places = cells[held], weights[held], place[slots[held]]
+        sizes = self.posting[cells + 1] - self.posting[cells]
+        postings = _ranges(self.posting[cells], sizes)
+        at = np.repeat(places * BLOCK, sizes) + self.within[postings]
+        scores = np.bincount(at, np.repeat(weights, sizes) * self.impact[postings])
+        query, block = np.nonzero(chosen)
+        found = np.flatnonzero(scores > 0)
+        of = found // BLOCK
+        enough = scores[found] >= floors[query[of]]
+        found, of = found[enough], of[enough]
+        return query[of], block[of] * BLOCK + found % BLOCK, scores[found]
 
     @staticmethod
-    def _leap(lists, pivot: int, to: float, at: dict) -> None:
-        for t in lists[: pivot + 1]:
-            if t[2][at[t[0]]] < to:
-                at[t[0]] = bisect_left(t[2], to, at[t[0]])
+    def _merged(best, more, k: int):
+        query, doc, score = (np.concatenate(c) for c in zip(best, more, strict=True))
+        order = np.lexsort((doc, -score, query))
+        query, doc, score = query[order], doc[order], score[order]
+        rank = np.arange(len(query)) - np.searchsorted(query, query)
+        return query[rank < k], doc[rank < k], score[rank < k]
 
 
-def _shard_tops(docs: DataFrame, terms: dict, mean: float, k: int, shard_docs: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(terms)
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The whole numbers of every range ``starts[i]`` to ``starts[i] + sizes[i]``, in order."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _shard_tops(
+    docs: DataFrame, queries: Queries, mean: float, k: int, shard_docs: int, shard_postings: int
+) -> DataFrame:
+    shared = docs.sparkSession.sparkContext.broadcast(queries)
 
     def run(batches):
-        terms = shared.value
-        asking = defaultdict(list)  # word: queries with it
-        for query, own in terms.items():
-            for word, _ in own:
-                asking[word].append(query)
-        vocabulary = {word: word for word in asking}
-        shard = Shard(vocabulary, mean)
+        queries = shared.value
+        shard = Shard(queries, mean)
 
         def answers():
             shard.index()
-            queries = dict.fromkeys(q for word in shard.lists for q in asking[word])
-            rows = [(q, shard.ids[d], s) for q in queries for s, d in shard.top(terms[q], k)]
-            ids, found, scores = zip(*rows, strict=True) if rows else ((), (), ())
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.int64()),
-                    pa.array(found, pa.int64()),
-                    pa.array(scores, pa.float64()),
-                ],
-                names=["query_id", "doc_id", "score"],
-            )
+            for part, of, terms, idf in queries.batches():
+                query, doc, score = shard.top(of, terms, idf, queries.floors[part], k)
+                if len(query):
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(queries.ids[part][query]),
+                            shard.ids.take(pa.array(doc)),
+                            pa.array(score),
+                        ],
+                        names=["query_id", "doc_id", "score"],
+                    )
 
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            for doc_id, text in zip(ids, batch.column("text").to_pylist(), strict=True):
-                shard.add(doc_id, words_of(text))
-                if len(shard) >= shard_docs:
-                    yield answers()
-                    shard = Shard(vocabulary, mean)
-        yield answers()
+            for chunk in text_chunks(batch):
+                for a in range(0, chunk.num_rows, shard_docs):
+                    part = chunk.slice(a, shard_docs)
+                    shard.add(part.column("doc_id"), part.column("text"))
+                    if shard.n_docs >= shard_docs or shard.n_postings >= shard_postings:
+                        yield from answers()
+                        shard = Shard(queries, mean)
+        if shard.n_postings:
+            yield from answers()
+        give_back()
+
+    return docs.mapInArrow(run, _TOPS)
+
 
-    return docs.mapInArrow(run, "query_id bigint, doc_id bigint, score double")
+def _best(tops: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
+    return tops.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def search(
@@ -234,13 +297,15 @@ def search(
     k: int = 10,
     *,
     max_terms: int = 16,
-    queries_per_block: int = 20_000,
-    shard_docs: int = 10_000,
+    queries_per_block: int = 100_000,
+    shard_docs: int = 65_536,
+    shard_postings: int = 4_000_000,
 ) -> DataFrame:
     """query_id, rank (from 1), doc_id, score: the best ``k`` of ``docs`` per row of ``queries``.
 
     ``docs`` has doc_id and text, ``queries`` query_id and text.
     """
+    spark = docs.sparkSession
     docs = docs.select(
         F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")
     )
@@ -252,19 +317,34 @@ def search(
     sums = statistics.where("word IS NULL").first()
     n_docs, n_words = (sums["df"], sums["total"]) if sums else (0, 0)
     terms, seen = store(
-        query_terms(queries, statistics, n_docs, max_terms), n=F.count(F.lit(1))
+        query_terms(queries, statistics, n_docs, max_terms),
+        n=F.count(F.when(F.col("place") == 1, 1)),
     )
+    # Many small files make as many small shards, each with its own best k; merge their reading.
+    enough = max(spark.sparkContext.defaultParallelism, n_words // shard_postings + 1)
+    whole = docs.coalesce(enough)
+    row = F.monotonically_increasing_id()  # any rows will do, repeated ids or not
+    seeds = [
+        docs.withColumn("row", row)
+        .where(F.pmod(F.xxhash64("row"), F.lit(one_in)) == 0)
+        .repartition(max(4, n_words // (one_in * shard_postings) + 1), "row")
+        .drop("row")
+        for one_in in SEEDS
+    ]
+    sizes = n_words / max(1, n_docs), k, shard_docs, shard_postings
     blocks = max(1, math.ceil(seen["n"] / queries_per_block))
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     tops = None
     for i in range(blocks):
-        rows = terms.where(block == i).collect()  # about queries_per_block * max_terms words
-        own = {r[0]: [(t["word"].encode(), t["idf"]) for t in r[1]] for r in rows}
-        one = _shard_tops(docs, own, n_words / max(1, n_docs), k, shard_docs)
+        own = terms.where(block == i).select("query_id", "word", "idf")
+        asked = Queries(own.toArrow())  # about queries_per_block * max_terms short rows
+        for some in seeds:
+            kth = _best(_shard_tops(some, asked, *sizes), k).where(F.col("rank") == k)
+            kth = kth.select("query_id", "score").toArrow()  # a row per query at most
+            asked.floors[np.searchsorted(asked.ids, kth["query_id"].to_numpy())] = kth["score"]
+        one = _shard_tops(whole, asked, *sizes)
         tops = one if tops is None else tops.unionByName(one)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
-    ranked = tops.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "doc_id", "score")
+    return _best(tops, k).select("query_id", "rank", "doc_id", "score")
 
 
 def every_50th(docs: DataFrame, k: int = 10) -> DataFrame:

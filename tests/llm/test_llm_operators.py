@@ -30,7 +30,7 @@ from shiftgauge.llm import (
     toxicity,
 )
 from shiftgauge.llm.components import connected
-from shiftgauge.llm.rows import words_of
+from shiftgauge.llm.rows import word_counts, words_of
 from shiftgauge.llm.tokens import text_encoder, vocabulary_path
 
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -389,25 +389,39 @@ def test_components_of_a_path_and_a_star(spark):
 # --- search --------------------------------------------------------------------------
 
 
-def test_search_against_brute_force(spark):
+def test_words_of_many_texts():
+    rng = random.Random(8)
+    parts = ["a", "B", "é", "Z9", "ÀB", " ", "\t", ".", "\x00", "\x85", "\u2028", "日本", "\x7f"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.choice([0, 1, 9, 60]))) for _ in range(300)]
+    for array in (pa.array([*texts, None]), pa.array([None, "x", *texts])[2:], pa.array([], pa.string())):
+        found, rows, codes, counts, lengths = word_counts(array)
+        own = [Counter() for _ in array]
+        for row, code, n in zip(rows, codes, counts, strict=True):
+            own[row][found[int(code)].as_py()] += int(n)
+        assert own == [Counter(words(t)) for t in array.to_pylist()]
+        assert lengths.tolist() == [c.total() for c in own]
+
+
+@pytest.mark.parametrize("shard", [{}, {"shard_docs": 40}, {"shard_postings": 300}])
+def test_search_against_brute_force(spark, shard):
     rng = random.Random(4)
     texts = {
         i: " ".join(f"t{int(rng.paretovariate(0.7)) % 60}" for _ in range(rng.choice([0, 3, 30])))
-        for i in range(300)
+        for i in range(1500)
     }
-    docs = spark.createDataFrame([*texts.items(), (1000, None)], "doc_id bigint, text string")
+    docs = spark.createDataFrame([*texts.items(), (3000, None)], "doc_id bigint, text string")
     queries = docs.where("doc_id % 10 = 0").selectExpr("doc_id AS query_id", "text")
     got = defaultdict(list)
-    for r in search.search(docs, queries, 7, max_terms=5, shard_docs=40, queries_per_block=8).orderBy(
+    for r in search.search(docs, queries, 7, max_terms=5, queries_per_block=60, **shard).orderBy(
         "query_id", "rank"
     ).collect():
         got[r.query_id].append((r.doc_id, round(r.score, 9)))
-    texts[1000] = ""
+    texts[3000] = ""
     own = {i: Counter(t.split()) for i, t in texts.items()}
     n, mean = len(own), sum(c.total() for c in own.values()) / len(own)
     df = Counter(w for c in own.values() for w in c)
     idf = {w: math.log(1 + (n - d + 0.5) / (d + 0.5)) for w, d in df.items()}
-    for query in range(0, 300, 10):
+    for query in range(0, 1500, 10):
         terms = sorted(own[query], key=lambda w: (-own[query][w] * idf[w], w))[:5]
         scores = {}
         for i, c in own.items():
