@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftgauge.llm.rows import held_out
+from shiftgauge.llm.rows import give_back, held_out, text_chunks
 
 BUCKETS = 1 << 15
 MAX_LANGUAGES = 500
@@ -62,8 +62,13 @@ def _classes() -> np.ndarray:
     return table
 
 
-def _grams(texts: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed n-grams of the texts, joined, and where each text's begin; ``BUCKETS`` is none."""
+def _grams(
+    texts: list[str], classes: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed 2- and 3-grams of the joined texts, and where each text's begin.
+
+    ``BUCKETS`` is no n-gram.
+    """
     joined = "  ".join(texts) + "  "
     chars = np.frombuffer(joined.encode("utf-32-le", "replace"), "<u4").astype(np.int64)
     letter = classes[np.minimum(chars, _ALPHABET - 1)]
@@ -78,8 +83,7 @@ def _grams(texts: list[str], classes: np.ndarray) -> tuple[np.ndarray, np.ndarra
     three = (a * 961_748_941 + b * 373_587_883 + c * 67_867_979 + 5) % 4_294_967_291 % BUCKETS
     # Only n-grams with a letter in front and those that start a word count.
     real = (a > 0) | (b > 0)
-    codes = np.stack([np.where(real, two, BUCKETS), np.where(real, three, BUCKETS)], axis=1)
-    return codes, starts
+    return np.where(real, two, BUCKETS), np.where(real, three, BUCKETS), starts
 
 
 def _stretches(sizes: list[int]) -> list[list[int]]:
@@ -98,21 +102,23 @@ def count_ngrams(docs: DataFrame) -> DataFrame:
     def run(batches):
         classes = _classes()
         sums: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_chunks(whole)):
             langs = batch.column("lang").to_pylist()
             texts = batch.column("text").to_pylist()
             for lang in set(langs):
                 own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
                 for part in _stretches([len(t) for t in own]):
-                    codes = _grams([own[i] for i in part], classes)[0].ravel()
-                    made = np.bincount(codes, minlength=BUCKETS + 1)[:BUCKETS]
+                    made = np.zeros(BUCKETS + 1, np.int64)
+                    for codes in _grams([own[i] for i in part], classes)[:2]:
+                        made += np.bincount(codes, minlength=BUCKETS + 1)
                     sums[lang] = sums[lang] + made if lang in sums else made
         for lang, n in sums.items():
-            at = np.flatnonzero(n)
+            at = np.flatnonzero(n[:BUCKETS])
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(at)), pa.array(at, pa.int32()), pa.array(n[at], pa.int64())],
                 names=["lang", "bucket", "n"],
             )
+        give_back()
 
     rows = docs.select("text", "lang").where("text IS NOT NULL AND lang IS NOT NULL")
     counted = rows.mapInArrow(run, "lang string, bucket int, n bigint")
@@ -163,15 +169,16 @@ def identify(
     def run(batches):
         languages, code, weights = shared.value
         classes = _classes()
-        for batch in batches:
+        for batch in (part for whole in batches for part in text_chunks(whole)):
             names, scores = [UNKNOWN] * batch.num_rows, [0.0] * batch.num_rows
             texts = batch.column("text").to_pylist()
             for at in _stretches([len(t or "") for t in texts]) if languages else []:
-                codes, starts = _grams([texts[i] for i in at], classes)
-                n = np.add.reduceat((codes[:, 0] < BUCKETS).astype(np.int64), starts[:-1])
+                two, three, starts = _grams([texts[i] for i in at], classes)
+                n = np.add.reduceat((two < BUCKETS).astype(np.int64), starts[:-1])
                 margins = np.zeros((len(at), code.shape[1]))
-                for bit in range(code.shape[1]):
-                    values = weights[bit][codes].sum(axis=1)
+                for bit, weight in enumerate(weights):
+                    values = weight[two]
+                    values += weight[three]
                     margins[:, bit] = np.add.reduceat(values, starts[:-1], dtype=np.float64)
                 # Neighbouring n-grams overlap, so evidence grows with the root of their number.
                 margins /= np.sqrt(np.maximum(n, 1))[:, None]
@@ -184,6 +191,7 @@ def identify(
             columns += [pa.array(names), pa.array(scores, pa.float64())]
             columns.append(pa.array([s < ambiguous_below for s in scores], pa.bool_()))
             yield pa.RecordBatch.from_arrays(columns, names=[*kept, *added])
+        give_back()
 
     return docs.select(*kept, "text").mapInArrow(run, schema)
 
