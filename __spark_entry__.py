@@ -15,6 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import shiftgauge as sg
 from shiftgauge.checkpoints import scratch_path
@@ -23,7 +24,7 @@ from shiftgauge.functions.text import number_to_text
 from shiftgauge.operators.filters import in_users
 from shiftgauge.plans.item_detail import join_items, join_users
 from shiftgauge.plans.report import report_rows
-from shiftgauge.schemas import DAY, ITEM_KEY, MINUTES, TEAM, USER
+from shiftgauge.schemas import DAY, ITEM_KEY, MINUTES, TEAM, USER, USERS
 from shiftgauge.sources.periods import period_path
 
 try:  # the operators for training data may be left out as a whole
@@ -229,6 +230,34 @@ def _item_detail(offset_days: int, table: bool = False):
     return run
 
 
+def _item_detail_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Yesterday's items from stored tables: the status padded, unknown numbers blank."""
+    root = scratch_path(spark)
+    log, items = _log(spark, sf_dir), _items(spark, sf_dir)
+    padded = F.rpad("allapot_azon_feldolg", 20, " ")
+    log.withColumn("allapot_azon_feldolg", padded).write.parquet(f"{root}/log")
+    items.write.parquet(f"{root}/items")
+    number = F.when(F.col("c_acctbal") > 0, F.col("c_name")).otherwise("").alias("torzsszam")
+    customers = _table(spark, sf_dir, "customer")
+    users = customers.select(F.col("c_custkey").cast("string").alias("user_azon"), number)
+    users.write.parquet(f"{root}/users")
+    return sg.processed_items(
+        sg.read_relation(
+            spark,
+            f"{root}/log",
+            T.StructType(log.schema.fields),
+            blank_is_null=True,
+            padded=["allapot_azon_feldolg"],
+            only={"allapot_azon_feldolg": [STATUS], "user_azon": ALLOWED},
+        ),
+        sg.read_relation(spark, f"{root}/items", items.schema),
+        sg.read_relation(spark, f"{root}/users", USERS, blank_is_null=True),
+        ALLOWED,
+        as_of=AS_OF,
+        status=STATUS,
+    )
+
+
 def _on_rows(plan: Callable[[DataFrame], DataFrame], rows: Callable[..., DataFrame], **kwargs):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return plan(rows(spark, sf_dir, **kwargs))
@@ -237,8 +266,13 @@ def _on_rows(plan: Callable[[DataFrame], DataFrame], rows: Callable[..., DataFra
 
 
 def _null_team_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _status_rows(spark, sf_dir)
-    return rows.withColumn(TEAM, F.when(F.col(TEAM) != "O", F.col(TEAM)))
+    rows = _region_rows(spark, sf_dir)
+    return rows.withColumn(TEAM, F.when(F.col(TEAM) != "0", F.col(TEAM)))
+
+
+def _wide_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _event_rows(spark, sf_dir)
+    return rows.withColumn(MINUTES, F.col(MINUTES).cast("decimal(38,18)"))
 
 
 def _missing_minutes_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,7 +287,7 @@ def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The report as read back from the written file: every column is text."""
-    days = sg.suspicious_days(_region_rows(spark, sf_dir, period=True))
+    days = sg.suspicious_days(_region_rows(spark, sf_dir))
     path = sg.write_report(days, scratch_path(spark), PERIOD)
     return spark.read.csv(path, header=True)
 
@@ -277,6 +311,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "item_detail_d1": _item_detail(1),
         "item_detail_d3": _item_detail(3),
         "item_detail_user_table": _item_detail(1, table=True),
+        "item_detail_tables": _item_detail_tables,
         "user_day_hours": _on_rows(sg.user_day_hours, _region_rows),
         "group_day_stats": _on_rows(sg.team_day_stats, _region_rows),
         "user_day_with_stats": _on_rows(sg.user_day_with_stats, _region_rows),
@@ -287,6 +322,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "suspicious_days_missing": _on_rows(sg.suspicious_days, _missing_minutes_rows),
         "suspicious_days_events": _on_rows(sg.suspicious_days, _event_rows),
         "suspicious_flag_events": _on_rows(sg.suspicious_flags, _event_rows),
+        "suspicious_flag_wide": _on_rows(sg.suspicious_flags, _wide_rows),
+        "group_day_stats_wide": _on_rows(sg.team_day_stats, _wide_rows),
         "report": _report,
         "report_file": _report_file,
     } | _llm_queries()
@@ -463,6 +500,7 @@ def oracle_sql() -> dict[str, str]:
         "item_detail_d1": _detail_sql(1, _ALLOW_LIST_SQL),
         "item_detail_d3": _detail_sql(3, _ALLOW_LIST_SQL),
         "item_detail_user_table": _detail_sql(1, _ALLOW_TABLE_SQL),
+        "item_detail_tables": _detail_sql(1, _ALLOW_LIST_SQL),
         "user_day_hours": f"""{_hours_sql(_REGION_SQL)}
             SELECT {_KEYS_SQL}, {_HOURS_SQL} FROM u""",
         "group_day_stats": f"""{_hours_sql(_REGION_SQL)}
@@ -472,16 +510,21 @@ def oracle_sql() -> dict[str, str]:
         "suspicious_flag": _flags_sql(_REGION_SQL),
         "suspicious_days": _days_sql(_status_sql()),
         "suspicious_days_period": _days_sql(_PERIOD_SQL),
-        "suspicious_days_null_group": _days_sql(_status_sql(team="nullif(l_linestatus, 'O')")),
+        "suspicious_days_null_group": _days_sql(
+            _REGION_SQL.replace("CAST(n_regionkey AS varchar)", "CAST(nullif(n_regionkey, 0) AS varchar)")
+        ),
         "suspicious_days_missing": _days_sql(
             _status_sql(minutes=f"CASE WHEN NOT ({lost}) THEN CAST(l_quantity AS bigint) END")
         ),
         "suspicious_days_events": _days_sql(_EVENTS_SQL, units=100),
         "suspicious_flag_events": _flags_sql(_EVENTS_SQL, units=100),
+        "suspicious_flag_wide": _flags_sql(_EVENTS_SQL, units=100),
+        "group_day_stats_wide": f"""{_hours_sql(_EVENTS_SQL, 100)}
+            SELECT nap AS "NAP", team AS "F_KISCSOPORT", {_STATS_SQL} FROM s""",
         "report": f"""{_hours_sql(_status_sql())}
             SELECT {_NUMBER_SQL} AS row_no, team AS "F_KISCSOPORT", usr AS "F_NEV",
                    days AS "GYANUS_NAPO_DB" FROM c""",
-        "report_file": f"""{_hours_sql(_PERIOD_SQL)}
+        "report_file": f"""{_hours_sql(_REGION_SQL)}
             SELECT CAST({_NUMBER_SQL} AS varchar) AS row_no, team AS "F_KISCSOPORT",
                    usr AS "F_NEV", coalesce(CAST(days AS varchar), '#N/A') AS "GYANUS_NAPO_DB"
             FROM c""",

@@ -1,5 +1,6 @@
 """Staff workload and work-hours analytics on the Spark DataFrame API."""
 
+from shiftgauge.checkpoints import scratch
 from shiftgauge.plans.item_detail import processed_items
 from shiftgauge.plans.report import report_rows, write_report
 from shiftgauge.plans.work_hours import (
@@ -18,6 +19,7 @@ __all__ = [
     "read_period_table",
     "read_relation",
     "report_rows",
+    "scratch",
     "suspicious_days",
     "suspicious_flags",
     "team_day_stats",

@@ -15,11 +15,14 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 WHOLE = T.DecimalType(38, 0)
+MOST_DECIMALS = 18
+
+_BLOCK = 10**19
 
 
 def is_exact(data_type: T.DataType) -> bool:
@@ -30,11 +33,28 @@ def scale_of(data_type: T.DataType) -> int:
     return max(data_type.scale, 0) if isinstance(data_type, T.DecimalType) else 0
 
 
+def require_ansi(spark: SparkSession) -> None:
+    """Refuse sessions in which a product out of range is NULL, as if minutes were missing."""
+    if spark.conf.get("spark.sql.ansi.enabled") != "true":
+        raise RuntimeError("exact decimals need spark.sql.ansi.enabled=true")
+
+
+def decimals(column: Column) -> Column:
+    """Digits behind the point of a decimal number, trailing zeros left out."""
+    text = F.rtrim(column.cast("string"), F.lit("0"))
+    return F.length(F.substring_index(text, ".", -1))
+
+
 def whole_units(column: Column, data_type: T.DataType) -> Column:
-    """A decimal or integer column as a whole number of its smallest unit."""
+    """A decimal or integer column as a whole number of its smallest unit.
+
+    Types of more than ``MOST_DECIMALS`` decimals are refused.
+    """
     scale = scale_of(data_type)
     if scale == 0:
         return column.cast(WHOLE)
+    if scale > MOST_DECIMALS:
+        raise ValueError(f"{scale} decimals do not fit the exact threshold")
     # Leaves room for the product: 38 digits hold it without dropping any of the scale.
     narrow = column.cast(T.DecimalType(36 - scale, scale))
     return (narrow * F.lit(10**scale).cast(T.DecimalType(scale + 1, 0))).cast(WHOLE)
@@ -49,18 +69,21 @@ def from_units(units: Column, data_type: T.DataType) -> Column:
     return narrow * F.lit(Decimal(1).scaleb(-scale)).cast(T.DecimalType(scale, scale))
 
 
+def spread() -> Column:
+    """``V`` of a group, from ``_n``, ``_sum`` and ``_squares``."""
+    total = F.col("_sum")
+    return (F.col("_n") * F.col("_squares") - total * total).cast(WHOLE)
+
+
 def with_largest_below(df: DataFrame, name: str) -> DataFrame:
     """Add the largest whole number below mean - sd per group; NULL for one member.
 
     ``df`` has ``_n``, ``_sum`` and ``_squares``; the spread ``V`` is added as
     ``_spread``. Each step is a column of its own, so nothing is evaluated twice.
-    Without ANSI mode a product out of range would be NULL, as if minutes were missing, so
-    such a session is refused.
     """
-    if df.sparkSession.conf.get("spark.sql.ansi.enabled") != "true":
-        raise RuntimeError("the exact threshold needs spark.sql.ansi.enabled=true")
+    require_ansi(df.sparkSession)
     n, total, v = F.col("_n"), F.col("_sum"), F.col("_spread")
-    df = df.withColumn("_spread", (n * F.col("_squares") - total * total).cast(WHOLE))
+    df = df.withColumn("_spread", spread())
     others = F.nullif(n - F.lit(1), F.lit(0))
     df = df.withColumn("_bound", (v + _floor_divide(v, others)).cast(WHOLE))
     df = with_whole_root(df, "_bound", "_root")
@@ -86,4 +109,15 @@ def with_whole_root(df: DataFrame, square: str, name: str) -> DataFrame:
 
 
 def _floor_divide(a: Column, b: Column) -> Column:
-    return ((a - F.pmod(a, b)) / b).cast(WHOLE)
+    """Whole quotient rounded down, in two blocks of 19 digits.
+
+    Spark gives quotients of wide decimals six decimals and so 32 whole digits at most.
+    """
+    block = F.lit(Decimal(_BLOCK)).cast(T.DecimalType(20, 0))
+    low = F.pmod(a, block)
+    high = ((a - low) / block).cast(WHOLE)
+    left = F.pmod(high, b)
+    rest = (left * block + low).cast(WHOLE)
+    first = ((high - left) / b).cast(WHOLE)
+    second = ((rest - F.pmod(rest, b)) / b).cast(WHOLE)
+    return (first * block + second).cast(WHOLE)

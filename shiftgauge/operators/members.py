@@ -28,9 +28,9 @@ def attach_to_members(
 ) -> DataFrame:
     """Left join ``members`` to ``stats`` (one row per key), NULL keys matching NULL keys.
 
-    ``size`` names the member count in ``stats``; ``spread_by`` is a column that is
-    distinct within a group. ``stats_bytes`` and ``total_members`` are the measured
-    payload of ``stats`` and the sum of its counts. Both inputs should be cheap to
+    ``size`` names the member count in ``stats``, which members do not get; ``spread_by``
+    is a column that is distinct within a group. ``stats_bytes`` and ``total_members`` are
+    the measured payload of the other columns of ``stats`` and the sum of its counts. Both inputs should be cheap to
     read again.
 
     Statistics that fit are broadcast, and the members stay where they are.
@@ -39,7 +39,7 @@ def attach_to_members(
     served, get keys that spread them over all tasks. No task then receives much
     more than 1/``large_share`` of the members on account of one group.
     """
-    extra = [name for name in stats.columns if name not in keys]
+    extra = [name for name in stats.columns if name not in (*keys, size)]
     if stats_bytes <= limit_bytes:
         joined = members.alias("m").join(F.broadcast(stats).alias("s"), _same(keys, "m", "s"), "left")
         return joined.select("m.*", *[F.col(f"s.{name}") for name in extra])

@@ -13,12 +13,7 @@ from shiftgauge.checkpoints import store
 from shiftgauge.functions.days import day_before, on_day
 from shiftgauge.functions.text import number_to_text
 from shiftgauge.operators.filters import in_users
-from shiftgauge.operators.sizing import (
-    BROADCAST_BYTES,
-    broadcast_if_small,
-    payload,
-    payload_bytes,
-)
+from shiftgauge.operators.sizing import BROADCAST_BYTES, broadcast_if_small, payload
 from shiftgauge.schemas import ITEM_KEY
 
 
@@ -59,12 +54,15 @@ def join_items(
     """Actions with their items; every pair of equal keys is kept.
 
     Columns are those of ``actions`` and the non-key columns of ``items``. The
-    actions are the selective side: if they fit they are broadcast, and the items
-    are neither shuffled nor exposed to a hot key. ``actions_bytes`` is their payload
-    if it is known already.
+    actions are the selective side: if their payload is known as ``actions_bytes`` and
+    fits they are broadcast, and the items are neither shuffled nor exposed to a hot key.
+    Where it is not known, adaptive execution chooses by the sizes it meets; measuring
+    here would run the plan of the actions once more.
     """
-    a = broadcast_if_small(actions, limit_bytes, actions_bytes).alias("a")
-    b = items.alias("b")
+    a = actions
+    if actions_bytes is not None:
+        a = broadcast_if_small(a, limit_bytes, actions_bytes)
+    a, b = a.alias("a"), items.alias("b")
     same = reduce(lambda x, y: x & y, [F.col(f"a.{k}") == F.col(f"b.{k}") for k in keys])
     extra = [F.col(f"b.{name}") for name in items.columns if name not in keys]
     return a.join(b, same, "inner").select("a.*", *extra)
@@ -93,19 +91,27 @@ def processed_items(
     """One row per processed item: user, personnel number, item key, account, time.
 
     ``offset_days=1`` is yesterday, ``3`` the single day three days before ``as_of``.
-    The selected actions are stored and measured in one pass over the log, since their
-    size decides how they are joined.
+    The selected actions are stored and measured in one pass over the log: their size
+    decides how they are joined, and the range of their keys reaches the scan of the
+    items. They are rebalanced first, as each task of a large log finds a few rows only.
     """
     allow_bytes = None
     if isinstance(allow, DataFrame):
         allow = allow.select(allow.columns[0])
-        allow_bytes = payload_bytes(allow)
+        allow, measured = store(allow, bytes=payload(allow))
+        allow_bytes = measured["bytes"]
     else:
         allow = list(allow)
     actions = select_actions(
         log, allow, as_of, offset_days, status, day_partition, limit_bytes, allow_bytes
     )
-    actions, measured = store(actions, bytes=payload(actions))
+    ends = {f"{end}_{k}": of(k) for k in ITEM_KEY for end, of in (("least", F.min), ("most", F.max))}
+    actions, measured = store(actions.hint("rebalance"), bytes=payload(actions), **ends)
+    for key in ITEM_KEY:
+        # Values of different types are ordered differently, though some may be equal.
+        if log.schema[key].dataType == items.schema[key].dataType:
+            least, most = (F.lit(measured[f"{end}_{key}"]) for end in ("least", "most"))
+            items = items.where(F.col(key).between(least, most))
     detail = join_items(
         actions,
         select_items(items, direction),

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shiftgauge.checkpoints import cut, store
+from shiftgauge.checkpoints import store
 from shiftgauge.functions import threshold
 from shiftgauge.functions.strict import if_complete, strict_avg, strict_stddev, strict_sum
 from shiftgauge.operators.members import LARGE_SHARE, attach_to_members
@@ -24,6 +24,11 @@ FLAG, COUNT = "GYANUS_NAP", "GYANUS_NAPO_DB"
 
 MINUTES_PER_HOUR = 60
 
+_CUTOFF = "_largest"
+#: Decimals up to which the type of the minutes is taken as it is. Of wider types, only
+#: the decimals that occur are kept, which leaves the exact threshold more whole digits.
+_PLAIN_DECIMALS = 6
+
 
 def user_day_hours(rows: DataFrame) -> DataFrame:
     """Hours per day, team and user."""
@@ -32,14 +37,17 @@ def user_day_hours(rows: DataFrame) -> DataFrame:
 
 def team_day_stats(rows: DataFrame) -> DataFrame:
     """Mean and sample standard deviation of the hours of the users present, per day and team."""
-    return _team_days(_user_days(rows)).select(DAY, TEAM, MEAN, DEVIATION)
+    days = _user_days(rows)
+    if _has_wide_scale(days):
+        days = _stored(days)
+    return _team_days(days, [MEAN, DEVIATION]).select(DAY, TEAM, MEAN, DEVIATION)
 
 
 def user_day_with_stats(
     rows: DataFrame, limit_bytes: int = BROADCAST_BYTES, large_share: int = LARGE_SHARE
 ) -> DataFrame:
     """Hours per day, team and user next to the mean and deviation of the team that day."""
-    joined = _with_team(rows, limit_bytes, large_share)
+    joined = _with_team(rows, [MEAN, DEVIATION], limit_bytes, large_share)
     return joined.select(DAY, TEAM, USER, _hours().alias(HOURS), MEAN, DEVIATION)
 
 
@@ -52,22 +60,30 @@ def suspicious_flags(
     Whole-number and decimal minutes are compared exactly; floating-point minutes in
     floating point, with its rounding at ties.
     """
-    joined = _with_team(rows, limit_bytes, large_share)
-    if threshold.is_exact(joined.schema[MINUTES].dataType):
-        flag = F.col(MINUTES) <= F.col("_largest")
-    else:
-        flag = _hours() < F.col(MEAN) - F.col(DEVIATION)
-    return joined.select(
-        DAY, TEAM, USER, _hours().alias(HOURS), MEAN, DEVIATION, flag.alias(FLAG)
-    )
+    wanted = [MEAN, DEVIATION, *([_CUTOFF] if _is_exact(rows) else [])]
+    joined = _with_team(rows, wanted, limit_bytes, large_share)
+    hours = _hours().alias(HOURS)
+    return joined.select(DAY, TEAM, USER, hours, MEAN, DEVIATION, _flag(joined).alias(FLAG))
 
 
 def suspicious_days(
     rows: DataFrame, limit_bytes: int = BROADCAST_BYTES, large_share: int = LARGE_SHARE
 ) -> DataFrame:
     """Number of suspicious days per team and user; NULL if any of the days is undecided."""
-    flags = suspicious_flags(rows, limit_bytes, large_share)
-    return flags.groupBy(TEAM, USER).agg(strict_sum(F.col(FLAG).cast("bigint")).alias(COUNT))
+    wanted = [_CUTOFF] if _is_exact(rows) else [MEAN, DEVIATION]
+    joined = _with_team(rows, wanted, limit_bytes, large_share)
+    days = strict_sum(_flag(joined).cast("bigint")).alias(COUNT)
+    return joined.groupBy(TEAM, USER).agg(days)
+
+
+def _is_exact(rows: DataFrame) -> bool:
+    return threshold.is_exact(rows.schema[MINUTES].dataType)
+
+
+def _flag(joined: DataFrame) -> Column:
+    if _CUTOFF in joined.columns:
+        return F.col(MINUTES) <= F.col(_CUTOFF)
+    return _hours() < F.col(MEAN) - F.col(DEVIATION)
 
 
 def _hours() -> Column:
@@ -81,44 +97,77 @@ def _user_days(rows: DataFrame) -> DataFrame:
     return rows.groupBy(DAY, TEAM, USER).agg(strict_sum(minutes).alias(MINUTES))
 
 
-def _team_days(days: DataFrame) -> DataFrame:
-    """One row per day and team, from one row per day, team and user."""
+def _has_wide_scale(days: DataFrame) -> bool:
+    data_type = days.schema[MINUTES].dataType
+    return threshold.is_exact(data_type) and threshold.scale_of(data_type) > _PLAIN_DECIMALS
+
+
+def _stored(days: DataFrame) -> DataFrame:
+    """Stored user-days; minutes of a wide type get one of as many decimals as occur."""
+    if not _has_wide_scale(days):
+        return store(days)[0]
+    threshold.require_ansi(days.sparkSession)
+    days, measured = store(days, decimals=F.max(threshold.decimals(F.col(MINUTES))))
+    wide, scale = days.schema[MINUTES].dataType, measured["decimals"] or 0
+    narrow = T.DecimalType(wide.precision - wide.scale + scale, scale)
+    return days.withColumn(MINUTES, F.col(MINUTES).cast(narrow))
+
+
+def _team_days(days: DataFrame, wanted: list[str]) -> DataFrame:
+    """One row per day and team, from one row per day, team and user: ``_n`` and ``wanted``.
+
+    The cutoff is exact or raises. Mean and deviation are floating-point numbers, made
+    from exact sums as far as these fit, and otherwise from floating-point sums.
+    """
     data_type = days.schema[MINUTES].dataType
     members = F.count(F.lit(1)).cast("decimal(20,0)").alias("_n")
-    if not threshold.is_exact(data_type):
-        return days.groupBy(DAY, TEAM).agg(
-            members,
-            strict_avg(_hours()).alias(MEAN),
-            strict_stddev(_hours()).alias(DEVIATION),
+    floating = [strict_avg(_hours()).alias("_mean"), strict_stddev(_hours()).alias("_deviation")]
+    whole = threshold.is_exact(data_type)
+    if not whole or (_CUTOFF not in wanted and threshold.scale_of(data_type) > _PLAIN_DECIMALS):
+        rows = days.groupBy(DAY, TEAM).agg(members, *floating)
+        return rows.select(
+            DAY, TEAM, "_n", F.col("_mean").alias(MEAN), F.col("_deviation").alias(DEVIATION)
         )
-    per_hour = F.lit(float(MINUTES_PER_HOUR * 10 ** threshold.scale_of(data_type)))
+
     t = F.col("_t")
-    units = days.select(DAY, TEAM, threshold.whole_units(F.col(MINUTES), data_type).alias("_t"))
-    totals = units.groupBy(DAY, TEAM).agg(
-        members, strict_sum(t).alias("_sum"), if_complete(t, F.sum(t * t)).alias("_squares")
-    )
+    units = threshold.whole_units(F.col(MINUTES), data_type).alias("_t")
+    units = days.select(DAY, TEAM, MINUTES, units).groupBy(DAY, TEAM)
     n, total, spread = (F.col(c).cast("double") for c in ("_n", "_sum", "_spread"))
-    pairs = F.nullif(n * (n - 1), F.lit(0.0))
-    return threshold.with_largest_below(totals, "_units").select(
-        DAY,
-        TEAM,
-        "_n",
-        threshold.from_units(F.col("_units"), data_type).alias("_largest"),
-        (total / n / per_hour).alias(MEAN),
-        (F.sqrt(spread / pairs) / per_hour).alias(DEVIATION),
-    )
-
-
-def _with_team(rows: DataFrame, limit_bytes: int, large_share: int) -> DataFrame:
-    """User-days with the statistics of their team.
+    per_hour = F.lit(float(MINUTES_PER_HOUR * 10 ** threshold.scale_of(data_type)))
+    mean = total / n / per_hour
+    deviation = F.sqrt(spread / F.nullif(n * (n - 1), F.lit(0.0))) / per_hour
+    if _CUTOFF in wanted:
+        squares = if_complete(t, F.sum(t * t)).alias("_squares")
+        totals = units.agg(members, strict_sum(t).alias("_sum"), squares)
+        totals = threshold.with_largest_below(totals, "_units")
+    else:
+        # What could leave 38 digits is not taken.
+        small = F.abs(t) < 10**18
+        squares = if_complete(t, F.try_sum(F.when(small, t * t))).alias("_squares")
+        most = F.max(F.abs(t)).cast("double").alias("_most")
+        sums = if_complete(t, F.try_sum(t)).alias("_sum")
+        totals = units.agg(members, sums, squares, most, *floating)
+        fits = F.col("_most") * n < 9e18
+        totals = totals.withColumn("_spread", F.when(fits, threshold.spread()))
+        mean = F.coalesce(mean, F.col("_mean"))
+        deviation = F.when(fits, deviation).otherwise(F.col("_deviation"))
+    largest = threshold.from_units(F.col("_units"), data_type)
+    made = {_CUTOFF: largest, MEAN: mean, DEVIATION: deviation}
+    return totals.select(DAY, TEAM, "_n", *[made[c].alias(c) for c in wanted])
+
+
+def _with_team(
+    rows: DataFrame, wanted: list[str], limit_bytes: int, large_share: int
+) -> DataFrame:
+    """User-days with the ``wanted`` statistics of their team.
 
     The user-days are needed twice, once to be summarised and once to be compared.
-    They are stored in between, so the period rows are read and shuffled once and
-    the size of the statistics is known before the join is chosen.
+    They are stored in between, so the period rows are read and shuffled once. The
+    statistics are stored too: their size is known before the join is chosen.
     """
-    days, _ = store(_user_days(rows))
-    stats = _team_days(days)
-    stats, measured = cut(stats, bytes=payload(stats), members=F.sum("_n"))
+    days = _stored(_user_days(rows))
+    stats = _team_days(days, wanted)
+    stats, measured = store(stats, bytes=payload(stats.drop("_n")), members=F.sum("_n"))
     return attach_to_members(
         days,
         stats,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ def read_relation(
     fmt: str = "parquet",
     blank_is_null: bool = False,
     padded: Iterable[str] = (),
+    only: dict[str, Iterable[str]] | None = None,
     **options: str,
 ) -> DataFrame:
     """Read the columns of ``schema`` from a path, a catalog table or a database table.
@@ -29,6 +31,10 @@ def read_relation(
     ``blank_is_null`` is for databases in which the empty string is NULL, ``padded``
     names fixed-width text columns to be right-trimmed. Numbers that the schema would
     round raise.
+
+    ``only`` keeps the rows whose text column, as returned, is one of the values. A
+    predicate on a cleaned or cast column does not reach the scan; this one is also put
+    in terms of the column as stored, which does.
     """
     if fmt == "table":
         df = spark.read.table(".".join(f"`{part}`" for part in source.split(".")))
@@ -37,7 +43,23 @@ def read_relation(
     else:
         df = spark.read.format(fmt).options(**options).load(source)
     padded = set(padded)
-    return df.select(*[_conform(df, f, blank_is_null, f.name in padded) for f in schema.fields])
+    only = {name: list(values) for name, values in (only or {}).items()}
+    for name, values in only.items():
+        df = df.where(_as_stored(df, name, values, name in padded))
+    df = df.select(*[_conform(df, f, blank_is_null, f.name in padded) for f in schema.fields])
+    for name, values in only.items():
+        df = df.where(F.col(name).isin(values))
+    return df
+
+
+def _as_stored(df: DataFrame, name: str, values: list[str], padded: bool) -> Column:
+    """Holds wherever the cleaned column is one of ``values``, and maybe for more."""
+    column, data_type = F.col(name), df.schema[name].dataType
+    if not isinstance(data_type, T.StringType):
+        return column.isin([F.lit(v).try_cast(data_type) for v in values])
+    if not padded:
+        return column.isin(values)
+    return reduce(lambda a, b: a | b, [column.startswith(v) for v in values], F.lit(False))
 
 
 def _conform(df: DataFrame, field: T.StructField, blank_is_null: bool, padded: bool) -> Column:

@@ -130,7 +130,76 @@ def test_truncation_would_not_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "log")
     spark.createDataFrame([action()], LOG).write.parquet(path)
     df = spark.read.parquet(path)
-    assert "GreaterThanOrEqual" in final_plan(df.where(on_day(F.col("azon_forgtet_mod_idopont"), AS_OF)))
+    at = F.col("azon_forgtet_mod_idopont")
+    assert "GreaterThanOrEqual" in final_plan(df.where(on_day(at, AS_OF)))
+    day = F.lit(dt.date(2018, 2, 28)).cast("timestamp_ntz")
+    truncated = df.where(F.date_trunc("day", at).cast("timestamp_ntz") == day)
+    assert truncated.count() == 1 and "GreaterThanOrEqual" not in final_plan(truncated)
+
+
+@pytest.mark.parametrize("kind", ["string", "int"])
+@pytest.mark.parametrize("options", [{}, {"blank_is_null": True}, {"padded": ["allapot_azon_feldolg"]}])
+def test_cleaned_columns_reach_the_scan(spark, tmp_path, options, kind):
+    path = str(tmp_path / "log")
+    pad = "  " if "padded" in options and kind == "string" else ""
+    statuses = ["67", "6", "678", None] + ([""] if kind == "string" else [])
+    rows = [action(status=s and s + pad) for s in statuses]
+    df = spark.createDataFrame(rows, LOG)
+    status = F.col("allapot_azon_feldolg").cast(kind)
+    df.withColumn("allapot_azon_feldolg", status).write.parquet(path)
+    only = {"allapot_azon_feldolg": ["67"], "user_azon": ["ann", "bob"]}
+    log = sg.read_relation(spark, path, LOG, only=only, **options)
+    picked = select_actions(log, ["ann", "bob"], AS_OF)
+    assert picked.count() == 1
+    plan = final_plan(picked)
+    pushed = plan[plan.index("PushedFilters"):].split("ReadSchema")[0]
+    wanted = "StringStartsWith(allapot_azon_feldolg,67)" if pad else "EqualTo(allapot_azon_feldolg,67)"
+    assert wanted in pushed and "In(user_azon, [ann,bob])" in pushed
+    assert "LessThan(azon_forgtet_mod_idopont" in pushed
+
+
+def test_selection_is_stored_in_few_files(spark, tmp_path):
+    """64 files of the log with a selected row in each."""
+    path = str(tmp_path / "log")
+    log = spark.createDataFrame([action(key=(i, 1, 1)) for i in range(64)], LOG)
+    log.repartition(64).write.parquet(path)
+    got = run_frames(spark, spark.read.parquet(path), spark.createDataFrame([item()], ITEMS))
+    assert got.count() == 1
+    assert len(got.inputFiles()) <= 4
+
+
+def run_frames(spark, log, items):
+    users = spark.createDataFrame([("ann", "T1")], USERS)
+    return sg.processed_items(log, items, users, ["ann"], AS_OF)
+
+
+def test_key_range_reaches_the_items(spark, tmp_path):
+    path = str(tmp_path / "items")
+    spark.createDataFrame([item((k, 1, 1)) for k in range(20)], ITEMS).write.parquet(path)
+    log = spark.createDataFrame([action(key=(k, 1, 1)) for k in (None, 5, 7, 30)], LOG)
+    got = run_frames(spark, log, spark.read.parquet(path))
+    assert {r["szlaforg_fej_azon"] for r in got.collect()} == {5, 7}
+    plan = final_plan(got)
+    assert "GreaterThanOrEqual(szlaforg_fej_azon,5)" in plan
+    assert "LessThanOrEqual(szlaforg_fej_azon,30)" in plan
+
+
+def test_keys_of_other_types_are_joined_without_a_range(spark):
+    log = spark.createDataFrame([action(key=(k, 1, 1)) for k in (9, 10)], LOG)
+    text = log.withColumn("szlaforg_fej_azon", F.col("szlaforg_fej_azon").cast("string"))
+    items = spark.createDataFrame([item((k, 1, 1)) for k in (9, 10)], ITEMS)
+    assert run_frames(spark, text, items).count() == 2
+
+
+def test_unmeasured_join_runs_nothing_while_built(spark):
+    context = spark.sparkContext
+    context.setJobGroup("building", "")
+    try:
+        joined = join_items(spark.range(9), spark.range(5), ["id"])
+        assert list(context.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert joined.count() == 5
 
 
 def test_day_partition_is_pruned(spark, tmp_path):

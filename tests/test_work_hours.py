@@ -235,6 +235,49 @@ def test_no_rows(spark):
     assert sg.team_day_stats(df).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["decimal(38,18)", "decimal(30,10)", "decimal(38,2)"])
+def test_wide_types_hold_what_occurs(spark, kind):
+    rows = random_rows(7) + [("d", "t", f"u{i}", m) for i, m in enumerate("1234")]
+    df = period_rows(spark, rows, kind)
+    assert flags_of(sg.suspicious_flags(df)) == brute_flags(rows)
+    plain = period_rows(spark, rows)
+
+    def stats(frame):
+        return sorted(map(str, sg.team_day_stats(frame).collect()))
+
+    assert stats(df) == stats(plain)
+
+
+def test_long_fractions(spark):
+    """Ten decimals occur: the threshold is exact, mean and deviation floating-point."""
+    tiny = Decimal("1e-10")
+    rows = [("d", "t", f"u{i}", 480 + m * tiny) for i, m in enumerate([1, 2, 3])]
+    rows += [("e", "t", f"u{i}", 480 + m * tiny) for i, m in enumerate([1, 3, 3, 3])]
+    df = period_rows(spark, rows, "decimal(38,18)")
+    flags = flags_of(sg.suspicious_flags(df))
+    assert flags == brute_flags(rows)
+    assert flags["d", "t", "u0"] is False and flags["e", "t", "u0"] is True
+    assert sg.team_day_stats(df).first()["MUNKAORA_ATLAG"] == pytest.approx(8)
+
+
+@pytest.mark.parametrize("minutes", [[1, 2, 2, 3], [0, 3, 3, 3], [0, 240, 240, 240], [0, 7, 200, 249]])
+def test_up_to_the_promised_range(spark, minutes):
+    """n*n*t*t from 1.4e34 to just below 10**38."""
+    rows = [("d", "t", f"u{i}", m * 10**16) for i, m in enumerate(minutes)]
+    rows = rows + [("e", t, u, m + 1) for _, t, u, m in rows]
+    df = period_rows(spark, rows, "decimal(20,0)")
+    assert flags_of(sg.suspicious_flags(df)) == brute_flags(rows)
+
+
+def test_statistics_beyond_the_range_of_the_threshold(spark):
+    rows = [("d", "t", "u", "1"), ("d", "t", "v", "9" * 28), ("e", "t", "u", "60"), ("e", "t", "v", None)]
+    df = period_rows(spark, rows, "decimal(28,0)")
+    for frame in (sg.team_day_stats(df), sg.user_day_with_stats(df)):
+        got = {r[DAY]: (r["MUNKAORA_ATLAG"], r["MUNKAORA_SZORAS"]) for r in frame.collect()}
+        assert got["d"] == (pytest.approx(1e28 / 120), pytest.approx(1e28 / 60 / 2**0.5))
+        assert got["e"] == (None, None)
+
+
 def test_overflow_raises(spark):
     rows = [("d", "t", "u", "1"), ("d", "t", "v", "9" * 28)]
     with pytest.raises(Exception, match="(?i)overflow|NUMERIC_VALUE_OUT_OF_RANGE"):
