@@ -1,8 +1,8 @@
 """Exact top-k search: BM25 over an inverted index with block-max WAND, shard by shard.
 
 Statistics (documents per word, number and mean length of documents) come from one pass over
-all documents. A query is a text; its terms are the ``max_terms`` words with the largest
-tf * idf, over its whole text. A shard is some documents of one task, cut at
+all documents. A query is a text; its terms are all its words that some document has, unless a
+caller asks for the ``max_terms`` with the largest tf * idf. A shard is some documents of one task, cut at
 ``shard_postings`` or ``shard_docs``: posting lists over ``BLOCK`` documents each, with the
 largest impact of a list in every block. A block's bound is the sum of its terms' largest
 impacts; blocks are taken by falling bound, and those that cannot reach the k-th best score
@@ -13,7 +13,8 @@ Before the run over all documents come runs over one document in ``SEEDS[i]``, e
 gives every query a score that k documents reach. No document below it can be among the best,
 so the next run starts there, and a run gives a few times k rows a query, however many shards.
 
-Queries are broadcast in blocks of ``queries_per_block``; more of them mean more passes.
+Queries are broadcast in blocks of about ``terms_per_block`` terms and ``queries_per_block``
+queries; more of them mean more passes.
 
 Score: sum over terms of idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean)) with
 idf = ln(1 + (N - df + 0.5) / (df + 0.5)). Ties go to the least doc_id, NULL last. NULL and
@@ -35,6 +36,8 @@ from shiftgauge.checkpoints import store
 from shiftgauge.llm.rows import give_back, text_chunks, word_counts
 
 BLOCK = 64
+MOST_BLOCKS = 64  # scored at once for a query
+MOST_HELD = 1_000_000  # cells and postings looked at once, for more than one query
 SEEDS = 64, 8
 K1, B = 1.2, 0.75
 _TOPS = "query_id bigint, doc_id bigint, score double"
@@ -83,7 +86,7 @@ def _statistics_rows(words: pa.Array, df: np.ndarray, n: int, total: int) -> pa.
 
 
 def query_terms(
-    queries: DataFrame, statistics: DataFrame, n_docs: int, max_terms: int
+    queries: DataFrame, statistics: DataFrame, n_docs: int, max_terms: int | None
 ) -> DataFrame:
     """query_id, word, idf, place: the terms of each query by tf * idf, then word."""
 
@@ -107,7 +110,9 @@ def query_terms(
     idf = F.log(1 + (F.lit(n_docs) - df + 0.5) / (df + 0.5))
     known = counted.join(statistics.where("word IS NOT NULL"), "word").withColumn("idf", idf)
     best = Window.partitionBy("query_id").orderBy(F.desc(F.col("tf") * F.col("idf")), "word")
-    top = known.withColumn("place", F.row_number().over(best)).where(F.col("place") <= max_terms)
+    top = known.withColumn("place", F.row_number().over(best))
+    if max_terms is not None:
+        top = top.where(F.col("place") <= max_terms)
     return top.select("query_id", "word", "idf", "place")
 
 
@@ -126,10 +131,18 @@ class Queries:
         self.first = np.append(first, len(self.terms))
         self.floors = np.zeros(len(self.ids))
 
-    def batches(self, size: int = 32):
-        """Slices of ``size`` queries: their numbers, query of each term, terms, idf."""
-        for a in range(0, len(self.ids), size):
-            b = min(a + size, len(self.ids))
+    def batches(self, costs: np.ndarray, most: float, size: int = 32):
+        """Slices of queries: their numbers, query of each term, terms, idf.
+
+        A slice has at most ``size`` queries, and more than one only while the ``costs`` of
+        their terms' words add up to ``most``.
+        """
+        spent = np.concatenate([[0.0], np.cumsum(costs[self.terms])])[self.first]
+        b = 0
+        while b < len(self.ids):
+            a = b
+            b = int(np.searchsorted(spent, spent[a] + most, "right")) - 1
+            b = min(max(b, a + 1), a + size, len(self.ids))
             of = np.repeat(np.arange(b - a), np.diff(self.first[a : b + 1]))
             terms = slice(self.first[a], self.first[b])
             yield slice(a, b), of, self.terms[terms], self.idf[terms]
@@ -181,6 +194,9 @@ class Shard:
         self.posting = np.append(starts, len(cells))
         held = np.bincount(terms[starts], minlength=len(self.queries.words))
         self.cell = np.concatenate([[0], np.cumsum(held)])
+        # What a term holds in memory while its query is answered: cells, and postings of a step.
+        listed = np.bincount(terms, minlength=len(held))
+        self.costs = held + listed * min(1.0, MOST_BLOCKS / max(1, self.n_blocks))
 
     def top(
         self, of: np.ndarray, terms: np.ndarray, idf: np.ndarray, floors: np.ndarray, k: int
@@ -214,7 +230,7 @@ class Shard:
             kth = np.flatnonzero(np.bincount(best[0], minlength=n) == k)
             ends = np.searchsorted(best[0], kth, "right") - 1
             floors[kth] = np.maximum(floors[kth], best[2][ends])
-            step = min(4 * step, 64)
+            step = min(4 * step, MOST_BLOCKS)
 
     def _scored(self, chosen, slots, cells, weights, floors):
         """(query, document, score) of the documents in the chosen blocks that reach the floor."""
@@ -259,7 +275,7 @@ def _shard_tops(
 
         def answers():
             shard.index()
-            for part, of, terms, idf in queries.batches():
+            for part, of, terms, idf in queries.batches(shard.costs, MOST_HELD):
                 query, doc, score = shard.top(of, terms, idf, queries.floors[part], k)
                 if len(query):
                     yield pa.RecordBatch.from_arrays(
@@ -296,14 +312,16 @@ def search(
     queries: DataFrame,
     k: int = 10,
     *,
-    max_terms: int = 16,
+    max_terms: int | None = None,
     queries_per_block: int = 100_000,
+    terms_per_block: int = 2_000_000,
     shard_docs: int = 65_536,
     shard_postings: int = 4_000_000,
 ) -> DataFrame:
     """query_id, rank (from 1), doc_id, score: the best ``k`` of ``docs`` per row of ``queries``.
 
-    ``docs`` has doc_id and text, ``queries`` query_id and text.
+    ``docs`` has doc_id and text, ``queries`` query_id and text. ``max_terms`` shortens the
+    queries; without it every word counts.
     """
     spark = docs.sparkSession
     docs = docs.select(
@@ -319,6 +337,7 @@ def search(
     terms, seen = store(
         query_terms(queries, statistics, n_docs, max_terms),
         n=F.count(F.when(F.col("place") == 1, 1)),
+        terms=F.count(F.lit(1)),
     )
     # Many small files make as many small shards, each with its own best k; merge their reading.
     enough = max(spark.sparkContext.defaultParallelism, n_words // shard_postings + 1)
@@ -332,12 +351,14 @@ def search(
         for one_in in SEEDS
     ]
     sizes = n_words / max(1, n_docs), k, shard_docs, shard_postings
-    blocks = max(1, math.ceil(seen["n"] / queries_per_block))
+    blocks = max(
+        1, math.ceil(seen["n"] / queries_per_block), math.ceil(seen["terms"] / terms_per_block)
+    )
     block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
     tops = None
     for i in range(blocks):
         own = terms.where(block == i).select("query_id", "word", "idf")
-        asked = Queries(own.toArrow())  # about queries_per_block * max_terms short rows
+        asked = Queries(own.toArrow())  # about terms_per_block short rows
         for some in seeds:
             kth = _best(_shard_tops(some, asked, *sizes), k).where(F.col("rank") == k)
             kth = kth.select("query_id", "score").toArrow()  # a row per query at most

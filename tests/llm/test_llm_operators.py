@@ -433,6 +433,29 @@ def test_search_against_brute_force(spark, shard):
         assert got[query] == expected
 
 
+@pytest.mark.parametrize("sizes", [{}, {"terms_per_block": 400, "shard_docs": 90}])
+def test_search_takes_every_word_of_a_query(spark, sizes):
+    rng = random.Random(14)
+    texts = {i: " ".join(f"t{rng.randrange(300)}" for _ in range(60)) for i in range(600)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    queries = docs.where("doc_id % 20 = 0").selectExpr("doc_id AS query_id", "text")
+    got = defaultdict(list)
+    found = search.search(docs, queries, 10, **sizes).orderBy("query_id", "rank")
+    for r in found.collect():
+        got[r.query_id].append((r.doc_id, round(r.score, 9)))
+    own = {i: Counter(t.split()) for i, t in texts.items()}
+    df = Counter(w for c in own.values() for w in c)
+    idf = {w: math.log(1 + (600 - d + 0.5) / (d + 0.5)) for w, d in df.items()}
+    for query in range(0, 600, 20):
+        assert len(own[query]) > 16
+        scores = {
+            i: sum(idf[w] * c[w] * 2.2 / (c[w] + 1.2) for w in sorted(own[query]) if c[w])
+            for i, c in own.items()
+        }  # all texts are of the mean length
+        expected = sorted(((i, round(x, 9)) for i, x in scores.items()), key=lambda x: (-x[1], x[0]))
+        assert got[query] == expected[:10]
+
+
 def test_search_of_odd_rows(docs, no_docs):
     found = search.search(docs, docs.selectExpr("doc_id AS query_id", "text"), 3)
     assert {r.doc_id for r in found.where("query_id = 5").collect()} == {5}
