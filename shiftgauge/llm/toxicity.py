@@ -3,7 +3,9 @@
 Noisy channel: a word may have been written with look-alike characters, repeated letters,
 signs between letters or its letters apart. Its character lattice holds what each sign may
 stand for; Viterbi decoding finds the likeliest path under a character trigram model of the
-corpus and the costs of the channel. The restored text is scored by a logistic model over
+corpus and the costs of the channel. Signs between letters, and in a run of single letters every
+letter, may be followed by a word break. Stretches and runs of any length are decoded whole; a
+repetition is one step, however long. The restored text is scored by a logistic model over
 words and their first letters, learnt from labels.
 
 The language model counts the trigrams of every word of every document given: each task sums
@@ -44,11 +46,14 @@ _LOOKS_LIKE = {
 }
 # Costs of the channel, in nats: a look-alike, a sign left out, a repetition undone.
 _SWAP, _DROP, _DROP_LOOK, _UNDO = 1.0, 0.5, 5.0, 0.3
+# Three letters hardly tell where words end, so a restored word of ``_LONG`` letters is also read
+# with so many nats for each word break.
+_LONG, _EAGER = 8, 2.0
 
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _WORDS = re.compile(r"[^\W\d_]+")
 _SIGN_FIRST = re.compile(r"[$@|(€+][^\W\d_]")
-_THRICE = re.compile(r"(.)\1\1")
+_TWICE = re.compile(r"(.)\1")
 
 
 def char_class(char: str) -> int:
@@ -103,60 +108,107 @@ def language_model(docs: DataFrame) -> np.ndarray:
     two = n.sum(axis=0)
     two = (two + 5 * one) / (two.sum(axis=1, keepdims=True) + 5)
     three = (n + 5 * two[None]) / (n.sum(axis=2, keepdims=True) + 5)
+    # After a word break: the first letters of words.
+    first = n[0].sum(axis=1)
+    three[:, 0] = (first + 5 * one) / (first.sum() + 5)
     return np.log(three).astype(np.float32)
 
 
 # --- noisy channel -----------------------------------------------------------------
 
 
-def restore(word: str, model: np.ndarray) -> str:
-    """The likeliest undisguised form of a lower-case word, by Viterbi decoding."""
-    steps: list[list[tuple[str, float]]] = []
-    for m in re.finditer(r"(.)\1*", word, re.DOTALL):
-        char, n = m.group(1), len(m.group())
-        if char.isalpha():
-            options = [(char, 0.0 if n == 1 else _UNDO)]
+def _options(char: str, n: int, apart: bool) -> list[tuple[str, float]]:
+    """What a sign that stands ``n`` times may stand for, and the cost."""
+    if char.isalpha():
+        options = [(char, 0.0 if n == 1 else _UNDO)]
+        if n >= 2:
+            twice = 0.0 if n == 2 else _UNDO
+            options += [(char * 2, twice)] + [(f"{char} {char}", twice)] * apart
+    else:
+        drop = _DROP_LOOK if char in _LOOKS_LIKE else _DROP
+        options = [("", drop), (" ", drop)]
+        for letter in _LOOKS_LIKE.get(char, ""):
+            options.append((letter, _SWAP))
             if n >= 2:
-                options.append((char * 2, 0.0 if n == 2 else _UNDO))
-        else:
-            options = [("", _DROP_LOOK if char in _LOOKS_LIKE else _DROP)]
-            for letter in _LOOKS_LIKE.get(char, ""):
-                options.append((letter, _SWAP))
-                if n >= 2:
-                    options.append((letter * 2, _SWAP))
-        steps.append(options)
-    paths = {(0, 0): (0.0, "")}
+                options.append((letter * 2, _SWAP))
+    if apart:
+        options += [(letters + " ", cost) for letters, cost in options if letters.strip()]
+    return options
+
+
+def restore(word: str, model: np.ndarray, apart: bool = False, eager: float = 0.0) -> str:
+    """The likeliest undisguised words of a lower-case stretch, by Viterbi decoding.
+
+    ``apart`` says that its letters were written apart, so a word may end after each;
+    ``eager`` is what a word break gains.
+    """
+    steps = [
+        _options(m.group(1), len(m.group()), apart)
+        for m in re.finditer(r"(.)\1*", word, re.DOTALL)
+    ]
+    # A path is its score and the letters of its steps, each with those before it.
+    paths = {(0, 0): (0.0, None)}
     for options in [*steps, [(" ", 0.0)]]:
-        better: dict[tuple[int, int], tuple[float, str]] = {}
+        better: dict[tuple[int, int], tuple[float, tuple | None]] = {}
         for (a, b), (score, done) in paths.items():
             for letters, cost in options:
                 x, y, s = a, b, score - cost
                 for char in letters:
                     c = char_class(char)
-                    s += float(model[x, y, c])
-                    x, y = y, c
+                    if c:
+                        s += float(model[x, y, c])
+                        x, y = y, c
+                    elif y:
+                        s += float(model[x, y, 0]) + eager
+                        x = y = 0
                 if (x, y) not in better or s > better[x, y][0]:
-                    better[x, y] = (s, done + letters)
+                    better[x, y] = (s, (done, letters))
         paths = better
-    return max(paths.values())[1].strip()
+    done, found = max(paths.values(), key=lambda path: path[0])[1], []
+    while done:
+        done, letters = done
+        found.append(letters)
+    return "".join(reversed(found)).strip()
+
+
+def _restored(form: str, model: np.ndarray, apart: bool = False) -> list[str]:
+    words = restore(form, model, apart).split()
+    if (apart or not form.isalpha()) and any(len(w) >= _LONG for w in words):
+        words += restore(form, model, apart, _EAGER).split()
+    return words
 
 
 def words_in(piece: str, model: np.ndarray) -> tuple[str, ...]:
-    """Lower-case words of a stretch without white space, and its restored form."""
+    """Lower-case words of a stretch without white space, and those of its restored forms."""
     low = piece.lower()
     core = _EDGE.sub("", low)
-    if core.isalpha() and not _THRICE.search(core) and not _SIGN_FIRST.match(low):
-        words = (core,)
+    if core.isalpha() and not _TWICE.search(core) and not _SIGN_FIRST.match(low):
+        words = [core]
     else:
-        words = tuple(_WORDS.findall(low))
+        words = _WORDS.findall(low)
         # A look-alike may stand at an end ("$tupid", "idi0t!"), so both forms are tried.
         for form in {core, low.strip(".,;:?\"'")}:
-            letters = sum(map(str.isalpha, form))
-            if letters and 3 <= len(form) <= 40 and not form.isalpha() or _THRICE.search(form):
-                words += (restore(form[:40], model),)
+            if len(form) >= 3 and any(map(str.isalpha, form)):
+                if not form.isalpha() or _TWICE.search(form):
+                    words += _restored(form, model)
     return tuple(w for w in dict.fromkeys(words) if w)
 
 
+def lone_sign(piece: str) -> str:
+    """The letter, digit or look-alike that a stretch consists of but for marks around; or nothing."""
+    if len(piece) == 1:
+        return piece if piece.isalnum() or piece in _LOOKS_LIKE else ""
+    core = _EDGE.sub("", piece) if len(piece) <= 4 else ""
+    return core if len(core) == 1 else ""
+
+
+def words_apart(letters: str, model: np.ndarray) -> tuple[str, ...]:
+    """Words of a run of signs that stood apart."""
+    if not any(map(str.isalpha, letters)):
+        return ()
+    return tuple(dict.fromkeys(_restored(letters.lower(), model, apart=True)))
+
+
 def features_of(word: str) -> list[str]:
     return [word + "$", *[word[:n] for n in PREFIXES if n <= len(word)]]
 
@@ -174,14 +226,17 @@ class Reader:
 
     def __init__(self, model: np.ndarray, value=lambda words: words, most: int = 150_000):
         self.model, self.value, self.most = model, value, most
-        self.known: dict[str, tuple] = {}
+        self.known: dict[tuple, tuple] = {}
 
-    def of(self, piece: str) -> tuple:
-        made = self.known.get(piece)
+    def of(self, piece: str, words=words_in) -> tuple:
+        key = words, piece
+        made = self.known.get(key)
         if made is None:
-            if len(self.known) >= self.most:
-                self.known.clear()
-            made = self.known[piece] = self.value(words_in(piece, self.model))
+            made = self.value(words(piece, self.model))
+            if len(piece) <= 256:
+                if len(self.known) >= self.most:
+                    self.known.clear()
+                self.known[key] = made
         return made
 
     def read(self, texts: pa.Array):
@@ -193,17 +248,16 @@ class Reader:
         codes, starts, different = _pieces(texts)
         values = list(map(self.of, different))
         filled = np.fromiter(map(bool, values), bool, len(values))[codes]
-        single = np.fromiter((len(p) == 1 and p.isalnum() for p in different), bool, len(different))
-        apart = single[codes]
+        signs = list(map(lone_sign, different))
+        apart = np.fromiter(map(bool, signs), bool, len(signs))[codes]
         for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             out = [values[c] for c in codes[a:b][filled[a:b]].tolist()]
             if apart[a:b].any():
                 edges = np.flatnonzero(np.diff(np.r_[False, apart[a:b], False].astype(np.int8)))
                 for s, e in edges.reshape(-1, 2).tolist():
-                    if e - s >= 4:  # letters written apart; a long run word by word
-                        letters = [different[c] for c in codes[a + s : a + e].tolist()]
-                        for i in range(0, len(letters), 20):
-                            out.append(self.of("".join(letters[i : i + 40])))
+                    if e - s >= 2:  # letters written apart
+                        letters = "".join([signs[c] for c in codes[a + s : a + e].tolist()])
+                        out.append(self.of(letters, words_apart))
             yield out, b - a
 
 

@@ -494,6 +494,42 @@ def test_disguised_words_are_restored(spark):
         assert word in toxicity.words_in(disguise, lm), disguise
 
 
+@pytest.fixture(scope="module")
+def small_model(spark):
+    corpus = "the idiot was a stupid one and you are a loser but the clown is not so dumb " * 30
+    return toxicity.language_model(spark.createDataFrame([(corpus,)], "text string"))
+
+
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("a s t u p i d", {"a", "stupid"}),
+        ("y o u i d i o t", {"you", "idiot"}),
+        ("$ t u p i d", {"stupid"}),
+        ("i d 1 o t, really", {"idiot"}),
+        ("so d u m b", {"dumb"}),
+        ("n o t", {"not"}),
+        ("t h e c l o w n i s n o t a s t u p i d i d i o t", {"clown", "stupid", "idiot"}),
+    ],
+)
+def test_words_written_apart_are_found(small_model, text, expected):
+    [(groups, _)] = toxicity.Reader(small_model).read(pa.array([text]))
+    assert expected <= {w for group in groups for w in group}
+
+
+@pytest.mark.parametrize(
+    ("piece", "expected"),
+    [
+        ("i" * 60 + "diot", {"idiot"}),
+        ("s.t.u.p.i.d.i.d.i.o.t", {"stupid", "idiot"}),
+        ("t-h-e-c-l-o-w-n-i-s-n-o-t-s-o-s-t-u-p-i-d-b-u-t-y-o-u-a-r-e", {"clown", "stupid", "you"}),
+        ("stuupiid", {"stupid"}),
+    ],
+)
+def test_stretches_are_restored_whole(small_model, piece, expected):
+    assert expected <= set(toxicity.words_in(piece, small_model))
+
+
 def test_toxicity_learns_and_takes_odd_rows(spark, docs, no_docs):
     rng = random.Random(6)
     plain = [f"w{i}" for i in range(50)]
