@@ -98,17 +98,22 @@ def _proposed(text: str):
 
 
 def _further(text: str):
-    for m in _IBAN.finditer(text):
+    m = _IBAN.search(text)
+    while m:
         # The longest part that passes: a following word in capitals is no part of it.
         found = m.group()
+        end = m.start() + (found.find(" ") if " " in found else len(found))
         while found:
             plain = found.replace(" ", "")
             if len(plain) < 15:
                 break
             if mod97(plain):
-                yield "iban", m.start(), m.start() + len(found)
+                end = m.start() + len(found)
+                yield "iban", m.start(), end
                 break
             found = found[: found.rfind(" ")] if " " in found else ""
+        # What was cut off, or after a failure the next word, may begin another one.
+        m = _IBAN.search(text, end)
     if "-" in text:
         for m in _SSN.finditer(text):
             yield "ssn", *m.span()

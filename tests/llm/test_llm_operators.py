@@ -286,6 +286,14 @@ def test_redaction_and_checksums(docs):
     assert "[EMAIL]" in text and "[IP]" in text and "[CARD]" in text and "bob" not in text
 
 
+def test_accounts_in_a_row_are_all_found():
+    first, second = "DE89 3704 0044 0532 0130 00", "GB29 NWBK 6016 1331 9268 19"
+    for text in (f"{first} {second}", f"{first} {second} {first}", f"AB12 WORDS IN CAPITALS {second}"):
+        got = [text[a:b] for kind, a, b, _ in personal_data.scan(text) if kind == "iban"]
+        assert got == [m for m in re.findall(f"{first}|{second}", text)]
+        assert second not in personal_data.redact(text)
+
+
 def test_licenses_against_brute_force(spark, docs, no_docs):
     more = [
         (20, "MIT under the MIT license, UNDER-the mit LICENSE and cc by nc by nc"),
