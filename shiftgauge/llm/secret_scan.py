@@ -3,7 +3,8 @@
 Recursive decoding worklist: the text itself is the first layer. Each layer is scanned, and
 its encoded stretches (percent and backslash escapes, character references, base64, hex,
 and compressed data below the last two) are decoded into new layers until nothing new
-appears. A layer that was seen before, a cycle included, is not opened again. A finding in
+appears. A layer that was seen before below the same stretch, a cycle included, is not opened
+again; a stretch that stands at several places is opened once and reported at each. A finding in
 a decoded layer is reported where its encoded form stands in the text: escapes map
 character by character, base64, hex and compressed data as the whole stretch.
 
@@ -81,25 +82,45 @@ def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     spans = list(_matches(text))
     base = [s for s in spans if s[0] in BASE]
     more = {s for s in spans if s[0] not in BASE}
-    seen = {text}
     truncated = False
-    # A layer is its text and where each character stands: a list of edges, or one stretch.
-    work = [(text, None)]
-    while work:
-        layer, place = work.pop()
-        for inner, where, cut in _unwrapped(layer, place):
-            truncated |= cut
-            if inner in seen:
-                continue
-            seen.add(inner)
-            work.append((inner, where))
-            for kind, a, b in _matches(inner):
-                start, end = _outer(where, a, b)
-                more.add((kind, start, end))
+    # Escapes keep the place of each character; what is below a stretch has the stretch's place.
+    layer, place, seen = text, None, {text}
+    opened: dict[str, tuple[set[str], bool]] = {}
+    while True:
+        for inner, where, cut in _stretches(layer, place):
+            if inner not in opened:
+                opened[inner] = _below(inner)
+            kinds, deeper = opened[inner]
+            truncated |= cut or deeper
+            more |= {(kind, *where) for kind in kinds}
+        layer, place = _unescaped(layer, place) or (text, None)
+        if layer in seen:
+            break
+        seen.add(layer)
+        more |= {(kind, *_outer(place, a, b)) for kind, a, b in _matches(layer)}
     more -= set(base)
     return _ordered(base), _ordered(more), truncated
 
 
+def _below(text: str) -> tuple[set[str], bool]:
+    """Kinds found in a decoded stretch and in all layers below it, and whether one was cut."""
+    kinds, truncated = set(), False
+    seen, work = {text}, [text]
+    while work:
+        layer = work.pop()
+        kinds.update(kind for kind, _, _ in _matches(layer))
+        found = [(inner, cut) for inner, _, cut in _stretches(layer, (0, 0))]
+        whole = _unescaped(layer, (0, 0))
+        if whole is not None:
+            found.append((whole[0], False))
+        for inner, cut in found:
+            truncated |= cut
+            if inner not in seen:
+                seen.add(inner)
+                work.append(inner)
+    return kinds, truncated
+
+
 def _outer(place, a: int, b: int) -> tuple[int, int]:
     """Where characters a to b of a layer stand in the text."""
     if place is None:
@@ -109,12 +130,8 @@ def _outer(place, a: int, b: int) -> tuple[int, int]:
     return place[a][0], place[b - 1][1]
 
 
-def _unwrapped(text: str, place):
-    """Layers one step below: (text, place, whether cut)."""
-    if "%" in text or "\\" in text or "&" in text:
-        whole = _unescaped(text, place)
-        if whole is not None:
-            yield *whole, False
+def _stretches(text: str, place):
+    """Decoded stretches one step below: (text, place, whether cut)."""
     for m in _BASE64.finditer(text):
         data = _from_base64(m.group())
         if data is not None:
@@ -129,6 +146,8 @@ def _unwrapped(text: str, place):
 
 def _unescaped(text: str, place):
     """The layer with its escapes decoded, and the place of each character."""
+    if "%" not in text and "\\" not in text and "&" not in text:
+        return None
     out: list[str] = []
     where: list[tuple[int, int]] = []
     at = 0

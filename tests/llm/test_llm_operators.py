@@ -256,6 +256,16 @@ def test_secrets_below_layers(wrapped):
     assert ("assign", 6, 6 + len(wrapped)) in more
 
 
+def test_every_copy_of_an_encoded_secret_is_reported():
+    once = base64.b64encode(SECRET.encode()).decode()
+    twice = base64.b64encode(f"see {once} there".encode()).decode()
+    text = f"{once} and {once}\n{twice} %41 {once} {twice}"
+    _, more, _ = secret_scan.scan(text)
+    places = {m.span() for m in re.finditer(f"{re.escape(once)}|{re.escape(twice)}", text)}
+    assert len(places) == 5
+    assert {(a, b) for kind, a, b in more if kind == "assign"} >= places
+
+
 def test_self_encoding_layers_end():
     text = "%25" * 200 + " %2525252541"
     assert secret_scan.scan(text)[2] is False
