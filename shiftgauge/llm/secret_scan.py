@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import codecs
 import html
 import re
 import zlib
@@ -49,6 +50,12 @@ _ESCAPE = re.compile(
     r"|(&(?:\#[0-9]{1,7}|\#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]{2,8});)"
 )
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Lines of base64 that one stretch was wrapped over.
+_WRAPPED = re.compile(
+    r"(?<![A-Za-z0-9+/_-])(?:[A-Za-z0-9+/_-]{16,}+\r?\n[ \t]*+)+[A-Za-z0-9+/_-]++={0,2}"
+)
+_SEPARATOR = re.compile(r"[/_-]+")
+_CONTROL = re.compile(r"[\x00-\x08\x0b\x0c\x0e-\x1f\x7f-\x9f]")
 _HEX_ANY = re.compile(r"(?:[0-9A-Fa-f]{2}){12,}")
 
 
@@ -133,11 +140,18 @@ def _outer(place, a: int, b: int) -> tuple[int, int]:
 def _stretches(text: str, place):
     """Decoded stretches one step below: (text, place, whether cut)."""
     for m in _BASE64.finditer(text):
-        data = _from_base64(m.group())
-        if data is not None:
-            inner, cut = _readable(data)
+        for a, b, inner, cut in _base64_parts(m.group()):
+            yield inner, _outer(place, m.start() + a, m.start() + b), cut
+    for m in _WRAPPED.finditer(text) if "\n" in text else ():
+        lines = m.group().split()
+        # The last line may be a word that follows.
+        for n in (len(lines), len(lines) - 1):
+            data = _from_base64("".join(lines[:n])) if n > 1 else None
+            inner, cut = _readable(data) if data is not None else (None, False)
             if inner:
-                yield inner, _outer(place, *m.span()), cut
+                end = m.end() if n == len(lines) else m.start() + len(m.group()[: -len(lines[-1])].rstrip())
+                yield inner, _outer(place, m.start(), end), cut
+                break
     for m in _HEX_ANY.finditer(text):
         inner, cut = _readable(bytes.fromhex(m.group()))
         if inner:
@@ -154,10 +168,7 @@ def _unescaped(text: str, place):
     for m in _ESCAPE.finditer(text):
         percent, u, x, entity = m.groups()
         if percent:
-            try:
-                made = bytes.fromhex(percent.replace("%", "")).decode()
-            except UnicodeDecodeError:
-                continue
+            made = bytes.fromhex(percent.replace("%", "")).decode(errors="replace")
         elif entity:
             made = html.unescape(entity)
             if made == entity:
@@ -182,6 +193,38 @@ def _unescaped(text: str, place):
     return "".join([*out, text[at:]]), where
 
 
+def _base64_parts(word: str):
+    """(start, end, text, whether cut) of a stretch, or of its parts that separators begin or end."""
+    data = _from_base64(word)
+    inner, cut = _readable(data) if data is not None else (None, False)
+    if inner:
+        yield 0, len(word), inner, cut
+        return
+    edges = [m.span() for m in _SEPARATOR.finditer(word)]
+    starts = [0] + [b for _, b in edges]
+    ends = [a for a, _ in edges] + [len(word)]
+    rest = False
+    for a, b in zip(starts, ends, strict=True):
+        # From here to the end unless that is part of what was found, and up to the next one.
+        for end in dict.fromkeys((len(word), b)):
+            if end - a < 16 or (a, end) == (0, len(word)) or rest or not _promising(word[a : a + 16]):
+                continue
+            data = _from_base64(word[a:end])
+            inner, cut = _readable(data) if data is not None else (None, False)
+            if inner:
+                yield a, end, inner, cut
+                rest = end == len(word)
+
+
+def _promising(word: str) -> bool:
+    """Whether 16 characters begin text or compressed data; spares decoding all that follows."""
+    data = _from_base64(word) or b""
+    if data[:1] == b"\x78" or data[:2] == b"\x1f\x8b":
+        return True
+    text = codecs.getincrementaldecoder("utf-8")("replace").decode(data)
+    return bool(text) and "\ufffd" not in text and not _CONTROL.search(text)
+
+
 def _from_base64(word: str) -> bytes | None:
     body = word.rstrip("=").translate(_URL_SAFE)
     body = body[: len(body) // 4 * 4 + (0 if len(body) % 4 == 1 else len(body) % 4)]
@@ -210,7 +253,8 @@ def _readable(data: bytes) -> tuple[str | None, bool]:
     except UnicodeDecodeError:
         return None, cut
     shown = sum(32 <= ord(c) < 127 or c in "\t\r\n" for c in text)
-    return (text if len(text) >= 6 and shown >= 0.9 * len(text) else None), cut
+    plain = shown >= 0.9 * len(text) or not _CONTROL.search(text)
+    return (text if len(text) >= 6 and plain else None), cut
 
 
 def _ordered(spans) -> list[tuple[str, int, int]]:

@@ -266,6 +266,31 @@ def test_every_copy_of_an_encoded_secret_is_reported():
     assert {(a, b) for kind, a, b in more if kind == "assign"} >= places
 
 
+def _encoded(data):
+    return base64.b64encode(data).decode()
+
+
+NOISE = bytes(random.Random(3).randrange(256) for _ in range(300))
+FOREIGN = "пароль сервера: password=hunter2secret"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        _encoded(FOREIGN.encode()),
+        FOREIGN.encode().hex(),
+        "/path/of/" + _encoded(SECRET.encode()),
+        "id-" + _encoded(SECRET.encode()) + " end",
+        base64.encodebytes(zlib.compress(SECRET.encode() + NOISE.hex().encode())).decode(),
+        base64.encodebytes(zlib.compress(SECRET.encode() + NOISE.hex().encode())).decode() + "Regards",
+        urllib.parse.quote(SECRET) + "%20%FF",
+        "%FF" + "".join(f"%{ord(c):02X}" for c in SECRET) + "%20",
+    ],
+)
+def test_all_encoded_layers_are_opened(text):
+    assert any(kind == "assign" for kind, _, _ in secret_scan.scan(text)[1])
+
+
 def test_self_encoding_layers_end():
     text = "%25" * 200 + " %2525252541"
     assert secret_scan.scan(text)[2] is False
