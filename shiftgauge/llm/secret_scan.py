@@ -148,14 +148,14 @@ def _stretches(text: str, place):
         for n in (len(lines), len(lines) - 1):
             data = _from_base64("".join(lines[:n])) if n > 1 else None
             inner, cut = _readable(data) if data is not None else (None, False)
-            if inner:
+            if inner or cut:
                 end = m.end() if n == len(lines) else m.start() + len(m.group()[: -len(lines[-1])].rstrip())
-                yield inner, _outer(place, m.start(), end), cut
+                yield inner or "", _outer(place, m.start(), end), cut
                 break
     for m in _HEX_ANY.finditer(text):
         inner, cut = _readable(bytes.fromhex(m.group()))
-        if inner:
-            yield inner, _outer(place, *m.span()), cut
+        if inner or cut:
+            yield inner or "", _outer(place, *m.span()), cut
 
 
 def _unescaped(text: str, place):
@@ -197,8 +197,8 @@ def _base64_parts(word: str):
     """(start, end, text, whether cut) of a stretch, or of its parts that separators begin or end."""
     data = _from_base64(word)
     inner, cut = _readable(data) if data is not None else (None, False)
-    if inner:
-        yield 0, len(word), inner, cut
+    if inner or cut:
+        yield 0, len(word), inner or "", cut
         return
     edges = [m.span() for m in _SEPARATOR.finditer(word)]
     starts = [0] + [b for _, b in edges]
@@ -211,8 +211,8 @@ def _base64_parts(word: str):
                 continue
             data = _from_base64(word[a:end])
             inner, cut = _readable(data) if data is not None else (None, False)
-            if inner:
-                yield a, end, inner, cut
+            if inner or cut:
+                yield a, end, inner or "", cut
                 rest = end == len(word)
 
 
@@ -237,19 +237,32 @@ def _from_base64(word: str) -> bytes | None:
 _URL_SAFE = str.maketrans("-_", "+/")
 
 
+def _decompressed(data: bytes) -> tuple[bytes, bool]:
+    """All members up to ``MAX_LAYER`` bytes, and whether there are more; bad data as it is."""
+    parts, room, rest = [], MAX_LAYER, data
+    while True:
+        engine = zlib.decompressobj(47)
+        try:
+            made = engine.decompress(rest, room)
+        except zlib.error:
+            return (b"".join(parts) if parts else data), False
+        parts.append(made)
+        room -= len(made)
+        rest = engine.unused_data
+        more = engine.eof and rest[:2] == b"\x1f\x8b"
+        if room <= 0 or not more:
+            return b"".join(parts), room <= 0 and (more or not engine.eof)
+
+
 def _readable(data: bytes) -> tuple[str | None, bool]:
     """The data as text, decompressed if need be; None if it is no text."""
     cut = False
     zipped = data[:1] == b"\x78" and len(data) > 1 and not (data[0] * 256 + data[1]) % 31
     if zipped or data[:2] == b"\x1f\x8b":
-        engine = zlib.decompressobj(47)
-        try:
-            data = engine.decompress(data, MAX_LAYER)
-            cut = bool(engine.unconsumed_tail)
-        except zlib.error:
-            pass
+        data, cut = _decompressed(data)
     try:
-        text = data.decode()
+        # A cut may fall inside a character, which is left out then.
+        text = codecs.getincrementaldecoder("utf-8")().decode(data, not cut)
     except UnicodeDecodeError:
         return None, cut
     shown = sum(32 <= ord(c) < 127 or c in "\t\r\n" for c in text)

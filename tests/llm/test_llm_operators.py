@@ -291,6 +291,19 @@ def test_all_encoded_layers_are_opened(text):
     assert any(kind == "assign" for kind, _, _ in secret_scan.scan(text)[1])
 
 
+def test_members_and_cuts_of_compressed_layers(monkeypatch):
+    members = gzip.compress(b"first part ") + gzip.compress(SECRET.encode())
+    _, more, truncated = secret_scan.scan(_encoded(members))
+    assert any(kind == "assign" for kind, _, _ in more) and not truncated
+    monkeypatch.setattr(secret_scan, "MAX_LAYER", 100)
+    long = gzip.compress((SECRET + " " + "ф" * 500).encode())
+    for size in (100, 101):
+        monkeypatch.setattr(secret_scan, "MAX_LAYER", size)
+        _, more, truncated = secret_scan.scan(_encoded(long))
+        assert any(kind == "assign" for kind, _, _ in more) and truncated
+    assert secret_scan.scan(_encoded(gzip.compress(NOISE * 9)))[2]
+
+
 def test_self_encoding_layers_end():
     text = "%25" * 200 + " %2525252541"
     assert secret_scan.scan(text)[2] is False
