@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shiftgauge.checkpoints import scratch_path
 from shiftgauge.llm import (
+    centroids,
     decontaminate,
     jaccard,
     language_id,
@@ -71,6 +72,10 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_index(spark, path)
 
 
+def _centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.centroid_digest(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": _licenses,
@@ -83,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_search": _search,
         "op9_best_fit_packing": _packing,
         "op10_token_files": _token_files,
+        "op12_centroid_clustering": _centroids,
     }
 
 
