@@ -13,6 +13,7 @@ from shiftgauge.llm import (
     jaccard,
     language_id,
     license_scan,
+    one_permutation,
     packing,
     personal_data,
     search,
@@ -76,6 +77,10 @@ def _centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.centroid_digest(_table(spark, sf_dir, "embeddings"))
 
 
+def _one_permutation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return one_permutation.component_digest(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_license_scan": _licenses,
@@ -89,6 +94,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_best_fit_packing": _packing,
         "op10_token_files": _token_files,
         "op12_centroid_clustering": _centroids,
+        "op13_minhash_near_dedup": _one_permutation,
     }
 
 
