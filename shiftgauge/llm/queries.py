@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from shiftgauge.checkpoints import scratch_path
 from shiftgauge.llm import (
     centroids,
+    collocations,
     decontaminate,
     jaccard,
     language_id,
@@ -73,6 +74,10 @@ def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_index(spark, path)
 
 
+def _collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def _centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.centroid_digest(_table(spark, sf_dir, "embeddings"))
 
@@ -93,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_search": _search,
         "op9_best_fit_packing": _packing,
         "op10_token_files": _token_files,
+        "op11_phrase_collocations": _collocations,
         "op12_centroid_clustering": _centroids,
         "op13_minhash_near_dedup": _one_permutation,
     }
