@@ -2,11 +2,13 @@
 
 1. *Heads.* Every word of a piece starts a suffix; its head is the first ``max_words`` words,
    fewer at the end of a piece. A task counts equal heads of a slice of texts before anything
-   is shuffled, so a repeated line is one row a slice.
-2. *Routing.* Heads go to tasks by their leading word. Leading words with more than 1/``SHARE``
-   of all heads (so fewer than ``SHARE`` of them) are routed by two words, such pairs by three:
-   a hot word is spread, and still every longer phrase is whole in one task. The counts of the
-   few hot prefixes themselves are summed apart.
+   is shuffled, so a repeated line is one head a slice.
+2. *Routing.* Heads go to tasks by their leading word; those of one slice for one task travel in
+   one row. Hot leading words are routed by two words, hot pairs by three: a hot word is spread,
+   and still every longer phrase is whole in one task. A first pass finds them: a prefix is hot
+   if the slices in which it has more than 1/``SHARE`` of the words hold more than 1/``SHARE`` of
+   all words in it. So fewer than ``SHARE`` prefixes of a length are hot, and others have less
+   than 2/``SHARE`` of all words. The counts of hot prefixes are summed from their parts.
 3. *Sorting.* A task sorts pointers to its heads by three-way partitions: less than, equal to
    and greater than a pivot word. The size of an equal partition is the count of the phrase so
    far; it goes on one word deeper, the others at the same depth. A partition with fewer than
@@ -26,6 +28,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,80 +41,183 @@ from shiftgauge.operators.sizing import broadcast_if_small
 
 _KINDS = byte_kinds(b" \t", b".,;:!?\n\x0b\x0c\r")
 _AT_ONCE = 8 << 20  # bytes of text counted together
+_ROW_HEADS = 1 << 16
+_SPACE, _LINE = pa.scalar(" ", pa.large_string()), pa.scalar("\n", pa.large_string())
 SHARE = 1000
-HEADS_PER_TASK = 1_000_000
+HEADS_PER_TASK = 2_000_000
 
 
 # --- heads -------------------------------------------------------------------------
 
 
-def _head_codes(langs: np.ndarray, words, max_words: int) -> np.ndarray:
-    """words x (1 + max_words): language, then the words of the head from 1, 0 where it ends."""
-    m = len(words.codes)
-    heads = np.zeros((m, 1 + max_words), np.int64)
-    heads[:, 0] = langs[words.rows]
-    for k in range(max_words):
-        here = max(0, m - k)
-        same = words.pieces[:here] == words.pieces[k:]
-        heads[:here, 1 + k] = np.where(same, words.codes[k:] + 1, 0)
-    return heads
-
-
-def _distinct(heads: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
-    """The different rows of ``heads``, whose columns are below ``sizes``, and their counts."""
-    key, size, done = np.zeros(len(heads), np.int64), 1, []
-    for column, most in zip(heads.T, sizes, strict=True):
-        if size * most >= 1 << 62:
-            done, key = np.unique(key, return_inverse=True)
-            size = len(done) + 1
-        key = key * most + column
-        size *= most
-    _, first, counts = np.unique(key, return_index=True, return_counts=True)
-    return heads[first], counts
-
-
-def _heads(docs: DataFrame, max_words: int) -> DataFrame:
-    """lang, w1, w2, ... and n: the heads of every slice of texts with their counts."""
-    names = [f"w{k}" for k in range(1, max_words + 1)]
-    texts = docs.select(
+class Slice:
+    """The heads of some texts, as numbers into their words and languages."""
+
+    def __init__(self, part: pa.RecordBatch, max_words: int):
+        langs = part.column("lang").dictionary_encode()
+        words = words_in(part.column("text"), _KINDS)
+        self.langs, self.words = langs.dictionary, words.dictionary
+        m = len(words.codes)
+        # Language, then the words of the head from 1, 0 where it ends.
+        self.heads = np.zeros((m, 1 + max_words), np.int64)
+        self.heads[:, 0] = langs.indices.to_numpy()[words.rows]
+        for k in range(max_words):
+            here = max(0, m - k)
+            same = words.pieces[:here] == words.pieces[k:]
+            self.heads[:here, 1 + k] = np.where(same, words.codes[k:] + 1, 0)
+        self.sizes = [len(self.langs), *[len(self.words) + 1] * max_words]
+
+    def distinct(self, rows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """The different prefixes of ``length`` words of ``rows``, in order, and their counts."""
+        key, size = np.zeros(len(rows), np.int64), 1
+        for column, most in zip(rows.T[: 1 + length], self.sizes, strict=False):
+            if size * most >= 1 << 62:
+                done, key = np.unique(key, return_inverse=True)
+                size = len(done) + 1
+            key = key * most + column
+            size *= most
+        _, first, counts = np.unique(key, return_index=True, return_counts=True)
+        return rows[first], counts
+
+    def numbers(self, hot: list[tuple]) -> np.ndarray:
+        """Prefixes (lang, w1, ...) as rows of heads; those with words of other slices are left out."""
+        columns = [
+            pc.index_in(pa.array(c, pa.large_string()), kinds).to_numpy(zero_copy_only=False)
+            for c, kinds in zip(
+                zip(*hot, strict=True), [self.langs, *[self.words] * len(self.sizes)], strict=False
+            )
+        ]
+        found = np.column_stack(columns) if columns else np.zeros((0, 1))
+        found = found[~np.isnan(found).any(axis=1)].astype(np.int64)
+        found[:, 1:] += 1
+        return found
+
+    def among(self, rows: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
+        """Which rows start with one of the prefixes."""
+        if not len(prefixes):
+            return np.zeros(len(rows), bool)
+        length = prefixes.shape[1]
+        both = np.vstack([rows[:, :length], prefixes])
+        key, size = both[:, 0], self.sizes[0]
+        for column, most in zip(both.T[1:], self.sizes[1:], strict=False):
+            if size * most >= 1 << 62:
+                done, key = np.unique(key, return_inverse=True)
+                size = len(done) + 1
+            key = key * most + column
+            size *= most
+        return np.isin(key[: len(rows)], key[len(rows) :])
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"),
         F.col("text").cast("string").alias("text"),
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _slices(batches):
-            langs = part.column("lang").dictionary_encode()
-            words = words_in(part.column("text"), _KINDS)
-            if not len(words.codes):
-                continue
-            heads = _head_codes(langs.indices.to_numpy().astype(np.int64), words, max_words)
-            sizes = [len(langs.dictionary), *[len(words.dictionary) + 1] * max_words]
-            heads, counts = _distinct(heads, sizes)
-            for at in range(0, len(heads), 1 << 16):
-                own = heads[at : at + (1 << 16)]
-                columns = [langs.dictionary.take(pa.array(own[:, 0])).cast(pa.string())]
-                for k in range(max_words):
-                    code = pa.array(own[:, 1 + k] - 1, mask=own[:, 1 + k] == 0)
-                    columns.append(words.dictionary.take(code).cast(pa.string()))
-                columns.append(pa.array(counts[at : at + (1 << 16)], pa.int64()))
-                yield pa.RecordBatch.from_arrays(columns, names=["lang", *names, "n"])
-        give_back()
 
-    return texts.mapInArrow(run, f"lang string, {', '.join(f'{w} string' for w in names)}, n bigint")
+def _slices(batches: Iterator[pa.RecordBatch], max_words: int) -> Iterator[Slice]:
+    """Slices of about ``_AT_ONCE`` bytes of text, over the borders of the batches."""
 
+    def joined(held: list[pa.RecordBatch]) -> Slice:
+        table = pa.Table.from_batches(held)
+        columns = [pa.concat_arrays(c.cast(pa.large_string()).chunks) for c in table.columns]
+        return Slice(pa.RecordBatch.from_arrays(columns, names=table.column_names), max_words)
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of about ``_AT_ONCE`` bytes of text, over the borders of the batches."""
     held, size = [], 0
     for batch in batches:
         for part in text_chunks(batch, size=_AT_ONCE):
             held.append(part)
             size += part.nbytes
             if size >= _AT_ONCE:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                yield joined(held)
                 held, size = [], 0
-    if size:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    if held:
+        yield joined(held)
+
+
+def _names(max_words: int) -> list[str]:
+    return [f"w{k}" for k in range(1, max_words + 1)]
+
+
+def _spelled(own: Slice, rows: np.ndarray, length: int) -> list[pa.Array]:
+    """The columns of ``rows`` as strings: language, then ``length`` words, NULL past the end."""
+    columns = [own.langs.take(pa.array(rows[:, 0]))]
+    for k in range(1, length + 1):
+        columns.append(own.words.take(pa.array(rows[:, k] - 1, mask=rows[:, k] == 0)))
+    return columns
+
+
+def _heavy(docs: DataFrame, max_words: int) -> DataFrame:
+    """lang, w1, w2, ... and n: prefixes with a large share of a slice; w1 NULL: all its words."""
+    names = _names(max_words - 1)
+
+    def run(batches):
+        for own in _slices(batches, max_words):
+            rows = own.heads
+            for length in range(max_words):
+                found, counts = own.distinct(rows, length)
+                if length:
+                    large = counts * SHARE > len(own.heads)
+                    found, counts = found[large & (found[:, length] > 0)], counts[large & (found[:, length] > 0)]
+                    rows = rows[own.among(rows, found[:, : 1 + length])]
+                columns = _spelled(own, found, length)
+                columns += [pa.nulls(len(found), pa.large_string())] * (max_words - 1 - length)
+                columns = [c.cast(pa.string()) for c in columns]
+                columns.append(pa.array(counts, pa.int64()))
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", *names, "n"])
+        give_back()
+
+    kinds = ", ".join(f"{w} string" for w in names)
+    found = _texts(docs).mapInArrow(run, f"lang string, {kinds}, n bigint")
+    return found.groupBy("lang", *names).agg(F.sum("n").alias("n"))
+
+
+def _routed(docs: DataFrame, max_words: int, tasks: int, hot) -> DataFrame:
+    """task, lang, level, heads and n: the heads of a slice for a task, one a line, and their counts.
+
+    ``level`` is the length of the hot prefix the heads have; they are routed by one word more.
+    """
+
+    def run(batches):
+        for own in _slices(batches, max_words):
+            heads, counts = own.distinct(own.heads, max_words)
+            if not len(heads):
+                continue
+            level = np.zeros(len(heads), np.int64)
+            for length, prefixes in enumerate(hot.value, 1):
+                level[own.among(heads, own.numbers(prefixes))] = length
+            hashes = lambda kinds: np.fromiter(
+                map(xxhash.xxh3_64_intdigest, kinds.cast(pa.large_binary()).to_pylist()), np.uint64, len(kinds)
+            )
+            route = hashes(own.langs)[heads[:, 0]]
+            words = np.append(np.zeros(1, np.uint64), hashes(own.words))
+            for k in range(1, max_words + 1):
+                step = (route ^ (route >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + words[heads[:, k]]
+                route = np.where(level >= k - 1, step, route)
+            route = (route ^ (route >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
+            task = ((route >> np.uint64(16)) % np.uint64(tasks)).astype(np.int64)
+            group = (task * len(own.langs) + heads[:, 0]) * max_words + level
+            order = np.argsort(group, kind="stable")
+            group, heads, counts = group[order], heads[order], counts[order]
+            lines = pc.binary_join_element_wise(*_spelled(own, heads, max_words)[1:], _SPACE, null_handling="skip")
+            new = np.flatnonzero(np.diff(group, prepend=-1))
+            new = np.union1d(new, np.arange(0, len(heads), _ROW_HEADS))
+            ends = np.append(new, len(heads))
+            joined = pc.binary_join(pa.LargeListArray.from_arrays(ends, lines), _LINE)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(group[new] // (len(own.langs) * max_words), pa.int32()),
+                    own.langs.take(pa.array(heads[new, 0])).cast(pa.string()),
+                    pa.array(group[new] % max_words, pa.int32()),
+                    joined.cast(pa.string()),
+                    pa.ListArray.from_arrays(ends.astype(np.int32), pa.array(counts, pa.int64())),
+                ],
+                names=["task", "lang", "level", "heads", "n"],
+            )
+        give_back()
+
+    rows = _texts(docs).mapInArrow(run, "task int, lang string, level int, heads string, n array<bigint>")
+    return rows.repartitionById(tasks, F.col("task"))
 
 
 # --- sorting -----------------------------------------------------------------------
@@ -162,8 +269,8 @@ def frequent_prefixes(
 
 
 def _sorted_counts(routed: DataFrame, max_words: int, least: int) -> DataFrame:
-    """lang, w1, w2, ..., a: frequent phrases of the heads of each task; hot prefixes left out."""
-    names = [f"w{k}" for k in range(1, max_words + 1)]
+    """lang, w1, w2, ..., a, whole: frequent phrases of each task, and its parts of hot prefixes."""
+    names = _names(max_words)
 
     def run(batches):
         held = [batch for batch in batches if batch.num_rows]
@@ -172,62 +279,70 @@ def _sorted_counts(routed: DataFrame, max_words: int, least: int) -> DataFrame:
         give_back()
 
     kinds = ", ".join(f"{w} string" for w in names)
-    return routed.mapInArrow(run, f"lang string, {kinds}, a bigint")
+    return routed.mapInArrow(run, f"lang string, {kinds}, a bigint, whole boolean")
 
 
 def _count_table(table: pa.Table, names: list[str], least: int) -> Iterator[pa.RecordBatch]:
     langs = table.column("lang").combine_chunks().dictionary_encode()
-    words = pa.concat_arrays([c for w in names for c in table.column(w).chunks]).dictionary_encode()
-    codes = words.indices.fill_null(-1).to_numpy().reshape(len(names), -1)
-    keys = np.column_stack([langs.indices.to_numpy(), *codes]).astype(np.int32)
-    rows, lengths, sizes = frequent_prefixes(keys, table.column("n").to_numpy(), least)
-    level = table.column("level").to_numpy()
-    # Length 1 is the language alone; hot prefixes are not whole here.
+    lines = pc.split_pattern(pa.concat_arrays(table.column("heads").cast(pa.large_string()).chunks), "\n")
+    in_row = np.diff(lines.offsets.to_numpy())
+    split = pc.split_pattern(lines.flatten(), " ")
+    words = split.flatten().dictionary_encode()
+    starts = split.offsets.to_numpy()
+    codes = np.append(words.indices.to_numpy(), np.full(len(names), -1))
+    keys = np.full((len(starts) - 1, 1 + len(names)), -1, np.int32)
+    keys[:, 0] = np.repeat(langs.indices.to_numpy(), in_row)
+    for k in range(len(names)):
+        at = starts[:-1] + k
+        keys[:, 1 + k] = np.where(at < starts[1:], codes[at], -1)
+    weights = np.concatenate([c.flatten().to_numpy() for c in table.column("n").chunks])
+    level = np.repeat(table.column("level").to_numpy(), in_row)
+
+    def spelled(rows: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, whole: bool):
+        for at in range(0, len(rows), _ROW_HEADS):
+            own, length = rows[at : at + _ROW_HEADS], lengths[at : at + _ROW_HEADS]
+            columns = [langs.dictionary.take(pa.array(keys[own, 0]))]
+            for k in range(1, len(names) + 1):
+                code = pa.array(keys[own, k], mask=length < k)
+                columns.append(words.dictionary.take(code).cast(pa.string()))
+            columns.append(pa.array(sizes[at : at + _ROW_HEADS], pa.int64()))
+            columns.append(pa.array(np.full(len(own), whole)))
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", *names, "a", "whole"])
+
+    rows, lengths, sizes = frequent_prefixes(keys, weights, least)
+    # The first key is the language. Hot prefixes are not whole here: their parts follow.
     own = np.flatnonzero((lengths > 1) & (lengths - 1 > level[rows]))
-    rows, lengths, sizes = rows[own], lengths[own], sizes[own]
-    columns = [langs.dictionary.take(pa.array(keys[rows, 0]))]
-    for k in range(1, len(names) + 1):
-        columns.append(words.dictionary.take(pa.array(keys[rows, k], mask=lengths - 1 < k)))
-    columns.append(pa.array(sizes, pa.int64()))
-    for at in range(0, len(rows), 1 << 16):
-        yield pa.RecordBatch.from_arrays(
-            [c.slice(at, 1 << 16) for c in columns], names=["lang", *names, "a"]
-        )
+    yield from spelled(rows[own], lengths[own] - 1, sizes[own], True)
+    for length in range(1, len(names)):
+        hot = np.flatnonzero(level >= length)
+        if not len(hot):
+            break
+        _, first, of = np.unique(keys[hot, : 1 + length], axis=0, return_index=True, return_inverse=True)
+        parts = np.bincount(of.ravel(), weights[hot]).astype(np.int64)
+        yield from spelled(hot[first], np.full(len(first), length), parts, False)
 
 
 def frequent_phrases(docs: DataFrame, max_words: int, least: int) -> tuple[DataFrame, DataFrame]:
     """(lang, w1, ..., a) of phrases with ``least`` occurrences, and (lang, n) of all words."""
-    names = [f"w{k}" for k in range(1, max_words + 1)]
-    heads, seen = store(_heads(docs, max_words), rows=F.count(F.lit(1)))
-    totals = heads.groupBy("lang").agg(F.sum("n").alias("n"))
-    routed = heads.withColumn("level", F.lit(0))
-    inner, hot_counts = heads, []
-    for size in range(1, max_words):
-        key = ["lang", *names[:size]]
-        counted = inner.where(F.col(names[size - 1]).isNotNull()).groupBy(key).agg(
-            F.count(F.lit(1)).alias("rows"), F.sum("n").alias("a")
-        )
-        # Fewer than SHARE rows by their very condition.
-        hot, _ = store(counted.where(F.col("rows") * SHARE > seen["rows"]))
-        hot_counts.append(hot.where(F.col("a") >= least).drop("rows"))
-        inner = inner.join(F.broadcast(hot.select(key)), key, "left_semi")
-        mark = hot.select(*key, F.lit(size).alias("_hot"))
-        routed = routed.join(F.broadcast(mark), key, "left").withColumn(
-            "level", F.greatest("level", F.coalesce("_hot", F.lit(0)))
-        )
-        routed = routed.drop("_hot")
-    leading = [
-        F.col("lang"),
-        F.col(names[0]),
-        *[F.when(F.col("level") >= k, F.col(names[k])) for k in range(1, max_words)],
-    ]
-    least_tasks = int(heads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tasks = max(least_tasks, -(-seen["rows"] // HEADS_PER_TASK))
-    routed = routed.select("lang", *names, "n", "level").repartition(tasks, F.xxhash64(*leading))
-    counted = _sorted_counts(routed, max_words, least)
-    for hot in hot_counts:
-        counted = counted.unionByName(hot, allowMissingColumns=True)
-    return store(counted)[0], totals
+    spark = docs.sparkSession
+    names = _names(max_words)
+    heavy, _ = store(_heavy(docs, max_words))
+    totals = heavy.where(F.col(names[0]).isNull()).select("lang", "n")
+    total = totals.agg(F.sum("n")).first()[0] or 0
+    hot: list[list[tuple]] = [[] for _ in names[1:]]
+    # Fewer than SHARE rows of each length, by their very condition.
+    for row in heavy.where((F.col("n") * SHARE > total) & F.col(names[0]).isNotNull()).collect():
+        prefix = tuple(x for x in row[:-1] if x is not None)
+        hot[len(prefix) - 2].append(prefix)
+    # A hot prefix has hot beginnings, since they occur at least as often.
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // HEADS_PER_TASK))
+    shared = spark.sparkContext.broadcast(hot)
+    found, _ = store(_sorted_counts(_routed(docs, max_words, tasks, shared), max_words, least))
+    parts = found.where(~F.col("whole")).groupBy("lang", *names).agg(F.sum("a").alias("a"))
+    counted = found.where("whole").select("lang", *names, "a").union(
+        parts.where(F.col("a") >= least)
+    )
+    return counted, totals
 
 
 # --- scores ------------------------------------------------------------------------
