@@ -27,7 +27,7 @@ def test_query_matches_sql(spark, name):
     assert got == sorted(expected.fetchall())
 
 
-@pytest.mark.parametrize("number", range(1, 11))
+@pytest.mark.parametrize("number", range(1, 14))
 def test_one_query_per_operator(number):
     assert len([q for q in queries.queries() if q.startswith(f"op{number}_")]) == 1
 
