@@ -127,15 +127,19 @@ def _status_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _event_rows(spark: SparkSession, sf_dir: str, minutes: str = "decimal(18,2)") -> DataFrame:
     return _table(spark, sf_dir, "events").select(
         F.to_date("ts").alias(DAY),
         F.col("event_type").alias(TEAM),
         F.col("user_id").cast("string").alias(USER),
-        F.col("value").cast("decimal(18,2)").alias(MINUTES),
+        F.col("value").cast(minutes).alias(MINUTES),
     )
 
 
+def _double_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _event_rows(spark, sf_dir, "double")
+
+
 # --- queries -----------------------------------------------------------------------
 
 
@@ -281,6 +285,11 @@ def _missing_minutes_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn(MINUTES, F.when(~lost, F.col(MINUTES)))
 
 
+def _flag_double(spark: SparkSession, sf_dir: str) -> DataFrame:
+    flags = sg.suspicious_flags(_double_rows(spark, sf_dir))
+    return flags.select(DAY, TEAM, USER, "GYANUS_NAP")
+
+
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_rows(sg.suspicious_days(_status_rows(spark, sf_dir)))
 
@@ -324,6 +333,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "suspicious_flag_events": _on_rows(sg.suspicious_flags, _event_rows),
         "suspicious_flag_wide": _on_rows(sg.suspicious_flags, _wide_rows),
         "group_day_stats_wide": _on_rows(sg.team_day_stats, _wide_rows),
+        "suspicious_flag_double": _flag_double,
+        "suspicious_days_double": _on_rows(sg.suspicious_days, _double_rows),
         "report": _report,
         "report_file": _report_file,
     } | _llm_queries()
@@ -455,6 +466,41 @@ def _days_sql(rows: str, units: int = 1) -> str:
     )
 
 
+def _double_sql() -> str:
+    """Flags f and counts c of floating-point minutes, exactly.
+
+    Minutes are whole numbers of 2^-62. Squares are made of parts of 40 bits: h for the upper
+    and l for the lower part, and sides of the comparison are compared by parts after carrying.
+    """
+    x = "CAST(1099511627776 AS hugeint)"
+    split = "{0} // " + x + " - CASE WHEN {0} < 0 AND {0} % " + x + " <> 0 THEN 1 ELSE 0 END"
+    return f"""
+    WITH u AS (SELECT CAST(ts AS date) AS nap, event_type AS team, CAST(user_id AS varchar) AS usr,
+                      sum(CAST(value * 4611686018427387904.0 AS hugeint)) AS t
+               FROM events GROUP BY ALL),
+    p AS (SELECT *, t // {x} AS h, t % {x} AS l FROM u),
+    s AS (SELECT nap, team, CAST(count(*) AS hugeint) AS n, sum(t) AS total,
+                 sum(h * h) AS q2, sum(2 * h * l) AS q1, sum(l * l) AS q0
+          FROM p GROUP BY nap, team),
+    v AS (SELECT nap, team, n, total, total // {x} AS h, total % {x} AS l,
+                 q2, q1, q0 FROM s),
+    r AS (SELECT nap, team, n, total, n * (n * q2 - h * h) AS r2, n * (n * q1 - 2 * h * l) AS r1,
+                 n * (n * q0 - l * l) AS r0 FROM v),
+    d AS (SELECT u.*, r.n, r2, r1, r0, r.total - r.n * u.t AS below FROM u JOIN r USING (nap, team)),
+    e AS (SELECT *, greatest(below, 0) // {x} AS h, greatest(below, 0) % {x} AS l FROM d),
+    w AS (SELECT *, (n - 1) * h * h - r2 AS c2, (n - 1) * 2 * h * l - r1 AS c1,
+                 (n - 1) * l * l - r0 AS c0 FROM e),
+    w1 AS (SELECT *, c1 + ({split.format("c0")}) AS d1,
+                  c0 - ({split.format("c0")}) * {x} AS m0 FROM w),
+    w2 AS (SELECT *, c2 + ({split.format("d1")}) AS d2,
+                  d1 - ({split.format("d1")}) * {x} AS m1 FROM w1),
+    f AS (SELECT nap, team, usr, CASE WHEN n > 1 THEN
+                 below > 0 AND (d2 > 0 OR (d2 = 0 AND (m1 > 0 OR m0 > 0))) END AS flag FROM w2),
+    c AS (SELECT team, usr, CASE WHEN count(flag) = count(*) THEN
+                 CAST(sum(CASE WHEN flag THEN 1 ELSE 0 END) AS bigint) END AS days
+          FROM f GROUP BY team, usr)"""
+
+
 _NUMBER_SQL = "row_number() OVER (ORDER BY team ASC NULLS LAST, usr ASC NULLS LAST)"
 
 
@@ -521,6 +567,10 @@ def oracle_sql() -> dict[str, str]:
         "suspicious_flag_wide": _flags_sql(_EVENTS_SQL, units=100),
         "group_day_stats_wide": f"""{_hours_sql(_EVENTS_SQL, 100)}
             SELECT nap AS "NAP", team AS "F_KISCSOPORT", {_STATS_SQL} FROM s""",
+        "suspicious_flag_double": f"""{_double_sql()}
+            SELECT {_KEYS_SQL}, flag AS "GYANUS_NAP" FROM f""",
+        "suspicious_days_double": f"""{_double_sql()}
+            SELECT team AS "F_KISCSOPORT", usr AS "F_NEV", days AS "GYANUS_NAPO_DB" FROM c""",
         "report": f"""{_hours_sql(_status_sql())}
             SELECT {_NUMBER_SQL} AS row_no, team AS "F_KISCSOPORT", usr AS "F_NEV",
                    days AS "GYANUS_NAPO_DB" FROM c""",

@@ -1,0 +1,176 @@
+"""Floating-point minutes and numbers beyond 38 digits, against Python's fractions."""
+
+from __future__ import annotations
+
+import math
+import random
+from decimal import Decimal
+from fractions import Fraction
+
+import pytest
+from helpers import brute_counts, brute_flags, counts_of, flags_of, period_rows
+from pyspark.sql import functions as F
+
+import shiftgauge as sg
+from shiftgauge.functions import wide
+from shiftgauge.plans import wide_hours, work_hours
+from shiftgauge.schemas import DAY, MINUTES, TEAM, USER
+
+
+def value_of(limbs, base):
+    return sum(x * base**i for i, x in enumerate(limbs))
+
+
+def random_double(rng):
+    return rng.choice([-1, 1]) * math.ldexp(rng.random(), rng.randint(-1080, 1024))
+
+
+def test_floating_numbers_as_limbs(spark):
+    rng = random.Random(1)
+    xs = [0.0, -0.0, 5e-324, -5e-324, 1.7976931348623157e308, 2.2250738585072014e-308, 0.1, -0.3]
+    xs += [math.nextafter(2.0**k, d) for k in (-1040, -300, 0, 28, 1000) for d in (0, math.inf)]
+    xs += [x for x in (random_double(rng) for _ in range(400)) if math.isfinite(x)]
+    pieces = [c.alias(k) for k, c in wide.binary_pieces(F.col("x")).items()]
+    df = spark.createDataFrame([(x,) for x in xs], "x double").select("x", F.struct(*pieces).alias("p"))
+    limbs = wide.joined_pieces(F.array("p"), F.col("p.class"), F.col("p.class"))
+    df = df.withColumn("limbs", wide.carried(limbs, wide.BINARY))
+    for row in df.collect():
+        unit = Fraction(2) ** (wide.BITS * row.p["class"] - wide.SHIFT)
+        assert value_of(row.limbs, wide.BINARY) * unit == Fraction(row.x)
+        assert all(0 <= x < wide.BINARY for x in row.limbs[:-1]) and row.limbs[-1] in (0, -1)
+
+
+@pytest.mark.parametrize("scale", [18, 0, 30])
+def test_decimals_as_limbs(spark, scale):
+    rng = random.Random(scale)
+    number = lambda: rng.choice([-1, 1]) * rng.randrange(10 ** rng.randint(1, 38))
+    pairs = [(number(), number()) for _ in range(200)] + [(0, 5), (10**38 - 1, 1 - 10**38)]
+    df = spark.createDataFrame(
+        [(Decimal(f"{a}E-{scale}"), Decimal(b)) for a, b in pairs], f"a decimal(38,{scale}), b decimal(38,0)"
+    )
+    for name in "ab":
+        df = df.withColumn(name, wide.carried(wide.decimal_limbs(F.col(name)), wide.DECIMAL))
+    a, b = F.col("a"), F.col("b")
+    df = df.select(
+        "a",
+        wide.carried(wide.product(a, b), wide.DECIMAL).alias("product"),
+        wide.carried(wide.plus(a, b, -1), wide.DECIMAL).alias("difference"),
+        wide.carried(wide.times(a, F.lit((1 << 34) - 1)), wide.DECIMAL).alias("times"),
+        wide.is_positive(a).alias("positive"),
+        wide.to_double(a, wide.DECIMAL, -scale).alias("double"),
+        wide.from_text(wide.to_text(a)).alias("same"),
+    )
+    for row, (x, y) in zip(df.collect(), pairs, strict=True):
+        assert value_of(row.a, wide.DECIMAL) == x and row.same == row.a
+        assert value_of(row.product, wide.DECIMAL) == x * y
+        assert value_of(row.difference, wide.DECIMAL) == x - y
+        assert value_of(row.times, wide.DECIMAL) == x * ((1 << 34) - 1)
+        assert row.positive == (x > 0)
+        assert math.isclose(row.double, float(Fraction(x, 10**scale)), rel_tol=1e-15)
+
+
+def exact(rows):
+    return [(d, t, u, None if m is None else Fraction(m)) for d, t, u, m in rows]
+
+
+def doubles(rng, days, users, values):
+    for day in range(days):
+        for user in range(rng.randint(1, users)):
+            for _ in range(rng.randint(1, 5)):
+                team = rng.choice(["a", "a", "b", None])
+                yield str(day), team, str(user), rng.choice(values)
+
+
+def test_no_order_of_rows_changes_a_flag(spark):
+    """Sums that differ with the order, and ties that rounding would break."""
+    rng = random.Random(7)
+    values = [0.1, 0.2, 0.3, 1e16, -1e16, 1.0, 1e-9, 3.3, 3.3, 7.7]
+    rows = list(doubles(rng, 12, 6, values))
+    rows += [("ties", "t", user, m) for user, m in (("x", 0.1), ("y", 0.2), ("z", 0.1), ("z", 0.2))]
+    rows += [("even", "t", user, m) for user in "xyz" for m in (0.1, 0.7)]
+    rows += [("steps", "t", "x", 1.0), ("steps", "t", "y", 2.0), ("steps", "t", "z", 3.0)]
+    expected, hours = brute_flags(exact(rows)), None
+    for order in range(20):
+        rng.shuffle(rows)
+        frame = period_rows(spark, rows, "double").repartition(1 + order % 5, F.rand(order))
+        flags = sg.suspicious_flags(frame)
+        assert flags_of(flags) == expected
+        got = sorted((str(r[DAY]), str(r[TEAM]), r[USER], r["MUNKAORA"], r["MUNKAORA_ATLAG"], r["MUNKAORA_SZORAS"] or 0.0)
+                     for r in flags.collect())
+        assert hours is None or hours == got
+        hours = got
+    assert counts_of(sg.suspicious_days(frame)) == brute_counts(exact(rows))
+
+
+def test_the_whole_range_of_floating_numbers(spark):
+    rng = random.Random(3)
+    values = [x for x in (random_double(rng) for _ in range(40)) if abs(x) < 1e300]
+    rows = list(doubles(rng, 6, 5, [*values, 5e-324, -5e-324, 0.0]))
+    frame = period_rows(spark, rows, "double").repartition(3)
+    assert flags_of(sg.suspicious_flags(frame)) == brute_flags(exact(rows))
+    totals = {}
+    for d, t, u, m in exact(rows):
+        totals[d, t, u] = totals.get((d, t, u), 0) + m
+    for r in sg.user_day_hours(frame).collect():
+        assert math.isclose(r["MUNKAORA"], float(totals[str(r[DAY]), r[TEAM], r[USER]] / 60), rel_tol=1e-14)
+
+
+def test_missing_and_infinite_minutes(spark):
+    rows = [("1", "a", "x", 1.0), ("1", "a", "x", math.nan), ("1", "a", "y", 2.0)]
+    rows += [("2", "a", "x", math.inf), ("2", "a", "y", 2.0), ("3", "a", "x", None), ("3", "a", "y", 1.0)]
+    rows += [("4", "a", "x", 1.0)]
+    flags = flags_of(sg.suspicious_flags(period_rows(spark, rows, "double")))
+    assert len(flags) == 7 and set(flags.values()) == {None}
+    none = period_rows(spark, [], "double")
+    assert sg.suspicious_flags(none).collect() == [] and sg.team_day_stats(none).collect() == []
+    float_rows = [("1", "a", "x", 0.1), ("1", "a", "y", 0.5), ("1", "a", "z", 0.5), ("1", "a", "w", 0.5)]
+    assert sum(flags_of(sg.suspicious_flags(period_rows(spark, float_rows, "float"))).values()) == 1
+
+
+@pytest.mark.parametrize("size", [10**19, 10**15, 1])
+@pytest.mark.parametrize("limit", [None, 0])
+def test_decimals_beyond_38_digits(spark, size, limit):
+    """Units of 10^-18: sums of up to 10^39 of them, products of up to 10^80."""
+    rng = random.Random(size)
+    cents = [Decimal(rng.randrange(10**18)).scaleb(-18) for _ in range(8)]
+    values = [Decimal(size * rng.randint(-9, 9)) + c for c in cents] + [Decimal(9 * size)] * 6
+    values = [str(v.quantize(Decimal(1).scaleb(-18), context=wide_context())) for v in values]
+    rows = [(d, t, u, v) for d, t, u, v in doubles(rng, 8, 6, values)]
+    rows += [("up", "t", "x", f"{9 * size}")] * 12 + [("up", "t", "y", f"{8 * size}")] * 12
+    rows += [("up", "t", "z", "0.000000000000000001")] * 2 + [("gone", "t", "x", None), ("gone", "t", "y", "1")]
+    frame = period_rows(spark, rows, "decimal(38,18)").repartition(3)
+    options = {} if limit is None else {"limit_bytes": limit}
+    assert flags_of(sg.suspicious_flags(frame, **options)) == brute_flags(rows)
+    assert counts_of(sg.suspicious_days(frame, **options)) == brute_counts(rows)
+
+
+def wide_context():
+    from decimal import Context
+
+    return Context(prec=60)
+
+
+def test_whole_numbers_beyond_38_digits(spark):
+    rows = [("1", "a", "x", 10**17), ("1", "a", "y", 9 * 10**18), ("1", "a", "z", 9 * 10**18 + 1)]
+    rows += [("1", "a", str(i), 9 * 10**18) for i in range(9)]
+    frame = period_rows(spark, rows, "bigint")
+    own, fits = work_hours._measured(frame)
+    assert not fits and not isinstance(own, wide_hours.WideDays)
+    assert flags_of(sg.suspicious_flags(frame)) == brute_flags(rows)
+    full = [("1", "a", u, 10**38 - 1 - i) for i, u in enumerate("vwxyz")] * 3
+    full += [("1", "a", "low", -(10**38 - 1))]
+    frame = period_rows(spark, full, "decimal(38,0)")
+    assert flags_of(sg.suspicious_flags(frame)) == brute_flags(full)
+    hours = {r[USER]: r["MUNKAORA"] for r in sg.user_day_hours(frame).collect()}
+    assert math.isclose(hours["v"], 3e38 / 60) and math.isclose(hours["low"], -1e38 / 60)
+    stats = sg.team_day_stats(frame).first()
+    mean = sum(Fraction(v) for _, _, _, v in full) / 6 / 60
+    assert math.isclose(stats["MUNKAORA_ATLAG"], float(mean), rel_tol=1e-14)
+
+
+def test_plain_minutes_stay_plain(spark):
+    """Ordinary types and sizes are compared as one number each, without limbs."""
+    rows = [("1", "a", u, m) for u, m in (("x", 1), ("y", 50), ("z", 60))]
+    for kind in ("bigint", "decimal(18,2)", "decimal(38,18)"):
+        own, fits = work_hours._measured(period_rows(spark, rows, kind))
+        assert fits and own.columns == [DAY, TEAM, USER, MINUTES]
