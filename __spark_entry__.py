@@ -37,7 +37,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 # Parameters of the item queries: the reference day, the codes, and an IN list of
 # the length the workload uses.
-AS_OF = "2024-01-16"
+AS_OF, NEXT_DAY = "2024-01-16", "2024-01-17"
 STATUS = "purchase"
 ALLOWED = [str(user) for user in range(32)]
 PERIOD, PERIOD_START, PERIOD_END = "1996H1", "1996-01-01", "1996-07-01"
@@ -290,6 +290,33 @@ def _flag_double(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flags.select(DAY, TEAM, USER, "GYANUS_NAP")
 
 
+def _state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of all events from a state built in deliveries: weeks, one of them twice, and late rows."""
+    root, rows = scratch_path(spark), _event_rows(spark, sf_dir)
+    week, late = F.pmod(F.weekofyear(DAY), F.lit(3)), F.crc32(F.col(USER).cast("binary")) % 10 == 0
+    for part in (week == 0, week == 1, week == 0):
+        sg.update_days(rows.where(part), root)
+    sg.update_days(rows.where((week == 2) & ~late), root)
+    sg.update_days(rows.where((week == 2) & late), root, add=True)
+    return sg.count_days(spark, root)
+
+
+def _items_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two reference days of the item list, stored by day, the first of them run again."""
+    path = f"{scratch_path(spark)}/items"
+    for day in (AS_OF, NEXT_DAY, AS_OF):
+        rows = sg.processed_items(
+            _log(spark, sf_dir),
+            _items(spark, sf_dir),
+            _users(spark, sf_dir),
+            ALLOWED,
+            as_of=day,
+            status=STATUS,
+        )
+        sg.write_items(rows, path, day)
+    return sg.read_items(spark, path)
+
+
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_rows(sg.suspicious_days(_status_rows(spark, sf_dir)))
 
@@ -335,6 +362,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "group_day_stats_wide": _on_rows(sg.team_day_stats, _wide_rows),
         "suspicious_flag_double": _flag_double,
         "suspicious_days_double": _on_rows(sg.suspicious_days, _double_rows),
+        "suspicious_days_state": _state,
+        "item_detail_by_day": _items_by_day,
         "report": _report,
         "report_file": _report_file,
     } | _llm_queries()
@@ -395,7 +424,7 @@ _EVENTS_SQL = """
     FROM events"""
 
 
-def _detail_sql(offset_days: int, allowed: str) -> str:
+def _detail_sql(offset_days: int, allowed: str, as_of: str = AS_OF) -> str:
     return f"""
     WITH a AS ({_LOG_SQL}), b AS ({_ITEMS_SQL}), c AS ({_USERS_SQL})
     SELECT a.user_azon, c.torzsszam, a.szlaforg_fej_azon, a.forgtet_azon, a.azon_forgtet_azon,
@@ -404,7 +433,7 @@ def _detail_sql(offset_days: int, allowed: str) -> str:
                  AND a.forgtet_azon = b.forgtet_azon
                  AND a.azon_forgtet_azon = b.azon_forgtet_azon
     LEFT JOIN c ON a.user_azon = c.user_azon
-    WHERE CAST(a.azon_forgtet_mod_idopont AS date) = DATE '{AS_OF}' - {offset_days}
+    WHERE CAST(a.azon_forgtet_mod_idopont AS date) = DATE '{as_of}' - {offset_days}
       AND a.allapot_azon_feldolg = '{STATUS}' AND b.forgtet_irany = 'J'
       AND a.user_azon IN ({allowed})"""
 
@@ -571,6 +600,11 @@ def oracle_sql() -> dict[str, str]:
             SELECT {_KEYS_SQL}, flag AS "GYANUS_NAP" FROM f""",
         "suspicious_days_double": f"""{_double_sql()}
             SELECT team AS "F_KISCSOPORT", usr AS "F_NEV", days AS "GYANUS_NAPO_DB" FROM c""",
+        "suspicious_days_state": _days_sql(_EVENTS_SQL, units=100),
+        "item_detail_by_day": " UNION ALL ".join(
+            f"SELECT *, DATE '{day}' AS as_of, CAST(1 AS int) AS offset_days FROM ({_detail_sql(1, _ALLOW_LIST_SQL, day)})"
+            for day in (AS_OF, NEXT_DAY)
+        ),
         "report": f"""{_hours_sql(_status_sql())}
             SELECT {_NUMBER_SQL} AS row_no, team AS "F_KISCSOPORT", usr AS "F_NEV",
                    days AS "GYANUS_NAPO_DB" FROM c""",
