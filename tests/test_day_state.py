@@ -102,7 +102,9 @@ def test_one_day_reads_one_partition(spark, tmp_path):
 
 def test_a_large_day_gets_several_files(spark, tmp_path, conf):
     conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
-    conf("spark.sql.files.maxPartitionBytes", "64k")  # a large day comes from several tasks
+    # A large day comes from several tasks.
+    conf("spark.sql.files.maxPartitionBytes", "64k")
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
     rows = spark.range(60_000).selectExpr(
         f"date'2024-01-01' AS {DAY}", f"'t' AS {TEAM}", f"cast(xxhash64(id) AS string) AS {USER}", f"id AS {MINUTES}"
     )
