@@ -155,12 +155,12 @@ def _scan_period_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scan_period_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One half-year out of a table partitioned by half-year, written from all lines."""
+    """One half-year out of the table of half-years, written from all lines."""
     path = f"{scratch_path(spark)}/rows"
     half = F.when(F.month(DAY) <= 6, "H1").otherwise("H2")
     rows = _status_rows(spark, sf_dir).select(DAY, TEAM, USER, MINUTES)
     rows = rows.withColumn("period", F.concat(F.year(DAY).cast("string"), half))
-    rows.repartition("period").write.partitionBy("period").parquet(path)
+    sg.write_period_table(rows, path)
     return sg.read_period_table(spark, path, PERIOD)
 
 

@@ -12,7 +12,7 @@ from shiftgauge.plans.work_hours import (
     user_day_hours,
     user_day_with_stats,
 )
-from shiftgauge.sources.periods import read_period, read_period_table
+from shiftgauge.sources.periods import read_period, read_period_table, write_period_table
 from shiftgauge.sources.relations import read_relation
 
 __all__ = [
@@ -32,5 +32,6 @@ __all__ = [
     "user_day_hours",
     "user_day_with_stats",
     "write_items",
+    "write_period_table",
     "write_report",
 ]

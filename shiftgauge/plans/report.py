@@ -17,18 +17,30 @@ def report_path(root: str, period: str) -> str:
     return f"{root.rstrip('/')}/{_NAME.format(period=period)}"
 
 
-def report_rows(days: DataFrame) -> DataFrame:
-    """Rows numbered from 1 by team and user, missing names last; text in binary order."""
-    return number_rows(days, [F.asc_nulls_last(TEAM), F.asc_nulls_last(USER)])
+def report_rows(days: DataFrame, collation: str | None = None) -> DataFrame:
+    """Rows numbered from 1 by team and user, missing names last.
+
+    Text is in binary order, or in that of ``collation``, one of Spark's: ``"hu"`` is the
+    order of a Hungarian directory. Names that a collation holds equal are in binary order, so
+    the numbering is the same whatever the partitions.
+    """
+    order = []
+    for name in (TEAM, USER):
+        if collation is not None:
+            order.append(F.asc_nulls_last(F.collate(F.col(name), collation)))
+        order.append(F.asc_nulls_last(name))
+    return number_rows(days, order)
 
 
-def write_report(days: DataFrame, root: str, period: str, fmt: str = "csv") -> str:
+def write_report(
+    days: DataFrame, root: str, period: str, fmt: str = "csv", collation: str | None = None
+) -> str:
     """Write the report of a period, replacing an earlier one, and return its path.
 
     The part files are in row order. Missing values are spelled ``#N/A`` in CSV.
     """
     path = report_path(root, period)
-    writer = report_rows(days).write.mode("overwrite")
+    writer = report_rows(days, collation).write.mode("overwrite")
     if fmt == "csv":
         writer = writer.options(header=True, nullValue=_MISSING)
     writer.format(fmt).save(path)

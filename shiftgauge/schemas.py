@@ -16,6 +16,9 @@ ITEM_KEY = ["szlaforg_fej_azon", "forgtet_azon", "azon_forgtet_azon"]
 # Grouping keys of the period rows (day, team, user).
 DAY, TEAM, USER, MINUTES = "NAP", "F_KISCSOPORT", "F_NEV", "CKLIDO"
 
+#: Partition column of the table of period rows.
+PERIOD = "period"
+
 LOG = T.StructType(
     [T.StructField("user_azon", T.StringType())]
     + [T.StructField(name, T.LongType()) for name in ITEM_KEY]
