@@ -13,6 +13,13 @@ from shiftgauge.checkpoints import store
 from shiftgauge.functions.days import day_before, on_day
 from shiftgauge.functions.text import number_to_text
 from shiftgauge.operators.filters import in_users
+from shiftgauge.operators.key_filter import (
+    FILTER_BYTES,
+    blocks_for,
+    can_filter,
+    key_blocks,
+    with_possible_keys,
+)
 from shiftgauge.operators.sizing import BROADCAST_BYTES, broadcast_if_small, payload
 from shiftgauge.schemas import ITEM_KEY
 
@@ -87,6 +94,7 @@ def processed_items(
     direction: str = "J",
     day_partition: str | None = None,
     limit_bytes: int = BROADCAST_BYTES,
+    filter_bytes: int = FILTER_BYTES,
 ) -> DataFrame:
     """One row per processed item: user, personnel number, item key, account, time.
 
@@ -94,6 +102,8 @@ def processed_items(
     The selected actions are stored and measured in one pass over the log: their size
     decides how they are joined, and the range of their keys reaches the scan of the
     items. They are rebalanced first, as each task of a large log finds a few rows only.
+    Actions too large to broadcast are a shuffle join, for which a Bloom filter of their keys
+    takes the items out that match none, before these are shuffled.
     """
     allow_bytes = None
     if isinstance(allow, DataFrame):
@@ -106,15 +116,23 @@ def processed_items(
         log, allow, as_of, offset_days, status, day_partition, limit_bytes, allow_bytes
     )
     ends = {f"{end}_{k}": of(k) for k in ITEM_KEY for end, of in (("least", F.min), ("most", F.max))}
-    actions, measured = store(actions.hint("rebalance"), bytes=payload(actions), **ends)
+    actions, measured = store(
+        actions.hint("rebalance"), bytes=payload(actions), n=F.count(F.lit(1)), **ends
+    )
     for key in ITEM_KEY:
         # Values of different types are ordered differently, though some may be equal.
         if log.schema[key].dataType == items.schema[key].dataType:
             least, most = (F.lit(measured[f"{end}_{key}"]) for end in ("least", "most"))
             items = items.where(F.col(key).between(least, most))
+    chosen = select_items(items, direction)
+    if measured["bytes"] > limit_bytes and can_filter(actions, chosen, ITEM_KEY):
+        blocks = blocks_for(measured["n"], filter_bytes)
+        if blocks is not None:
+            filters = key_blocks(actions, ITEM_KEY, blocks)
+            chosen = with_possible_keys(chosen, ITEM_KEY, filters, blocks)
     detail = join_items(
         actions,
-        select_items(items, direction),
+        chosen,
         limit_bytes=limit_bytes,
         actions_bytes=measured["bytes"],
     )
