@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shiftgauge.checkpoints import store
-from shiftgauge.llm.rows import map_texts, words_of
+from shiftgauge.llm.rows import map_texts, put_back, set_apart, words_of
 
 _FOUND = (
     "n_words bigint, spans array<struct<start:int,end:int>>, items array<string>, longest int"
@@ -285,13 +285,13 @@ def remove_contamination(
     others the hit spans are cut, from the first byte of the first word to the last of the
     last one; ``n_chars`` follows if there is such a column. Clean documents stay as they are.
     """
-    found = find_contamination(docs, benchmark, window, cut=True)
-    out = found.where(n_hit() <= F.col("n_words") * max_coverage)
+    found = find_contamination(set_apart(docs), benchmark, window, cut=True)
+    out, made = found.where(n_hit() <= F.col("n_words") * max_coverage), {}
     if "n_chars" in docs.columns:
         changed = F.when(F.size("spans") > 0, F.char_length("text"))
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.coalesce(changed.cast(kind), "n_chars"))
-    return out.select(docs.columns)
+        made["n_chars"] = F.coalesce(changed.cast(kind), F.col("own.n_chars"))
+    return put_back(out, docs.columns, **made)
 
 
 def cut_words(text, spans):

@@ -481,11 +481,15 @@ def keep_one(docs: DataFrame, **options) -> DataFrame:
         return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
     # Ids do not tell rows apart: those of a kept id and text are numbered, and the first stays.
     stay = found.join(chosen, "row", "left_semi").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
+        F.col("doc_id").alias("kept_id"), F.col("text_hash").alias("kept_hash")
     )
-    stay = stay.groupBy("_id", "_hash").agg(F.count(F.lit(1)).alias("_most"))
-    same = Window.partitionBy("doc_id", "_hash").orderBy("doc_id")
-    rows = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
-    rows = rows.withColumn("_number", F.row_number().over(same))
-    on = F.col("doc_id").eqNullSafe(F.col("_id")) & (rows["_hash"] == stay["_hash"])
-    return rows.join(stay, on).where("_number <= _most").select(docs.columns)
+    stay = stay.groupBy("kept_id", "kept_hash").agg(F.count(F.lit(1)).alias("most"))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("own"),
+        F.col("doc_id").cast("bigint").alias("id"),
+        F.xxhash64(F.col("text").cast("string")).alias("hash"),
+    )
+    same = Window.partitionBy("id", "hash").orderBy("id")
+    rows = rows.withColumn("number", F.row_number().over(same))
+    on = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash"))
+    return rows.join(stay, on).where("number <= most").select("own.*")

@@ -17,7 +17,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shiftgauge.llm.rows import map_texts
+from shiftgauge.llm.rows import map_texts, put_back, set_apart
 
 KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "birth")
 BASE = KINDS[:4]
@@ -192,7 +192,6 @@ def redact_personal_data(docs: DataFrame) -> DataFrame:
 
     No row goes, and texts without personal data, NULL ones too, stay as they are.
     """
-    extra = "_changed"
 
     def start():
         def one(text):
@@ -201,10 +200,8 @@ def redact_personal_data(docs: DataFrame) -> DataFrame:
 
         return one
 
-    whole = docs.withColumn("text", F.col("text").cast("string"))
-    out = map_texts(whole, start, f"text string, {extra} boolean")
+    out, made = map_texts(set_apart(docs), start, "text string, changed boolean"), {}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        count = F.when(F.col(extra), F.char_length("text").cast(kind)).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", count)
-    return out.select(docs.columns)
+        kind, count = docs.schema["n_chars"].dataType, F.col("own.n_chars")
+        made["n_chars"] = F.when(F.col("changed"), F.char_length("text").cast(kind)).otherwise(count)
+    return put_back(out, docs.columns, **made)

@@ -65,6 +65,19 @@ def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.coalesce(crc % parts == part, F.lit(False))
 
 
+def set_apart(docs: DataFrame) -> DataFrame:
+    """``text``, and all other columns of the caller in one struct ``own``: no name can clash."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*others).alias("own"), F.col("text").cast("string").alias("text"))
+
+
+def put_back(df: DataFrame, columns: list[str], **made: Column) -> DataFrame:
+    """The caller's ``columns`` in their order: those ``made``, ``text``, and what was set apart."""
+    own = {c: F.col("own").getField(c) for c in columns if c != "text"}
+    own |= {"text": F.col("text")} | made
+    return df.select(*[own[c].alias(c) for c in columns])
+
+
 def text_chunks(
     batch: pa.RecordBatch, column: str = "text", size: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:

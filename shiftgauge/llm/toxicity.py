@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from shiftgauge.checkpoints import store
-from shiftgauge.llm.rows import give_back, held_out, text_chunks
+from shiftgauge.llm.rows import give_back, held_out, put_back, set_apart, text_chunks
 
 CLASSES = 64
 PREFIXES = range(3, 9)
@@ -462,6 +462,5 @@ def toxicity_digest(docs: DataFrame, labels: DataFrame, threshold: float = 0.3)
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """``docs`` without those that score ``threshold`` or more."""
     model, lm = learn(docs, labels)
-    marked = docs.withColumnRenamed("score", "_score") if "score" in docs.columns else docs
-    scored = score_toxicity(marked, model, lm).where(F.col("score") < threshold).drop("score")
-    return scored.toDF(*docs.columns)
+    scored = score_toxicity(set_apart(docs), model, lm).where(F.col("score") < threshold)
+    return put_back(scored, docs.columns)
