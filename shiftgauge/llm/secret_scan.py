@@ -10,9 +10,9 @@ character by character, base64, hex and compressed data as the whole stretch.
 
 Kinds in the text itself: ``assign`` (name, sign and value), ``access`` (access key ids) and
 ``hex`` strings, leftmost and not overlapping per kind; besides, also in layers, ``pem``,
-``github`` and ``jwt``. NULL and empty texts have none; rows repeat as they come. A compressed
-layer is read up to ``MAX_LAYER`` characters, so one small text cannot fill a worker; that is
-the only bound, and ``truncated`` says where it struck.
+``github`` and ``jwt``. NULL and empty texts have none; rows repeat as they come. Compressed
+layers are scanned to their end, in windows of ``WINDOW`` characters that overlap, so one small
+text cannot fill a worker. Chains of escaped escape signs are decoded at once.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from __future__ import annotations
 import base64
 import binascii
 import codecs
+import hashlib
 import html
 import re
 import zlib
@@ -29,7 +30,10 @@ from pyspark.sql import functions as F
 
 from shiftgauge.llm.rows import map_texts
 
-MAX_LAYER = 32 << 20
+#: Characters of a decompressed layer that are scanned at once, and those scanned again with
+#: what follows, so that nothing up to that size is missed between two windows.
+WINDOW, OVERLAP = 32 << 20, 1 << 20
+_PIECE = 1 << 20
 
 KINDS = ("assign", "access", "hex", "pem", "github", "jwt")
 BASE = KINDS[:3]
@@ -45,10 +49,12 @@ _PEM = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
 _GITHUB = re.compile(r"(?<![A-Za-z0-9_])gh[pousr]_[A-Za-z0-9]{36,}")
 _JWT = re.compile(r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}")
 
+# Escapes of escape signs are taken with what they end in: %252541, &amp;amp;lt;, \\u005cu0041.
 _ESCAPE = re.compile(
-    r"((?:%[0-9A-Fa-f]{2})+)|\\u([0-9A-Fa-f]{4})|\\x([0-9A-Fa-f]{2})"
-    r"|(&(?:\#[0-9]{1,7}|\#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]{2,8});)"
+    r"((?:%(?:25)*[0-9A-Fa-f]{2})+)|\\(?:u005[cC])*u([0-9A-Fa-f]{4})|\\(?:x5[cC])*x([0-9A-Fa-f]{2})"
+    r"|&((?:amp;)*)((?:\#[0-9]{1,7}|\#[xX][0-9A-Fa-f]{1,6}|[A-Za-z]{2,8});)"
 )
+_PERCENT = re.compile(r"%(?:25)*([0-9A-Fa-f]{2})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 # Lines of base64 that one stretch was wrapped over.
 _WRAPPED = re.compile(
@@ -82,50 +88,61 @@ def _matches(text: str):
                 yield kind, m.start(), m.end()
 
 
-def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], bool]:
-    """Base spans, further spans, and whether a layer was cut at ``MAX_LAYER``."""
+def scan(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
+    """Base spans and further spans."""
     if not text:
-        return [], [], False
+        return [], []
     spans = list(_matches(text))
     base = [s for s in spans if s[0] in BASE]
     more = {s for s in spans if s[0] not in BASE}
-    truncated = False
     # Escapes keep the place of each character; what is below a stretch has the stretch's place.
     layer, place, seen = text, None, {text}
-    opened: dict[str, tuple[set[str], bool]] = {}
+    opened: dict[str | bytes, set[str]] = {}
     while True:
-        for inner, where, cut in _stretches(layer, place):
-            if inner not in opened:
-                opened[inner] = _below(inner)
-            kinds, deeper = opened[inner]
-            truncated |= cut or deeper
-            more |= {(kind, *where) for kind in kinds}
+        for inner, where in _stretches(layer, place):
+            name = _name(inner)
+            if name not in opened:
+                opened[name] = _below(inner)
+            more |= {(kind, *where) for kind in opened[name]}
         layer, place = _unescaped(layer, place) or (text, None)
         if layer in seen:
             break
         seen.add(layer)
         more |= {(kind, *_outer(place, a, b)) for kind, a, b in _matches(layer)}
     more -= set(base)
-    return _ordered(base), _ordered(more), truncated
+    return _ordered(base), _ordered(more)
+
+
+def _below(text: str) -> set[str]:
+    """Kinds found in a decoded stretch and in all layers below it."""
+    kinds: set[str] = set()
+    seen, work = {_name(text)}, [iter([text])]
+    while work:  # deepest first, so that windows of a large layer are held one at a time
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        kinds.update(kind for kind, _, _ in _matches(layer))
+        work.append(_new_layers(layer, seen))
+    return kinds
 
 
-def _below(text: str) -> tuple[set[str], bool]:
-    """Kinds found in a decoded stretch and in all layers below it, and whether one was cut."""
-    kinds, truncated = set(), False
-    seen, work = {text}, [text]
-    while work:
-        layer = work.pop()
-        kinds.update(kind for kind, _, _ in _matches(layer))
-        found = [(inner, cut) for inner, _, cut in _stretches(layer, (0, 0))]
-        whole = _unescaped(layer, (0, 0))
-        if whole is not None:
-            found.append((whole[0], False))
-        for inner, cut in found:
-            truncated |= cut
-            if inner not in seen:
-                seen.add(inner)
-                work.append(inner)
-    return kinds, truncated
+def _new_layers(layer: str, seen: set):
+    for inner, _ in _stretches(layer, (0, 0)):
+        if _name(inner) not in seen:
+            seen.add(_name(inner))
+            yield inner
+    whole = _unescaped(layer, (0, 0))
+    if whole is not None and _name(whole[0]) not in seen:
+        seen.add(_name(whole[0]))
+        yield whole[0]
+
+
+def _name(text: str) -> str | bytes:
+    """What a layer is known by: itself, or a digest that is smaller."""
+    if len(text) < 1 << 16:
+        return text
+    return hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=20).digest()
 
 
 def _outer(place, a: int, b: int) -> tuple[int, int]:
@@ -138,24 +155,24 @@ def _outer(place, a: int, b: int) -> tuple[int, int]:
 
 
 def _stretches(text: str, place):
-    """Decoded stretches one step below: (text, place, whether cut)."""
+    """Decoded stretches one step below: (text, place); a large one in several windows."""
     for m in _BASE64.finditer(text):
-        for a, b, inner, cut in _base64_parts(m.group()):
-            yield inner, _outer(place, m.start() + a, m.start() + b), cut
+        for a, b, inner in _base64_parts(m.group()):
+            yield inner, _outer(place, m.start() + a, m.start() + b)
     for m in _WRAPPED.finditer(text) if "\n" in text else ():
         lines = m.group().split()
         # The last line may be a word that follows.
         for n in (len(lines), len(lines) - 1):
-            data = _from_base64("".join(lines[:n])) if n > 1 else None
-            inner, cut = _readable(data) if data is not None else (None, False)
-            if inner or cut:
-                end = m.end() if n == len(lines) else m.start() + len(m.group()[: -len(lines[-1])].rstrip())
-                yield inner or "", _outer(place, m.start(), end), cut
+            data, found = _from_base64("".join(lines[:n])) if n > 1 else None, False
+            end = m.end() if n == len(lines) else m.start() + len(m.group()[: -len(lines[-1])].rstrip())
+            for inner in _texts(data) if data is not None else ():
+                found = True
+                yield inner, _outer(place, m.start(), end)
+            if found:
                 break
     for m in _HEX_ANY.finditer(text):
-        inner, cut = _readable(bytes.fromhex(m.group()))
-        if inner or cut:
-            yield inner or "", _outer(place, *m.span()), cut
+        for inner in _texts(bytes.fromhex(m.group())):
+            yield inner, _outer(place, *m.span())
 
 
 def _unescaped(text: str, place):
@@ -166,12 +183,13 @@ def _unescaped(text: str, place):
     where: list[tuple[int, int]] = []
     at = 0
     for m in _ESCAPE.finditer(text):
-        percent, u, x, entity = m.groups()
+        percent, u, x, signs, entity = m.groups()
         if percent:
-            made = bytes.fromhex(percent.replace("%", "")).decode(errors="replace")
+            units = list(_PERCENT.finditer(text, *m.span()))
+            made = bytes.fromhex("".join(unit[1] for unit in units)).decode(errors="replace")
         elif entity:
-            made = html.unescape(entity)
-            if made == entity:
+            made = html.unescape(f"&{entity}")
+            if made == f"&{entity}" and not signs:
                 continue
         else:
             made = chr(int(u or x, 16))
@@ -180,9 +198,8 @@ def _unescaped(text: str, place):
         for i in range(at, m.start()):
             where.append(_outer(place, i, i + 1))
         out += [text[at : m.start()], made]
-        if percent and made.isascii():  # three characters each
-            for i in range(m.start(), m.end(), 3):
-                where.append(_outer(place, i, i + 3))
+        if percent and made.isascii():
+            where += [_outer(place, *unit.span()) for unit in units]
         else:
             where += [_outer(place, *m.span())] * len(made)
         at = m.end()
@@ -194,26 +211,45 @@ def _unescaped(text: str, place):
 
 
 def _base64_parts(word: str):
-    """(start, end, text, whether cut) of a stretch, or of its parts that separators begin or end."""
-    data = _from_base64(word)
-    inner, cut = _readable(data) if data is not None else (None, False)
-    if inner or cut:
-        yield 0, len(word), inner or "", cut
+    """(start, end, text) of a stretch, or of its parts that separators begin or end."""
+    data, found = _from_base64(word), False
+    for inner in _texts(data) if data is not None else ():
+        found = True
+        yield 0, len(word), inner
+    if found:
         return
     edges = [m.span() for m in _SEPARATOR.finditer(word)]
     starts = [0] + [b for _, b in edges]
     ends = [a for a, _ in edges] + [len(word)]
-    rest = False
+    rest, bad = False, {}
     for a, b in zip(starts, ends, strict=True):
         # From here to the end unless that is part of what was found, and up to the next one.
         for end in dict.fromkeys((len(word), b)):
             if end - a < 16 or (a, end) == (0, len(word)) or rest or not _promising(word[a : a + 16]):
                 continue
+            if end == len(word) and not _is_zipped(_from_base64(word[a : a + 16]) or b""):
+                # What follows is decoded once per alignment to see from where on it is text.
+                if a % 4 not in bad:
+                    bad[a % 4] = _last_bad(_from_base64(word[a % 4 :]) or b"")
+                if (a - a % 4) // 4 * 3 < bad[a % 4]:
+                    continue
             data = _from_base64(word[a:end])
-            inner, cut = _readable(data) if data is not None else (None, False)
-            if inner or cut:
-                yield a, end, inner or "", cut
-                rest = end == len(word)
+            for inner in _texts(data) if data is not None else ():
+                rest = rest or end == len(word)
+                yield a, end, inner
+
+
+def _last_bad(data: bytes) -> int:
+    """Where the last byte ends that is no part of a character."""
+    text = data.decode("utf-8", "surrogateescape")
+    bad = [m.end() for m in re.finditer(r"[\udc80-\udcff]", text)]
+    return len(text[: bad[-1]].encode("utf-8", "surrogateescape")) if bad else 0
+
+
+def _is_zipped(data: bytes) -> bool:
+    """The signs that compressed data begins with."""
+    zlib_header = data[:1] == b"\x78" and len(data) > 1 and not (data[0] * 256 + data[1]) % 31
+    return zlib_header or data[:2] == b"\x1f\x8b"
 
 
 def _promising(word: str) -> bool:
@@ -237,37 +273,70 @@ def _from_base64(word: str) -> bytes | None:
 _URL_SAFE = str.maketrans("-_", "+/")
 
 
-def _decompressed(data: bytes) -> tuple[bytes, bool]:
-    """All members up to ``MAX_LAYER`` bytes, and whether there are more; bad data as it is."""
-    parts, room, rest = [], MAX_LAYER, data
+def _inflated(data: bytes):
+    """The decompressed members, a piece at a time; data that is not compressed as it is."""
+    rest, any_piece = data, False
     while True:
         engine = zlib.decompressobj(47)
-        try:
-            made = engine.decompress(rest, room)
-        except zlib.error:
-            return (b"".join(parts) if parts else data), False
-        parts.append(made)
-        room -= len(made)
+        while not engine.eof:
+            try:
+                made = engine.decompress(rest, _PIECE)
+            except zlib.error:
+                if not any_piece:
+                    yield data
+                return
+            rest = engine.unconsumed_tail
+            if made:
+                any_piece = True
+                yield made
+            elif not rest and not engine.eof:
+                return  # the end is missing
         rest = engine.unused_data
-        more = engine.eof and rest[:2] == b"\x1f\x8b"
-        if room <= 0 or not more:
-            return b"".join(parts), room <= 0 and (more or not engine.eof)
+        if rest[:2] != b"\x1f\x8b":
+            return
+
 
+def _texts(data: bytes):
+    """The data as text, decompressed if need be, in windows; nothing if it is no text.
 
-def _readable(data: bytes) -> tuple[str | None, bool]:
-    """The data as text, decompressed if need be; None if it is no text."""
-    cut = False
-    zipped = data[:1] == b"\x78" and len(data) > 1 and not (data[0] * 256 + data[1]) % 31
-    if zipped or data[:2] == b"\x1f\x8b":
-        data, cut = _decompressed(data)
+    A window ends at white space, as far as there is any, and the next begins ``OVERLAP``
+    characters or a little more before it. So a stretch is never cut, however long it is.
+    """
+    pieces = _inflated(data) if _is_zipped(data) else iter([data])
+    decoder = codecs.getincrementaldecoder("utf-8")()
+    held, size, wanted = [], 0, WINDOW
     try:
-        # A cut may fall inside a character, which is left out then.
-        text = codecs.getincrementaldecoder("utf-8")().decode(data, not cut)
+        for piece in pieces:
+            held.append(decoder.decode(piece))
+            size += len(held[-1])
+            if size < wanted:
+                continue
+            text = "".join(held)
+            end = _last_space(text, len(text))
+            if end <= OVERLAP:
+                held, wanted = [text], 2 * size  # one stretch: it has to be held whole
+                continue
+            if _is_plain(text[:end]):
+                yield text[:end]
+            held = [text[_last_space(text, end - OVERLAP) :]]
+            size, wanted = len(held[0]), WINDOW
+        held.append(decoder.decode(b"", True))
     except UnicodeDecodeError:
-        return None, cut
-    shown = sum(32 <= ord(c) < 127 or c in "\t\r\n" for c in text)
-    plain = shown >= 0.9 * len(text) or not _CONTROL.search(text)
-    return (text if len(text) >= 6 and plain else None), cut
+        return
+    text = "".join(held)
+    if len(text) >= 6 and _is_plain(text):
+        yield text
+
+
+def _last_space(text: str, end: int) -> int:
+    """The place of the last white space before ``end``, or 0."""
+    return max(0, *(text.rfind(c, 0, end) for c in " \n\t\r"))
+
+
+def _is_plain(text: str) -> bool:
+    if not _CONTROL.search(text):
+        return True
+    return sum(32 <= ord(c) < 127 or c in "\t\r\n" for c in text) >= 0.9 * len(text)
 
 
 def _ordered(spans) -> list[tuple[str, int, int]]:
@@ -278,17 +347,17 @@ _SPANS = "array<struct<kind:string,start:int,end:int>>"
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
-    """doc_id, base spans, further spans and truncated, for each row of ``docs``."""
+    """doc_id, base spans and further spans, for each row of ``docs``."""
 
     def start():
         def one(text):
-            base, more, truncated = scan(text)
-            return _structs(base), _structs(more), truncated
+            base, more = scan(text)
+            return _structs(base), _structs(more)
 
         return one
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return map_texts(rows, start, f"base {_SPANS}, more {_SPANS}, truncated boolean")
+    return map_texts(rows, start, f"base {_SPANS}, more {_SPANS}")
 
 
 def _structs(spans):
@@ -303,7 +372,6 @@ def secret_digest(docs: DataFrame) -> DataFrame:
         *[_count(kind).alias(f"n_{kind}") for kind in BASE],
         F.sha2(span_list("base", KINDS).cast("binary"), 256).alias("base_sha256"),
         span_list(F.concat("base", "more"), KINDS).alias("spans"),
-        "truncated",
     )
 
 

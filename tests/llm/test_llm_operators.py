@@ -7,6 +7,7 @@ import gzip
 import math
 import random
 import re
+import time
 import urllib.parse
 import zlib
 from collections import Counter, defaultdict
@@ -252,7 +253,7 @@ SECRET = "password = hunter2secret"
 )
 def test_secrets_below_layers(wrapped):
     text = f"héllo {wrapped} bye"
-    _, more, _ = secret_scan.scan(text)
+    _, more = secret_scan.scan(text)
     assert ("assign", 6, 6 + len(wrapped)) in more
 
 
@@ -260,7 +261,7 @@ def test_every_copy_of_an_encoded_secret_is_reported():
     once = base64.b64encode(SECRET.encode()).decode()
     twice = base64.b64encode(f"see {once} there".encode()).decode()
     text = f"{once} and {once}\n{twice} %41 {once} {twice}"
-    _, more, _ = secret_scan.scan(text)
+    _, more = secret_scan.scan(text)
     places = {m.span() for m in re.finditer(f"{re.escape(once)}|{re.escape(twice)}", text)}
     assert len(places) == 5
     assert {(a, b) for kind, a, b in more if kind == "assign"} >= places
@@ -291,22 +292,50 @@ def test_all_encoded_layers_are_opened(text):
     assert any(kind == "assign" for kind, _, _ in secret_scan.scan(text)[1])
 
 
-def test_members_and_cuts_of_compressed_layers(monkeypatch):
+def kinds_in(text):
+    return {kind for kind, _, _ in secret_scan.scan(text)[1]}
+
+
+def test_members_of_compressed_layers():
     members = gzip.compress(b"first part ") + gzip.compress(SECRET.encode())
-    _, more, truncated = secret_scan.scan(_encoded(members))
-    assert any(kind == "assign" for kind, _, _ in more) and not truncated
-    monkeypatch.setattr(secret_scan, "MAX_LAYER", 100)
-    long = gzip.compress((SECRET + " " + "ф" * 500).encode())
-    for size in (100, 101):
-        monkeypatch.setattr(secret_scan, "MAX_LAYER", size)
-        _, more, truncated = secret_scan.scan(_encoded(long))
-        assert any(kind == "assign" for kind, _, _ in more) and truncated
-    assert secret_scan.scan(_encoded(gzip.compress(NOISE * 9)))[2]
+    assert "assign" in kinds_in(_encoded(members))
+    assert "assign" in kinds_in(_encoded(gzip.compress(SECRET.encode() + b" " + NOISE * 9)[:-8]))
+
+
+@pytest.mark.parametrize("at", [0, 50, 95, 99, 100, 101, 130, 400])
+def test_windows_of_compressed_layers(monkeypatch, at):
+    """A secret, or an encoded one, wherever the borders of windows fall."""
+    monkeypatch.setattr(secret_scan, "WINDOW", 100)
+    monkeypatch.setattr(secret_scan, "OVERLAP", 60)
+    monkeypatch.setattr(secret_scan, "_PIECE", 7)
+    encoded = base64.b64encode(gzip.compress(SECRET.encode() + NOISE)).decode()
+    for inner in (SECRET, encoded, SECRET.replace("=", "%25253D")):
+        for filler in ("ф é ", "ab "):
+            text = (filler * 200)[:at] + f" {inner} " + filler * 100
+            assert "assign" in kinds_in(_encoded(gzip.compress(text.encode())))
+
+
+def test_a_secret_behind_40_mebibytes():
+    text = b"nothing to see here \n" * 2_000_000 + SECRET.encode()
+    assert len(text) > 40 << 20
+    assert "assign" in kinds_in(_encoded(gzip.compress(text)))
+
+
+def test_long_chains_take_linear_time():
+    rng = random.Random(6)
+    parts = "/".join(base64.b64encode(rng.randbytes(15)).decode().replace("/", "a") for _ in range(20_000))
+    for text in ("%" + "25" * 400_000 + "41", "&" + "amp;" * 200_000 + "lt;", "\\" + "u005c" * 200_000 + "u0041", parts):
+        began = time.process_time()
+        secret_scan.scan(text)
+        assert time.process_time() - began < 20
+    assert "assign" in kinds_in(SECRET.replace("=", "%" + "25" * 900 + "3D"))
+    assert "assign" in kinds_in(SECRET.replace("=", "&" + "amp;" * 90 + "#61;"))
+    assert "assign" in kinds_in(SECRET.replace("=", "\\" + "u005c" * 90 + "u003d"))
+    assert not kinds_in("&amp;amp;nothing; %25 \\u005c")
 
 
 def test_self_encoding_layers_end():
-    text = "%25" * 200 + " %2525252541"
-    assert secret_scan.scan(text)[2] is False
+    assert secret_scan.scan("%25" * 200 + " %2525252541") == ([], [])
 
 
 def test_digests_of_odd_rows(docs, no_docs):
