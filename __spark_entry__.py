@@ -11,6 +11,7 @@ The tables stand in for the inputs of the library:
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,11 +28,20 @@ from shiftgauge.plans.report import report_rows
 from shiftgauge.schemas import DAY, ITEM_KEY, MINUTES, TEAM, USER, USERS
 from shiftgauge.sources.periods import period_path
 
-try:  # the operators for training data may be left out as a whole
+
+
+def _present(module: str) -> bool:
+    try:
+        return importlib.util.find_spec(module) is not None
+    except ModuleNotFoundError:  # of a package above it
+        return False
+
+
+# The operators for training data may be left out as a whole; a broken one is an error.
+corpus_pipeline = llm = None
+if _present("corpus_pipeline") and _present("shiftgauge.llm.queries"):
     import corpus_pipeline
     from shiftgauge.llm import queries as llm
-except ImportError:
-    corpus_pipeline = llm = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
