@@ -23,10 +23,13 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,8 +57,17 @@ _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 _WORDS = re.compile(r"[^\W\d_]+")
 _SIGN_FIRST = re.compile(r"[$@|(€+][^\W\d_]")
 _TWICE = re.compile(r"(.)\1")
+_REPEATED = re.compile(r"(.)\1+", re.DOTALL)
+_LETTERS_OR_ONE = re.compile(r"[^\W\d_]+|.", re.DOTALL)
+# A word of Latin letters without a doubled one, marks around it: nothing to restore.
+_PLAIN = r"""^["'.,;:!?-]*[A-Za-zÀ-ÖØ-öø-ÿ]+[!-/:-@\[-`{-~]*$"""
+_DOUBLED = "|".join(chr(c) * 2 for c in [*range(97, 123), *range(223, 247), *range(248, 256)])
+_MARKS = "".join(map(chr, [*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]))
+# What no reading of a stretch depends on, at its end.
+_LAST = ".,;:?\"'"
 
 
+@lru_cache(maxsize=1 << 14)
 def char_class(char: str) -> int:
     """0 outside words; a to z; other letters share the rest of the classes."""
     if "a" <= char <= "z":
@@ -117,8 +129,12 @@ def language_model(docs: DataFrame) -> np.ndarray:
 # --- noisy channel -----------------------------------------------------------------
 
 
-def _options(char: str, n: int, apart: bool) -> list[tuple[str, float]]:
-    """What a sign that stands ``n`` times may stand for, and the cost."""
+@lru_cache(maxsize=1 << 16)
+def _options(char: str, n: int, apart: bool) -> tuple[tuple[str, float, tuple[int, ...]], ...]:
+    """What a sign that stands ``n`` times may stand for, the cost, and the classes of the letters.
+
+    Three times is the same as more.
+    """
     if char.isalpha():
         options = [(char, 0.0 if n == 1 else _UNDO)]
         if n >= 2:
@@ -133,36 +149,60 @@ def _options(char: str, n: int, apart: bool) -> list[tuple[str, float]]:
                 options.append((letter * 2, _SWAP))
     if apart:
         options += [(letters + " ", cost) for letters, cost in options if letters.strip()]
-    return options
+    return tuple((letters, cost, tuple(map(char_class, letters))) for letters, cost in options)
+
+
+_END = ((" ", 0.0, (0,)),)
+
+
+def _steps(word: str, apart: bool) -> list[tuple]:
+    """Options along a stretch; letters next to each other that stand once are one step."""
+    steps, at = [], 0
+    for m in [*_REPEATED.finditer(word), None]:
+        for part in _LETTERS_OR_ONE.findall(word[at : m.start() if m else len(word)]):
+            if apart or len(part) == 1:
+                steps += [_options(char, 1, apart) for char in part]
+            else:
+                steps.append(((part, 0.0, tuple(map(char_class, part))),))
+        if m:
+            steps.append(_options(m.group(1), min(3, m.end() - m.start()), apart))
+            at = m.end()
+    return steps
+
+
+def log_odds(model: np.ndarray) -> list[float]:
+    """The model as ``restore`` looks it up: by the classes of three letters, in one number."""
+    return model.ravel().tolist()
 
 
-def restore(word: str, model: np.ndarray, apart: bool = False, eager: float = 0.0) -> str:
+def restore(
+    word: str, model: np.ndarray | list[float], apart: bool = False, eager: float = 0.0
+) -> str:
     """The likeliest undisguised words of a lower-case stretch, by Viterbi decoding.
 
     ``apart`` says that its letters were written apart, so a word may end after each;
-    ``eager`` is what a word break gains.
+    ``eager`` is what a word break gains. ``model`` is the language model or its ``log_odds``.
     """
-    steps = [
-        _options(m.group(1), len(m.group()), apart)
-        for m in re.finditer(r"(.)\1*", word, re.DOTALL)
-    ]
-    # A path is its score and the letters of its steps, each with those before it.
-    paths = {(0, 0): (0.0, None)}
-    for options in [*steps, [(" ", 0.0)]]:
-        better: dict[tuple[int, int], tuple[float, tuple | None]] = {}
-        for (a, b), (score, done) in paths.items():
-            for letters, cost in options:
-                x, y, s = a, b, score - cost
-                for char in letters:
-                    c = char_class(char)
+    odds = model if isinstance(model, list) else log_odds(model)
+    # A path is its score and the letters of its steps, each with those before it. Its state is
+    # the classes of its last two letters, CLASSES * first + second.
+    paths = {0: (0.0, None)}
+    for options in [*_steps(word, apart), _END]:
+        better: dict[int, tuple[float, tuple | None]] = {}
+        for begin, (score, done) in paths.items():
+            for letters, cost, classes in options:
+                state, s = begin, score - cost
+                for c in classes:
                     if c:
-                        s += float(model[x, y, c])
-                        x, y = y, c
-                    elif y:
-                        s += float(model[x, y, 0]) + eager
-                        x = y = 0
-                if (x, y) not in better or s > better[x, y][0]:
-                    better[x, y] = (s, (done, letters))
+                        code = state * CLASSES + c
+                        s += odds[code]
+                        state = code % (CLASSES * CLASSES)
+                    elif state:
+                        s += odds[state * CLASSES] + eager
+                        state = 0
+                old = better.get(state)
+                if old is None or s > old[0]:
+                    better[state] = (s, (done, letters))
         paths = better
     done, found = max(paths.values(), key=lambda path: path[0])[1], []
     while done:
@@ -171,14 +211,14 @@ def restore(word: str, model: np.ndarray, apart: bool = False, eager: float = 0.
     return "".join(reversed(found)).strip()
 
 
-def _restored(form: str, model: np.ndarray, apart: bool = False) -> list[str]:
+def _restored(form: str, model: np.ndarray | list[float], apart: bool = False) -> list[str]:
     words = restore(form, model, apart).split()
     if (apart or not form.isalpha()) and any(len(w) >= _LONG for w in words):
         words += restore(form, model, apart, _EAGER).split()
     return words
 
 
-def words_in(piece: str, model: np.ndarray) -> tuple[str, ...]:
+def words_in(piece: str, model: np.ndarray | list[float]) -> tuple[str, ...]:
     """Lower-case words of a stretch without white space, and those of its restored forms."""
     low = piece.lower()
     core = _EDGE.sub("", low)
@@ -187,7 +227,7 @@ def words_in(piece: str, model: np.ndarray) -> tuple[str, ...]:
     else:
         words = _WORDS.findall(low)
         # A look-alike may stand at an end ("$tupid", "idi0t!"), so both forms are tried.
-        for form in {core, low.strip(".,;:?\"'")}:
+        for form in {core, low.strip(_LAST)}:
             if len(form) >= 3 and any(map(str.isalpha, form)):
                 if not form.isalpha() or _TWICE.search(form):
                     words += _restored(form, model)
@@ -202,7 +242,7 @@ def lone_sign(piece: str) -> str:
     return core if len(core) == 1 else ""
 
 
-def words_apart(letters: str, model: np.ndarray) -> tuple[str, ...]:
+def words_apart(letters: str, model: list[float]) -> tuple[str, ...]:
     """Words of a run of signs that stood apart."""
     if not any(map(str.isalpha, letters)):
         return ()
@@ -218,27 +258,54 @@ def _pieces(texts: pa.Array):
     split = pc.ascii_split_whitespace(texts.cast(pa.large_string()).fill_null(""))
     coded = split.flatten().dictionary_encode()
     starts = split.offsets.to_numpy()
-    return coded.indices.to_numpy().astype(np.int64), starts, coded.dictionary.to_pylist()
+    return coded.indices.to_numpy().astype(np.int64), starts, coded.dictionary
 
 
 class Reader:
-    """Words, restored ones included, of texts; what a stretch stands for is kept, up to a bound."""
+    """What counts of texts: their words, restored ones included, or the features among ``features``.
 
-    def __init__(self, model: np.ndarray, value=lambda words: words, most: int = 150_000):
-        self.model, self.value, self.most = model, value, most
+    Plain words are told in Arrow; what other stretches stand for is kept, up to a bound.
+    """
+
+    def __init__(
+        self, model: np.ndarray, features: list[str] | None = None, most: int = 150_000
+    ):
+        self.model, self.most = log_odds(model), most
+        self.value = tuple if features is None else _indexed(features)
+        self.features = None if features is None else pa.array(features, pa.large_string())
         self.known: dict[tuple, tuple] = {}
 
     def of(self, piece: str, words=words_in) -> tuple:
+        piece = piece.lower().rstrip(_LAST)
         key = words, piece
         made = self.known.get(key)
         if made is None:
             made = self.value(words(piece, self.model))
             if len(piece) <= 256:
-                if len(self.known) >= self.most:
-                    self.known.clear()
+                if len(self.known) >= self.most:  # the older half goes
+                    for old in list(islice(self.known, self.most // 2)):
+                        del self.known[old]
                 self.known[key] = made
         return made
 
+    def _values(self, different: pa.Array) -> list[tuple]:
+        values = [()] * len(different)
+        low = pc.utf8_lower(different)
+        plain = pc.and_not(
+            pc.match_substring_regex(different, _PLAIN), pc.match_substring_regex(low, _DOUBLED)
+        )
+        told = plain
+        if self.features is not None:
+            told = pc.and_(plain, _may_tell(pc.utf8_trim(low, characters=_MARKS), self.features))
+        told, rough = told.to_numpy(zero_copy_only=False), pc.invert(plain)
+        cores = pc.utf8_trim(low.filter(told), characters=_MARKS).to_pylist()
+        for i, core in zip(np.flatnonzero(told).tolist(), cores, strict=True):
+            values[i] = self.value((core,))
+        at = np.flatnonzero(rough.to_numpy(zero_copy_only=False)).tolist()
+        for i, piece in zip(at, different.filter(rough).to_pylist(), strict=True):
+            values[i] = self.of(piece)
+        return values
+
     def read(self, texts: pa.Array):
         """Per text: its values and how many stretches it has."""
         for part in text_chunks(pa.RecordBatch.from_arrays([texts], names=["text"]), "text"):
@@ -246,10 +313,13 @@ class Reader:
 
     def _read(self, texts: pa.Array):
         codes, starts, different = _pieces(texts)
-        values = list(map(self.of, different))
+        values = self._values(different)
         filled = np.fromiter(map(bool, values), bool, len(values))[codes]
-        signs = list(map(lone_sign, different))
-        apart = np.fromiter(map(bool, signs), bool, len(signs))[codes]
+        short = np.flatnonzero(pc.utf8_length(different).to_numpy(zero_copy_only=False) <= 4)
+        signs = dict(zip(short.tolist(), map(lone_sign, different.take(short).to_pylist())))
+        alone = np.zeros(len(values), bool)
+        alone[[i for i, sign in signs.items() if sign]] = True
+        apart = alone[codes]
         for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
             out = [values[c] for c in codes[a:b][filled[a:b]].tolist()]
             if apart[a:b].any():
@@ -261,6 +331,15 @@ class Reader:
             yield out, b - a
 
 
+def _may_tell(words: pa.Array, features: pa.Array) -> pa.Array:
+    """Whether a word may have one of the features; some that have none are among them."""
+    end, none = pa.scalar("$", words.type), pa.scalar("", words.type)
+    may = pc.is_in(pc.binary_join_element_wise(words, end, none), features)
+    for n in PREFIXES:
+        may = pc.or_(may, pc.is_in(pc.utf8_slice_codeunits(words, 0, n), features))
+    return may
+
+
 # --- score model -------------------------------------------------------------------
 
 
@@ -274,23 +353,56 @@ def labelled(docs: DataFrame, labels: DataFrame, max_training_rows: int) -> Data
     return docs.join(F.broadcast(least), F.col("doc_id") == F.col("_id")).select("text", "toxic")
 
 
-def _feature_counts(rows: DataFrame, lm) -> DataFrame:
+@lru_cache(maxsize=1)  # the tasks of a worker process share what they have decoded
+def _word_reader(lm: Broadcast) -> Reader:
+    return Reader(lm.value)
+
+
+def _words_of_rows(rows: DataFrame, lm: Broadcast) -> DataFrame:
+    """words, times (how often each stands), length and toxic of labelled texts."""
+
+    def run(batches):
+        reader = _word_reader(lm)
+        for batch in (part for whole in batches for part in text_chunks(whole)):
+            words, times, length = [], [], []
+            for groups, n in reader.read(batch.column("text")):
+                own = Counter(w for group in groups for w in group)
+                words.append(list(own))
+                times.append(list(own.values()))
+                length.append(math.log1p(n))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(words, pa.list_(pa.string())),
+                    pa.array(times, pa.list_(pa.int32())),
+                    pa.array(length, pa.float64()),
+                    batch.column("toxic"),
+                ],
+                names=["words", "times", "length", "toxic"],
+            )
+        give_back()
+
+    schema = "words array<string>, times array<int>, length double, toxic int"
+    return rows.mapInArrow(run, schema)
+
+
+def _feature_counts(read: DataFrame) -> DataFrame:
     """feature, toxic and clean documents that have it; tasks add up before the shuffle."""
 
     def run(batches):
-        reader = Reader(lm.value)
         counts = {0: Counter(), 1: Counter()}
         for batch in batches:
             labels = batch.column("toxic").to_pylist()
-            for (words, _), toxic in zip(reader.read(batch.column("text")), labels, strict=True):
-                own = {w for group in words for w in group}
-                counts[toxic > 0].update({f for w in own for f in features_of(w)})
+            for words, toxic in zip(batch.column("words"), labels, strict=True):
+                own = {f for w in words.as_py() for f in features_of(w)}
+                counts[toxic > 0].update(own)
                 if len(counts[0]) + len(counts[1]) > 200_000:
                     yield from _counted(counts)
         yield from _counted(counts)
         give_back()
 
-    made = rows.mapInArrow(run, "feature string, toxic bigint, clean bigint")
+    made = read.select("words", "toxic").mapInArrow(
+        run, "feature string, toxic bigint, clean bigint"
+    )
     return made.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -345,32 +457,40 @@ def fit(
 ) -> tuple[list[str], np.ndarray]:
     """Features and their weights; the last two are for the length and the constant."""
     shared = docs.sparkSession.sparkContext.broadcast(lm)
-    rows, seen = store(
-        labelled(docs, labels, max_training_rows),
+    # Decoded once: both the choice of features and the vectors read the stored words.
+    read, seen = store(
+        _words_of_rows(labelled(docs, labels, max_training_rows), shared),
         toxic=F.count(F.when(F.col("toxic") > 0, 1)),
         rows=F.count(F.lit(1)),
     )
     n_toxic, n_clean = seen["toxic"], seen["rows"] - seen["toxic"]
     if not n_toxic or not n_clean:
         return [], np.array([0.0, -np.inf])
-    features = _telling(_feature_counts(rows, shared), n_toxic, n_clean, max_features)
+    features = _telling(_feature_counts(read), n_toxic, n_clean, max_features)
 
     def vectors(batches):
-        reader = Reader(shared.value, _indexed(features))
+        value = _indexed(features)
         for batch in batches:
-            at, values, length = zip(*_vectors(batch.column("text"), reader), strict=True)
+            at, values = [], []
+            for words, times in zip(batch.column("words"), batch.column("times"), strict=True):
+                own = Counter()
+                for word, n in zip(words.as_py(), times.as_py(), strict=True):
+                    for f in value((word,)):
+                        own[f] += n
+                at.append(list(own))
+                values.append([math.log1p(n) for n in own.values()])
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(at, pa.list_(pa.int32())),
                     pa.array(values, pa.list_(pa.float32())),
-                    pa.array(length, pa.float64()),
+                    batch.column("length"),
                     batch.column("toxic"),
                 ],
                 names=["at", "value", "length", "toxic"],
             )
 
     schema = "at array<int>, value array<float>, length double, toxic int"
-    sparse = rows.mapInArrow(vectors, schema)
+    sparse = read.mapInArrow(vectors, schema)
 
     def solve(batches):
         table = pa.Table.from_batches(list(batches))  # max_training_rows at most
@@ -413,6 +533,12 @@ def _logistic(table: pa.Table, n: int, steps: int = 150, penalty: float = 0.3) -
     return w
 
 
+@lru_cache(maxsize=1)
+def _feature_reader(shared: Broadcast) -> Reader:
+    features, _, lm = shared.value
+    return Reader(lm, features)
+
+
 def score_toxicity(
     docs: DataFrame, model: tuple[list[str], np.ndarray], lm: np.ndarray
 ) -> DataFrame:
@@ -425,8 +551,8 @@ def score_toxicity(
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        features, weights, lm = shared.value
-        reader = Reader(lm, _indexed(features))
+        weights = shared.value[1]
+        reader = _feature_reader(shared)
         own, per_length, constant = weights[:-2], weights[-2], weights[-1]
         for batch in batches:
             for part in text_chunks(batch):

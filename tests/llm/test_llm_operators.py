@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import gzip
+import itertools
 import math
 import random
 import re
@@ -615,6 +616,57 @@ def test_stretches_are_restored_whole(small_model, piece, expected):
     assert expected <= set(toxicity.words_in(piece, small_model))
 
 
+def path_score(choices, odds, eager):
+    """Log-probability of one way through the lattice, letter by letter."""
+    before, total = (0, 0), 0.0
+    for letters, cost in [*choices, (" ", 0.0)]:
+        total -= cost
+        for c in map(toxicity.char_class, letters):
+            if c:
+                total += float(odds[before[0], before[1], c])
+                before = before[1], c
+            elif before[1]:
+                total += float(odds[before[0], before[1], 0]) + eager
+                before = 0, 0
+    return total
+
+
+@pytest.mark.parametrize("apart, eager", [(False, 0.0), (True, 0.0), (True, 2.0)])
+def test_decoding_finds_the_best_of_all_paths(apart, eager):
+    rng, pick = np.random.default_rng(5), random.Random(5)
+    odds = np.log(rng.dirichlet(np.ones(64), (64, 64))).astype(np.float32)
+    signs = "abeiost" + "013$@!.-é"
+    for _ in range(150):
+        repeats = [pick.choice([1, 1, 1, 2, 3, 7]) for _ in range(pick.randint(1, 5))]
+        word = "".join(pick.choice(signs) * n for n in repeats)
+        places = [
+            [o[:2] for o in toxicity._options(m.group(1), min(3, len(m.group())), apart)]
+            for m in re.finditer(r"(.)\1*", word)
+        ]
+        best = max(itertools.product(*places), key=lambda way: path_score(way, odds, eager))
+        expected = "".join(letters for letters, _ in best).strip()
+        assert toxicity.restore(word, odds, apart, eager) == expected, word
+
+
+def test_plain_words_are_read_like_all_others(small_model):
+    rng = random.Random(8)
+    ends = ["", ".", "***", "!", "'s", "$", "_", "\u00a0", "7"]
+    stems = ["Stupid", "you", "hello", "ÀÖß", "idiot", "İx", "µm", "x", "a", "$tupid", "naïve"]
+    words = [rng.choice(["", '"', "(", "-"]) + rng.choice(stems) + rng.choice(ends) for _ in range(900)]
+    texts = pa.array([" ".join(words[a : a + 7]) for a in range(0, 900, 7)] + [None, "", " "])
+    features = ["stupid$", "stu", "idiot$", "hel", "àöß$", "naïve$", "i\u0307x$", "a$"]
+    value = toxicity._indexed(features)
+    by_word = toxicity.Reader(small_model).read(texts)
+    by_feature = toxicity.Reader(small_model, features, most=5).read(texts)
+    for text, (groups, n), (told, m) in zip(texts.to_pylist(), by_word, by_feature, strict=True):
+        assert n == m
+        pieces = re.split(r"[ \t\n\r\f\v]+", text or "")
+        known = Counter(w for p in pieces for w in toxicity.words_in(p, small_model))
+        assert known <= Counter(w for group in groups for w in group)
+        expected = Counter(f for group in groups for f in value(tuple(group)))
+        assert Counter(f for group in told for f in group) == expected
+
+
 def test_toxicity_learns_and_takes_odd_rows(spark, docs, no_docs):
     rng = random.Random(6)
     plain = [f"w{i}" for i in range(50)]
