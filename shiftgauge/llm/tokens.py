@@ -12,6 +12,7 @@ import os
 import re
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,10 @@ _VISIBLE |= {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in
 # Words and punctuation that the tokenizer's pattern keeps apart, in the plain cases;
 # what they do not cover whole goes through the tokenizer itself.
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
-_PARTS = re.compile(rf" ?[{_LETTER}]+|[,.!?]+|\n(?=[{_LETTER}])")
+_SIGN = "!-&(-/:-@\\[-`{-~"  # an apostrophe may start a part of its own
+_PARTS = re.compile(rf" ?[{_LETTER}]+|[{_SIGN}]+|\n(?=[{_LETTER}])")
+_WORD = re.compile(rf"[{_LETTER}]+")
+_MARKS = "".join(chr(c) for c in range(33, 127) if re.match(f"[{_SIGN}]", chr(c)))
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -48,7 +52,7 @@ def text_encoder(path: str, max_pieces: int = 400_000) -> Callable:
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
-    model = tokenizer.model
+    tokenize = tokenizer.model.tokenize
     packed = [i.to_bytes(4, "little") for i in range(tokenizer.get_vocab_size())]
     known: dict[str, bytes] = {}  # pieces after a space, without white space at their ends
 
@@ -57,12 +61,25 @@ def text_encoder(path: str, max_pieces: int = 400_000) -> Callable:
         if "".join(parts) != piece:
             made = tokenizer.encode(piece, add_special_tokens=False).ids
             return b"".join([packed[i] for i in made])
-        return b"".join([packed[t.id] for p in parts for t in model.tokenize(_visible(p))])
+        return b"".join([packed[t.id] for p in parts for t in tokenize(_visible(p))])
+
+    @lru_cache(maxsize=1 << 12)
+    def marks(piece: str) -> bytes:
+        return b"".join([packed[t.id] for t in tokenize(piece)])
 
     def learn(piece: str) -> bytes:
-        if len(known) >= max_pieces:
-            known.clear()
-        ids = known[piece] = ask(" " + piece)
+        if len(known) >= max_pieces:  # the older half goes
+            for old in list(islice(known, max(1, max_pieces // 2))):
+                del known[old]
+        word = piece.rstrip(_MARKS)
+        if _WORD.fullmatch(word):  # by far the most
+            shown = "Ġ" + word if word.isascii() else _visible(" " + word)
+            ids = b"".join([packed[t.id] for t in tokenize(shown)])
+            if len(word) < len(piece):
+                ids += marks(piece[len(word) :])
+        else:
+            ids = ask(" " + piece)
+        known[piece] = ids
         return ids
 
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

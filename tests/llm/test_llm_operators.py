@@ -69,6 +69,18 @@ def test_pieces_give_the_ids_of_the_tokenizer(tokenizer):
     assert offsets[-1] == offsets[-2]
 
 
+def test_words_with_signs_give_the_ids_of_the_tokenizer(tokenizer):
+    rng = random.Random(4)
+    signs = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    parts = ["we", "Hello", "é", "Straße", "x", "7", "'ll", "'", "…", "Ж", "\n", *signs]
+    words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 4))) for _ in range(20_000)]
+    texts = [" ".join(words[a : a + 10]) for a in range(0, len(words), 10)]
+    ids, offsets = text_encoder(vocabulary_path(), 300)(pa.array(texts))
+    for i, text in enumerate(texts):
+        expected = tokenizer.encode(text, add_special_tokens=False).ids
+        assert ids[offsets[i] : offsets[i + 1]].tolist() == expected, text
+
+
 def test_packing_places_every_piece(spark, docs, tokenizer):
     placed = rows_of(packing.pack(docs, capacity=64, pieces_per_partition=100))
     bins, whole = defaultdict(list), defaultdict(list)
