@@ -1,16 +1,20 @@
 """Packing of documents into sequences of a fixed number of tokens.
 
 Bound-certified repacking. Pieces are dealt at random over partitions, each packed by
-best-fit decreasing. Lower bounds from dual feasible functions (they add up over pieces,
-so a count per length gives them) certify how many sequences the pieces need at least.
-As long as the bound leaves room, the sequences with gaps of all partitions are taken
-apart, their pieces exchanged between fewer partitions and packed again; a round that
-saves nothing is undone.
+best-fit decreasing. Dual feasible functions give lower bounds: what a function assigns to pieces
+adds up to at most one a sequence. The function that gives the best bound for the pieces of all
+partitions tells each partition's share of it. A partition that uses its share rounded up, and
+not more than a ``parts``-th of a sequence beyond the share itself, is certified and closed: all
+that are closed in a round use at most one sequence more than any packing could save on them.
+The others close their full sequences; those with gaps are taken apart, their pieces exchanged
+between fewer partitions and packed again, as long as the bound leaves room. An exchange that
+saves nothing is undone and another one tried. With one partition there is nothing to exchange
+with: pieces out of full sequences never changed where the others went.
 
 A document is its ids and an end id; only one longer than a sequence is cut, its first
 piece being the shorter one. NULL and empty texts are documents of the end id alone.
 Repeated rows are packed each on their own, an empty table gives no rows, and other
-columns of the input are not read.
+columns of the input are not read. Pieces of equal length are taken in the order of the input.
 """
 
 from __future__ import annotations
@@ -32,7 +36,9 @@ from shiftgauge.llm.tokens import text_encoder, vocabulary_path
 _PIECES = (
     "row bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 )
-_PLACES = "sequence_id bigint, offset bigint, gap bigint, bound bigint"
+_PLACES = "sequence_id bigint, offset bigint, bins bigint, bound bigint, gap bigint"
+_PLACES += ", closed boolean"
+_PARTS, _BINS = 31, 26  # bits of a sequence id for the partition and the sequence in it
 
 
 def token_pieces(
@@ -86,10 +92,14 @@ def pack(
     pieces_per_partition: int = 50_000,
     max_rounds: int = 12,
 ) -> DataFrame:
-    """Place every piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset, row.
+    """Place every piece: row, doc_id, piece, start, length, ids_crc32, sequence_id, offset, bins, bound.
 
-    ``pieces_per_partition`` bounds what one task packs.
+    ``bins`` is how many sequences the partition used that packed the piece last, ``bound`` how
+    many its pieces need at least by the function that is best for all; a piece as long as a sequence is a partition of its own.
+    ``pieces_per_partition`` bounds what one task packs, ``max_rounds`` how often pieces are exchanged.
     """
+    if pieces_per_partition > 1 << (_BINS - 2) or max_rounds > 31:
+        raise ValueError("at most 2^24 pieces a partition and 31 rounds")
     pieces, seen = store(
         token_pieces(docs, capacity, vocabulary=vocabulary, end_id=end_id),
         part=F.count(F.when(F.col("length") < capacity, 1)),
@@ -98,6 +108,8 @@ def pack(
         "*",
         (F.lit(1 << 62) + F.monotonically_increasing_id()).alias("sequence_id"),
         F.lit(0).cast("bigint").alias("offset"),
+        F.lit(1).cast("bigint").alias("bins"),
+        F.lit(1).cast("bigint").alias("bound"),
     )
     done = [full]
     pool, n_pool, used = pieces.where(F.col("length") < capacity), seen["part"], None
@@ -105,43 +117,52 @@ def pack(
         if not n_pool:
             break
         parts = max(1, math.ceil(n_pool / pieces_per_partition))
-        gapped = F.col("gap") > 0
+        dual = best_dual(_histogram(pool, capacity), capacity)
+        if used is not None and used <= dual[0]:
+            break
+        left = (F.col("gap") > 0) & ~F.col("closed")
         packed, new = store(
-            _packed(pool, capacity, parts, round_),
+            _packed(pool, capacity, parts, round_, dual),
             bins=F.count(F.when(F.col("offset") == 0, 1)),
-            open_bins=F.count(F.when(gapped & (F.col("offset") == 0), 1)),
-            open_pieces=F.count(F.when(gapped, 1)),
+            open_bins=F.count(F.when(left & (F.col("offset") == 0), 1)),
+            open_pieces=F.count(F.when(left, 1)),
         )
-        if used is not None and new["bins"] >= used:
-            break  # nothing saved: the earlier places stay
-        done.append(packed.where(~gapped))
-        kept = packed.where(gapped)
-        n_pool, used = new["open_pieces"], new["open_bins"]
-        pool = kept.select("row", "doc_id", "piece", "start", "length", "ids_crc32")
-        if used <= 1 or used <= lower_bound(_histogram(pool, capacity), capacity):
+        if used is None or new["bins"] < used:
+            done.append(packed.where(~left))
+            kept = packed.where(left)
+            n_pool, used = new["open_pieces"], new["open_bins"]
+            pool = kept.select("row", "doc_id", "piece", "start", "length", "ids_crc32")
+        # Else nothing is saved: the earlier places stay, and another exchange is tried.
+        if parts == 1:
             break
     if n_pool:
         done.append(kept)
-    columns = [*pieces.columns, "sequence_id", "offset"]
+    columns = [*pieces.columns, "sequence_id", "offset", "bins", "bound"]
     out = done[0].select(columns)
     for df in done[1:]:
         out = out.unionByName(df.select(columns))
     return out
 
 
-def _packed(pool: DataFrame, capacity: int, parts: int, round_: int) -> DataFrame:
+def _packed(
+    pool: DataFrame, capacity: int, parts: int, round_: int, dual: tuple[int, int, np.ndarray]
+) -> DataFrame:
+    _, scale, value = dual
     key = F.pmod(F.xxhash64("row", "piece", F.lit(round_)), F.lit(parts)).cast("int")
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["row", "piece"], kind="stable")
         lengths = pdf["length"].to_numpy()
         bins, offsets, fill = best_fit(lengths, capacity)
-        base = ((round_ * 1_000_000 + int(pdf["part"].iloc[0])) << 32) if len(pdf) else 0
-        counts = np.bincount(lengths, minlength=capacity + 1)
+        base = ((round_ << _PARTS) + (int(pdf["part"].iloc[0]) if len(pdf) else 0)) << _BINS
+        share = int(value[lengths].sum())
         return pdf.drop(columns="part").assign(
             sequence_id=base + bins,
             offset=offsets,
+            bins=len(fill),
+            bound=-(-share // scale),
             gap=capacity - fill[bins],
-            bound=lower_bound(counts, capacity),
+            closed=(len(fill) * scale - share) * parts <= scale,
         )
 
     return (
@@ -175,26 +196,35 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, np.array(fill, np.int64)
 
 
-def lower_bound(counts: np.ndarray, capacity: int) -> int:
-    """Bins that pieces need at least; ``counts[n]`` pieces have length ``n``.
+def best_dual(counts: np.ndarray, capacity: int) -> tuple[int, int, np.ndarray]:
+    """The best of two families of dual feasible functions for ``counts[n]`` pieces of length ``n``.
 
-    The largest of the bounds by two families of dual feasible functions: cutting off at a
-    threshold (long pieces count as whole, short ones as nothing) and rounding to k-ths.
-    All sums are whole numbers, so nothing is lost to rounding.
+    Returns its bound, and the function in whole numbers: pieces of one sequence add up to at most
+    the second result. The families are cutting off at a threshold (long pieces count as whole,
+    short ones as nothing) and rounding to k-ths. Nothing is lost to rounding.
     """
     n = np.arange(capacity + 1)
     counts = np.asarray(counts[: capacity + 1], np.int64)
-    best = -(-int((counts * n).sum()) // capacity)
+    duals = [(capacity, n)]
     for low in np.flatnonzero(counts[: capacity // 2 + 1]).tolist():
-        value = np.where(n > capacity - low, capacity, np.where(n < low, 0, n))
-        best = max(best, -(-int((counts * value).sum()) // capacity))
+        duals.append((capacity, np.where(n > capacity - low, capacity, np.where(n < low, 0, n))))
     for k in range(1, 21):
         whole = (k + 1) * n % capacity == 0
         value = np.where(whole, n * k, (k + 1) * n // capacity * capacity)
-        best = max(best, -(-int((counts * value).sum()) // (capacity * k)))
+        duals.append((capacity * k, value))
+    best = (-1, 1, n)
+    for scale, value in duals:
+        bound = -(-int((counts * value).sum()) // scale)
+        if bound > best[0]:
+            best = bound, scale, value
     return best
 
 
+def lower_bound(counts: np.ndarray, capacity: int) -> int:
+    """Bins that pieces need at least; ``counts[n]`` pieces have length ``n``."""
+    return best_dual(counts, capacity)[0]
+
+
 def _histogram(pieces: DataFrame, capacity: int) -> np.ndarray:
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in pieces.groupBy("length").count().collect():  # ``capacity`` rows at most

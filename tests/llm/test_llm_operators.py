@@ -106,6 +106,32 @@ def test_packing_places_every_piece(spark, docs, tokenizer):
         assert at == len(ids)
 
 
+@pytest.mark.parametrize("lengths, more", [("short", 1), ("half", 30)])
+def test_partitions_are_certified(spark, monkeypatch, lengths, more):
+    rng = np.random.default_rng(11)
+    if lengths == "short":
+        lengths = np.minimum(rng.geometric(1 / 14, 4000), 64)
+    else:  # many that fit with few others: partitions of 200 pieces lack partners
+        lengths = np.r_[rng.integers(1, 64, 3000), np.full(40, 64), rng.integers(30, 40, 1000)]
+    made = [(i, i, 0, 0, int(n), 0) for i, n in enumerate(lengths)]
+    pieces = spark.createDataFrame(made, packing._PIECES)
+    monkeypatch.setattr(packing, "token_pieces", lambda docs, capacity, **_: pieces)
+    got = packing.pack(None, 64, pieces_per_partition=200).toPandas()
+    assert sorted(got["row"]) == list(range(len(lengths)))
+    fill = got.groupby("sequence_id")["length"].sum()
+    assert fill.max() <= 64 and fill.sum() == lengths.sum()
+    assert (got["bound"] <= got["bins"]).all()
+    # Partitions closed whole: all sequences they made are in the result.
+    part = got["sequence_id"].to_numpy() >> packing._BINS
+    closed = got[got.groupby(part)["sequence_id"].transform("nunique") == got["bins"]]
+    closed = closed[closed["length"] < 64]
+    assert len(closed)
+    for _, own in closed.groupby(closed["sequence_id"].to_numpy() >> packing._BINS):
+        assert packing.lower_bound(np.bincount(own["length"], minlength=65), 64) >= own["bound"].iloc[0]
+    whole = len(packing.best_fit(lengths, 64)[2])
+    assert packing.lower_bound(np.bincount(lengths, minlength=65), 64) <= len(fill) <= whole + more
+
+
 def test_packing_of_nothing(no_docs):
     assert rows_of(packing.pack(no_docs)) == []
 
