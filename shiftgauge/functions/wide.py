@@ -8,10 +8,18 @@ for a hundred limbs, and a sum for 2^34 of them.
 Floating-point numbers are exact in units of 2^(28 * class - SHIFT): the 53 bits of a number
 lie in three neighbouring limbs, the first of which is its class. Sums over pieces are sums of
 whole numbers, so they do not depend on the order of rows.
+
+Functions over arrays are interpreted row by row. For numbers of at most ``NARROW`` limbs there
+are functions over a list of columns, one a limb, which are compiled.
 """
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,6 +28,9 @@ BINARY = 1 << BITS
 DIGITS = 8
 DECIMAL = 10**DIGITS
 
+#: Limbs up to which numbers are spelt out, one column a limb.
+NARROW = 12
+
 #: The least bit of any floating-point number is at 2^-1074, and its class is found from an
 #: exponent that may be two too small.
 SHIFT = 1130
@@ -114,6 +125,70 @@ def from_text(text: Column) -> Column:
     return F.transform(F.split(text, ","), lambda x: x.cast("bigint"))
 
 
+def bound(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then(value)``, with ``value`` computed once and not before it is needed."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+# --- limbs in columns --------------------------------------------------------------
+
+
+def spelt(a: Column, width: int) -> list[Column]:
+    """The ``width`` limbs of an array; 0 where it is shorter or NULL."""
+    return [F.coalesce(F.get(a, F.lit(i)), _long(0)) for i in range(width)]
+
+
+def carried_bits(limbs: list[Column], room: int = 3) -> list[Column]:
+    """``carried`` of base ``BINARY``."""
+    out, carry = [], None
+    for limb in [*limbs, *[_long(0)] * room]:
+        total = limb if carry is None else limb + carry
+        out.append(total.bitwiseAND(_long(_MASK)))
+        carry = F.shiftright(total, BITS)
+    return [*out, carry]
+
+
+def square(limbs: list[Column]) -> list[Column]:
+    """Square of carried limbs, not carried."""
+    out = []
+    for k in range(2 * len(limbs) - 1):
+        first, last = max(0, k - len(limbs) + 1), min(k, len(limbs) - 1)
+        pairs = [limbs[i] * limbs[k - i] * _long(2) for i in range(first, last + 1) if i < k - i]
+        out.append(reduce(add, pairs + ([limbs[k // 2] * limbs[k // 2]] if k % 2 == 0 else [])))
+    return out
+
+
+def halves(limb: Column, base: int) -> tuple[Column, Column]:
+    """What a limb keeps, in [0, base), and what it carries to the next one."""
+    low = F.pmod(limb, _long(base))
+    return low, F.call_function("div", limb - low, _long(base))
+
+
+def bits_to_double(limbs: list[Column], exponent: int) -> Column:
+    """``to_double`` of base ``BINARY``: the same number."""
+    negative = limbs[-1] < 0
+    value = F.lit(0.0)
+    negated = carried_bits([-x for x in limbs], 0)
+    for i in reversed(range(len(limbs))):
+        limb = F.when(negative, negated[i]).otherwise(limbs[i]).cast("double")
+        weight = F.lit(_weight(BITS * i + exponent))
+        value = value + F.when(limb == 0, F.lit(0.0)).otherwise(limb * weight)
+    return F.when(negative, -value).otherwise(value)
+
+
+def _weight(exponent: int) -> float:
+    return math.ldexp(1.0, exponent) if exponent < 1024 else math.inf
+
+
+def approximately(limbs: list[Column], base: int) -> Column:
+    """Carried limbs as a floating-point number, wrong by less than a 2^-48th of it."""
+    up, down = F.lit(0.0), F.lit(1.0)
+    for i, limb in enumerate(limbs[:-1]):  # small ones first
+        up = up + limb.cast("double") * F.lit(float(base**i))
+        down = down + (_long(base - 1) - limb).cast("double") * F.lit(float(base**i))
+    return F.when(limbs[-1] < 0, -down).otherwise(up)
+
+
 # --- from numbers ------------------------------------------------------------------
 
 

@@ -197,11 +197,11 @@ def _with_team(
     if FLAG in wanted and not fits and not isinstance(days, wide_hours.WideDays):
         days = wide_hours.decimal_days(days, days.schema[MINUTES].dataType)
     if isinstance(days, wide_hours.WideDays):
-        needs = [*(wide_hours.FLAG_NEEDS if FLAG in wanted else [])]
+        needs = [*(wide_hours.flag_needs(days) if FLAG in wanted else [])]
         needs += ["_mean", "_deviation"] if MEAN in wanted else []
         joined = wide_hours.with_team(days, needs, limit_bytes, large_share)
         if FLAG in wanted:
-            joined = wide_hours.with_flag(joined, days.base, FLAG)
+            joined = wide_hours.with_flag(joined, days, FLAG)
         made = [*(_wide_stats() if MEAN in wanted else []), *([FLAG] if FLAG in wanted else [])]
         return joined.select(DAY, TEAM, USER, _wide_hours(days).alias(HOURS), *made)
     needs = [_CUTOFF if c == FLAG else c for c in wanted]

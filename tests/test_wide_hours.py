@@ -174,3 +174,33 @@ def test_plain_minutes_stay_plain(spark):
     for kind in ("bigint", "decimal(18,2)", "decimal(38,18)"):
         own, fits = work_hours._measured(period_rows(spark, rows, kind))
         assert fits and own.columns == [DAY, TEAM, USER, MINUTES]
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(38,18)"])
+def test_narrow_numbers_as_columns_and_as_arrays(spark, monkeypatch, kind):
+    """The same to the last bit, with nothing interpreted for every user-day in columns."""
+    rng = random.Random(11)
+    values = [0.0, 0.01, 29.27, -122.79, 0.1, 0.2, 0.3, 480.0, -1e-5, 1e6]
+    rows = list(doubles(rng, 6, 7, values)) + [("steps", "t", u, float(i)) for i, u in enumerate("xyz")]
+    rows += [("lost", "t", "x", None), ("lost", "t", "y", 1.0), ("same", "t", "x", 0.1), ("same", "t", "y", 0.1)]
+    if kind != "double":
+        rows = [(d, t, u, None if m is None else str(Decimal(str(m)))) for d, t, u, m in rows]
+    frame = period_rows(spark, rows, kind).repartition(3)
+
+    def own():
+        if kind == "double":
+            return wide_hours.floating_days(frame)
+        return wide_hours.decimal_days(work_hours._user_days(frame), frame.schema[MINUTES].dataType)
+
+    def results():
+        days, needs = own(), ["_mean", "_deviation"]
+        joined = wide_hours.with_team(days, [*wide_hours.flag_needs(days), *needs], 1 << 20, 1000)
+        joined = wide_hours.with_flag(joined, days, "flag").withColumn("own", wide_hours.minutes_of(days))
+        made = joined.select(DAY, TEAM, USER, "own", "_mean", "_deviation", "flag").collect()
+        return sorted(tuple(map(str, row)) for row in made), days
+
+    columns, days = results()
+    assert days.narrow and "lambda" not in wide_hours._narrow_sums(days)._jdf.queryExecution().toString()
+    monkeypatch.setattr(wide, "NARROW", 0)
+    arrays, days = results()
+    assert not days.narrow and columns == arrays
