@@ -1,13 +1,14 @@
-"""Exact top-k search: BM25 over an inverted index with block-max WAND, shard by shard.
+"""Exact top-k search: BM25 over an inverted index, shard by shard.
 
 Statistics (documents per word, number and mean length of documents) come from one pass over
 all documents. A query is a text; its terms are all its words that some document has, unless a
 caller asks for the ``max_terms`` with the largest tf * idf. A shard is some documents of one task, cut at
-``shard_postings`` or ``shard_docs``: posting lists over ``BLOCK`` documents each, with the
-largest impact of a list in every block. A block's bound is the sum of its terms' largest
-impacts; blocks are taken by falling bound, and those that cannot reach the k-th best score
-so far are leapt over. Blocks are bounded and scored for many queries at once. Impacts use the
-statistics of all documents, so the top k of the shards merge exactly.
+``shard_postings`` or ``shard_docs``: posting lists by term, the terms of every document, and
+for the terms in many documents their impacts as a matrix. The frequent terms of many queries
+are one product of matrices in short numbers, the other terms are added up list by list, and
+what may reach the k-th best score, with room for rounding, is scored once more, whole, from
+the terms of the document. Impacts use the statistics of all documents, so the top k of the
+shards merge exactly.
 
 Before the run over all documents come runs over one document in ``SEEDS[i]``, each of which
 gives every query a score that k documents reach. No document below it can be among the best,
@@ -35,9 +36,10 @@ from pyspark.sql import functions as F
 from shiftgauge.checkpoints import store
 from shiftgauge.llm.rows import give_back, text_chunks, word_counts
 
-BLOCK = 64
-MOST_BLOCKS = 64  # scored at once for a query
-MOST_HELD = 1_000_000  # cells and postings looked at once, for more than one query
+FREQUENT = 40  # a term in more than a 40th of a shard's documents is in the matrix
+MATRIX = 16 << 20  # its cells, at most
+TOGETHER = 2 << 20  # scores of a product, at most
+SLACK = 2e-4  # of a score: more than rounding to short numbers makes it differ by
 SEEDS = 64, 8
 K1, B = 1.2, 0.75
 _TOPS = "query_id bigint, doc_id bigint, score double"
@@ -117,39 +119,29 @@ def query_terms(
 
 
 class Queries:
-    """The queries of a block: the terms of query ``i`` are ``terms[first[i]:first[i + 1]]``."""
+    """The queries of a block: the terms of query ``i`` are ``terms[first[i]:first[i + 1]]``.
+
+    Terms are numbered by their words, so those of a query and of a document are in one order.
+    """
 
     def __init__(self, rows: pa.Table):
         rows = rows.sort_by([("query_id", "ascending"), ("word", "ascending")]).combine_chunks()
         coded = rows["word"].combine_chunks().dictionary_encode()
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
-        self.words = coded.dictionary.cast(pa.large_string())
-        self.terms = coded.indices.to_numpy().astype(np.int64)
+        order = pc.sort_indices(coded.dictionary)
+        self.words = coded.dictionary.take(order).cast(pa.large_string())
+        number = np.empty(len(order), np.int64)
+        number[order.to_numpy()] = np.arange(len(order))
+        self.terms = number[coded.indices.to_numpy()]
         self.idf = rows["idf"].to_numpy()
         self.ids, first = np.unique(rows["query_id"].to_numpy(), return_index=True)
         self.first = np.append(first, len(self.terms))
         self.floors = np.zeros(len(self.ids))
 
-    def batches(self, costs: np.ndarray, most: float, size: int = 32):
-        """Slices of queries: their numbers, query of each term, terms, idf.
-
-        A slice has at most ``size`` queries, and more than one only while the ``costs`` of
-        their terms' words add up to ``most``.
-        """
-        spent = np.concatenate([[0.0], np.cumsum(costs[self.terms])])[self.first]
-        b = 0
-        while b < len(self.ids):
-            a = b
-            b = int(np.searchsorted(spent, spent[a] + most, "right")) - 1
-            b = min(max(b, a + 1), a + size, len(self.ids))
-            of = np.repeat(np.arange(b - a), np.diff(self.first[a : b + 1]))
-            terms = slice(self.first[a], self.first[b])
-            yield slice(a, b), of, self.terms[terms], self.idf[terms]
-
 
 class Shard:
-    """Collects documents, then holds their posting lists by term, block and document.
+    """Collects documents, then holds their posting lists by term and document.
 
     Documents are numbered by doc_id, which is the order of ties.
     """
@@ -163,7 +155,7 @@ class Shard:
     def add(self, ids: pa.Array, texts: pa.Array) -> None:
         words, rows, codes, tf, lengths = word_counts(texts)
         known = pc.index_in(words, value_set=self.queries.words).fill_null(-1)
-        terms = known.to_numpy().astype(np.int64)[codes]
+        terms = known.to_numpy().astype(np.int32)[codes]
         own = terms >= 0
         rows, terms, tf = rows[own], terms[own], tf[own]
         impacts = tf * (K1 + 1) / (tf + K1 * (1 - B + B * lengths[rows] / self.mean))
@@ -182,80 +174,81 @@ class Shard:
         number[order] = np.arange(self.n_docs)
         rows, terms, impacts = (np.concatenate(c) for c in zip(*self.parts, strict=True))
         self.parts = []
-        docs = number[rows]
-        order = np.argsort(terms * self.n_docs + docs)
-        docs, terms, self.impact = docs[order], terms[order], impacts[order]
-        self.n_blocks = -(-self.n_docs // BLOCK)
-        cells = terms * self.n_blocks + docs // BLOCK  # the part of a list within a block
-        starts = np.flatnonzero(np.diff(cells, prepend=-1))
-        self.within = (docs % BLOCK).astype(np.int16)
-        self.block = cells[starts] % self.n_blocks
-        self.peak = np.maximum.reduceat(self.impact, starts) if len(starts) else self.impact
-        self.posting = np.append(starts, len(cells))
-        held = np.bincount(terms[starts], minlength=len(self.queries.words))
-        self.cell = np.concatenate([[0], np.cumsum(held)])
-        # What a term holds in memory while its query is answered: cells, and postings of a step.
-        listed = np.bincount(terms, minlength=len(held))
-        self.costs = held + listed * min(1.0, MOST_BLOCKS / max(1, self.n_blocks))
-
-    def top(
-        self, of: np.ndarray, terms: np.ndarray, idf: np.ndarray, floors: np.ndarray, k: int
-    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query, document, score) of the best ``k`` for each query, by block-max WAND.
-
-        ``of`` is the query of each term. Documents below the query's floor are left out.
-        """
-        n, floors = len(floors), floors.copy()
-        sizes = self.cell[terms + 1] - self.cell[terms]
-        cells = _ranges(self.cell[terms], sizes)
-        weights = np.repeat(idf, sizes)
-        slots = np.repeat(of, sizes) * self.n_blocks + self.block[cells]
-        # Terms are added in one order here and below, so a bound is never below a score.
-        bounds = np.bincount(slots, weights * self.peak[cells], n * self.n_blocks)
-        bounds = bounds.reshape(n, self.n_blocks)
-        best = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
-        step = 4
-        while True:
-            open_ = (bounds > 0) & (bounds >= floors[:, None])
-            if not open_.any():
-                return best
-            if step < self.n_blocks:
-                bounds = np.where(open_, bounds, 0)
-                most = np.argpartition(bounds, self.n_blocks - step, axis=1)[:, -step:]
-                taken = np.zeros_like(open_)
-                np.put_along_axis(taken, most, True, axis=1)
-                open_ &= taken
-            bounds[open_] = 0
-            best = self._merged(best, self._scored(open_, slots, cells, weights, floors), k)
-            kth = np.flatnonzero(np.bincount(best[0], minlength=n) == k)
-            ends = np.searchsorted(best[0], kth, "right") - 1
-            floors[kth] = np.maximum(floors[kth], best[2][ends])
-            step = min(4 * step, MOST_BLOCKS)
-
-    def _scored(self, chosen, slots, cells, weights, floors):
-        """(query, document, score) of the documents in the chosen blocks that reach the floor."""
-        flat = chosen.ravel()
-        place = np.cumsum(flat) - 1
-        held = flat[slots]
-        cells, weights, places = cells[held], weights[held], place[slots[held]]
-        sizes = self.posting[cells + 1] - self.posting[cells]
-        postings = _ranges(self.posting[cells], sizes)
-        at = np.repeat(places * BLOCK, sizes) + self.within[postings]
-        scores = np.bincount(at, np.repeat(weights, sizes) * self.impact[postings])
-        query, block = np.nonzero(chosen)
-        found = np.flatnonzero(scores > 0)
-        of = found // BLOCK
-        enough = scores[found] >= floors[query[of]]
-        found, of = found[enough], of[enough]
-        return query[of], block[of] * BLOCK + found % BLOCK, scores[found]
+        docs, n_terms = number[rows], len(self.queries.words)
+        # By document, then term: what a document holds.
+        order = np.argsort(docs * n_terms + terms)
+        docs, self.held, self.held_impact = docs[order], terms[order], impacts[order]
+        self.document = np.searchsorted(docs, np.arange(self.n_docs + 1))
+        # By term, then document: the lists.
+        order = np.argsort(self.held, kind="stable")
+        self.docs, self.impact = docs[order], self.held_impact[order]
+        terms = self.held[order].astype(np.int64)
+        self.list = np.searchsorted(terms, np.arange(n_terms + 1))
+        sizes = np.diff(self.list)
+        frequent = np.flatnonzero(sizes * FREQUENT > self.n_docs)
+        room = max(1, MATRIX // self.n_docs)
+        if len(frequent) > room:
+            frequent = np.sort(frequent[np.argsort(-sizes[frequent], kind="stable")[:room]])
+        self.row = np.full(n_terms, -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.matrix = np.zeros((len(frequent), self.n_docs), np.float32)
+        for row, term in enumerate(frequent):
+            own = slice(self.list[term], self.list[term + 1])
+            self.matrix[row, self.docs[own]] = self.impact[own]
+        self.weight = np.zeros(n_terms)
+
+    def tops(self, k: int):
+        """(documents, scores) of the best ``k`` that reach the floor, query by query."""
+        queries = self.queries
+        many = max(1, min(256, TOGETHER // self.n_docs))
+        for a in range(0, len(queries.floors), many):
+            some = np.arange(a, min(a + many, len(queries.floors)))
+            own = slice(queries.first[a], queries.first[some[-1] + 1])
+            of = np.repeat(some - a, np.diff(queries.first[a : some[-1] + 2]))
+            rows = self.row[queries.terms[own]]
+            weights = np.zeros((len(some), len(self.matrix)), np.float32)
+            weights[of[rows >= 0], rows[rows >= 0]] = queries.idf[own][rows >= 0]
+            for i, about in zip(some, weights @ self.matrix, strict=True):
+                own = slice(queries.first[i], queries.first[i + 1])
+                yield self._top(queries.terms[own], queries.idf[own], about, queries.floors[i], k)
+
+    def _top(self, terms, idf, about: np.ndarray, floor: float, k: int):
+        rare = self.row[terms] < 0
+        about = about + self._added(terms[rare], idf[rare])
+        least = floor * (1 - SLACK)
+        found = np.flatnonzero((about >= least) & (about > 0))
+        if len(found) > 4 * k:
+            kth = np.partition(about[found], len(found) - k)[len(found) - k]
+            found = found[about[found] >= kth * (1 - SLACK)]
+        whole = self._whole(terms, idf, found)
+        enough = whole >= floor
+        return self._best(found[enough], whole[enough], k)
+
+    def _whole(self, terms: np.ndarray, idf: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        """The scores of some documents, from their terms in order."""
+        held = self.document[docs + 1] - self.document[docs]
+        places = _ranges(self.document[docs], held)
+        self.weight[terms] = idf
+        weights = self.weight[self.held[places]]
+        self.weight[terms] = 0.0
+        of = np.repeat(np.arange(len(docs)), held)
+        return np.bincount(of, weights * self.held_impact[places], len(docs))
+
+    def _added(self, terms: np.ndarray, idf: np.ndarray) -> np.ndarray:
+        """The score of every document by some terms."""
+        sizes = self.list[terms + 1] - self.list[terms]
+        places = _ranges(self.list[terms], sizes)
+        return np.bincount(
+            self.docs[places], np.repeat(idf, sizes) * self.impact[places], self.n_docs
+        )
 
     @staticmethod
-    def _merged(best, more, k: int):
-        query, doc, score = (np.concatenate(c) for c in zip(best, more, strict=True))
-        order = np.lexsort((doc, -score, query))
-        query, doc, score = query[order], doc[order], score[order]
-        rank = np.arange(len(query)) - np.searchsorted(query, query)
-        return query[rank < k], doc[rank < k], score[rank < k]
+    def _best(docs: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(docs) > k:
+            enough = scores >= np.partition(scores, len(scores) - k)[len(scores) - k]
+            docs, scores = docs[enough], scores[enough]
+        order = np.lexsort((docs, -scores))[:k]
+        return docs[order], scores[order]
 
 
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -275,17 +268,22 @@ def _shard_tops(
 
         def answers():
             shard.index()
-            for part, of, terms, idf in queries.batches(shard.costs, MOST_HELD):
-                query, doc, score = shard.top(of, terms, idf, queries.floors[part], k)
-                if len(query):
+            of, found = [], []
+            for i, best in enumerate(shard.tops(k)):
+                found.append(best)
+                of.append(i)
+                if len(of) == 10_000 or i + 1 == len(queries.floors):
+                    docs, scores = (np.concatenate(c) for c in zip(*found, strict=True))
+                    of = np.repeat(of, [len(d) for d, _ in found])
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array(queries.ids[part][query]),
-                            shard.ids.take(pa.array(doc)),
-                            pa.array(score),
+                            pa.array(queries.ids[of]),
+                            shard.ids.take(pa.array(docs)),
+                            pa.array(scores),
                         ],
                         names=["query_id", "doc_id", "score"],
                     )
+                    of, found = [], []
 
         for batch in batches:
             for chunk in text_chunks(batch):
@@ -302,6 +300,17 @@ def _shard_tops(
     return docs.mapInArrow(run, _TOPS)
 
 
+def _seed(docs: DataFrame, one_in: int, shards: int) -> DataFrame:
+    """One document in ``one_in``, in ``shards`` partitions, or 4.
+
+    A shard of few documents would give them all to every query, so there are few shards,
+    however many partitions a shuffle has.
+    """
+    row = F.monotonically_increasing_id()  # any rows will do, repeated ids or not
+    some = docs.withColumn("row", row).where(F.pmod(F.xxhash64("row"), F.lit(one_in)) == 0)
+    return some.repartition("row").coalesce(max(4, shards)).drop("row")
+
+
 def _best(tops: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc_nulls_last("doc_id"))
     return tops.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
@@ -342,14 +351,7 @@ def search(
     # Many small files make as many small shards, each with its own best k; merge their reading.
     enough = max(spark.sparkContext.defaultParallelism, n_words // shard_postings + 1)
     whole = docs.coalesce(enough)
-    row = F.monotonically_increasing_id()  # any rows will do, repeated ids or not
-    seeds = [
-        docs.withColumn("row", row)
-        .where(F.pmod(F.xxhash64("row"), F.lit(one_in)) == 0)
-        .repartition(max(4, n_words // (one_in * shard_postings) + 1), "row")
-        .drop("row")
-        for one_in in SEEDS
-    ]
+    seeds = [_seed(docs, one_in, n_words // (one_in * shard_postings) + 1) for one_in in SEEDS]
     sizes = n_words / max(1, n_docs), k, shard_docs, shard_postings
     blocks = max(
         1, math.ceil(seen["n"] / queries_per_block), math.ceil(seen["terms"] / terms_per_block)

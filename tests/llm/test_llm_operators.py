@@ -580,6 +580,46 @@ def test_search_takes_every_word_of_a_query(spark, sizes):
         assert got[query] == expected[:10]
 
 
+@pytest.mark.parametrize("cells", [1 << 24, 2000, 0])
+def test_frequent_words_of_a_shard_are_a_matrix(monkeypatch, cells):
+    """The best of a shard are those of brute force, whatever part of the terms is a matrix."""
+    monkeypatch.setattr(search, "MATRIX", cells)
+    rng, n = random.Random(6), 400
+    texts = [" ".join(f"t{int(rng.paretovariate(0.6)) % 500}" for _ in range(40)) for _ in range(n)]
+    texts[50] = texts[20] = texts[7]  # ties go to the least id
+    held = [Counter(t.split()) for t in texts]
+    idf = {w: 1 + i % 7 / 3 for i, w in enumerate(sorted({w for c in held for w in c}))}
+    rows = [(q, w, idf[w]) for q in range(0, n, 10) for w in held[q]] + [(7, w, idf[w]) for w in held[7]]
+    queries = search.Queries(pa.table(dict(zip(("query_id", "word", "idf"), zip(*rows, strict=True), strict=True))))
+    shard = search.Shard(queries, 40.0)
+    shard.add(pa.array(range(n)), pa.array(texts))
+    shard.index()
+    assert len(shard.matrix) <= max(1, cells // n) and (cells < 1 << 24 or len(shard.matrix) > 10)
+    impact = [{w: c * 2.2 / (c + 1.2) for w, c in own.items()} for own in held]
+    tops = list(shard.tops(5))
+    for query, (docs, scores) in zip(queries.ids, tops, strict=True):
+        full = [sum(idf[w] * own[w] for w in sorted(held[query]) if w in own) for own in impact]
+        best = sorted(range(n), key=lambda i: (-round(full[i], 9), i))[:5]
+        assert list(docs) == best and [round(x, 9) for x in scores] == [round(full[i], 9) for i in best]
+    queries.floors = np.array([scores[2] for _, scores in tops])  # what reaches the floor is found
+    for (docs, scores), (some, few) in zip(tops, shard.tops(5), strict=True):
+        reach = scores >= scores[2]
+        assert list(docs[reach]) == list(some) and list(scores[reach]) == list(few)
+
+
+def test_seed_runs_have_few_shards(spark, monkeypatch):
+    """Also where a shuffle has many partitions: every shard gives its best to every query."""
+    kind, given = type(spark.range(1)), type(spark.range(1)).repartition
+
+    def raised(df, count, *columns):
+        return given(df, max(64, count), *columns) if isinstance(count, int) else given(df, 64, count)
+
+    monkeypatch.setattr(kind, "repartition", raised)
+    docs = spark.range(6400).selectExpr("id AS doc_id", "'a' AS text")
+    some = search._seed(docs, 64, 1)
+    assert some.rdd.getNumPartitions() <= 4 and 30 < some.count() < 300
+
+
 def test_search_of_odd_rows(docs, no_docs):
     found = search.search(docs, docs.selectExpr("doc_id AS query_id", "text"), 3)
     assert {r.doc_id for r in found.where("query_id = 5").collect()} == {5}
