@@ -62,7 +62,7 @@ def write_tokens(
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id"),
-                        pa.ListArray.from_arrays(offsets.astype(np.int32), ids.astype(np.int32)),
+                        pa.ListArray.from_arrays(offsets.astype(np.int32), ids.view(np.int32)),
                         pa.array(lengths, pa.int64()),
                         pa.array(np.full(len(lengths), shard, np.int32)),
                         pa.array(starts, pa.int64()),

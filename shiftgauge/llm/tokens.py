@@ -71,9 +71,10 @@ def text_encoder(path: str, max_pieces: int = 400_000) -> Callable:
         if len(known) >= max_pieces:  # the older half goes
             for old in list(islice(known, max(1, max_pieces // 2))):
                 del known[old]
-        word = piece.rstrip(_MARKS)
-        if _WORD.fullmatch(word):  # by far the most
-            shown = "Ġ" + word if word.isascii() else _visible(" " + word)
+        plain = piece.isascii()
+        word = piece if plain and piece.isalpha() else piece.rstrip(_MARKS)
+        if (word.isalpha() if plain else _WORD.fullmatch(word)):  # by far the most
+            shown = "Ġ" + word if plain else _visible(" " + word)
             ids = b"".join([packed[t.id] for t in tokenize(shown)])
             if len(word) < len(piece):
                 ids += marks(piece[len(word) :])
@@ -82,6 +83,13 @@ def text_encoder(path: str, max_pieces: int = 400_000) -> Callable:
         known[piece] = ids
         return ids
 
+    def after_space(piece: str) -> bytes:
+        """``ask`` of a piece that starts with a space, remembered where ``known`` may hold it."""
+        if not _solid(piece[-1:]):
+            return ask(piece)
+        ids = known.get(piece[1:])
+        return learn(piece[1:]) if ids is None else ids
+
     def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         split = pc.split_pattern(texts.cast(pa.large_string()).fill_null(""), " ")
         starts = split.offsets.to_numpy()
@@ -92,7 +100,7 @@ def text_encoder(path: str, max_pieces: int = 400_000) -> Callable:
         for code, piece in enumerate(coded.dictionary.to_pylist()):
             ids = known.get(piece)
             if ids is None:
-                if _solid(piece[:1]) and _solid(piece[-1:]):
+                if piece.isalpha() or (_solid(piece[:1]) and _solid(piece[-1:])):
                     ids = learn(piece)
                 else:
                     ids = b""
@@ -112,7 +120,8 @@ def text_encoder(path: str, max_pieces: int = 400_000) -> Callable:
         for i in np.flatnonzero(odd):
             codes[starts[i] : starts[i + 1]] = rough[0]
             codes[starts[i]] = len(found)
-            found.append(b"".join([ask(p) for p in _pieces(texts[int(i)].as_py() or "")]))
+            first, *others = _pieces(texts[int(i)].as_py() or "")
+            found.append(b"".join([ask(first), *map(after_space, others)]))
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         begins = np.cumsum(sizes) - sizes
         lengths = sizes[codes]

@@ -29,6 +29,7 @@ from shiftgauge.llm import (
     search,
     secret_scan,
     token_files,
+    tokens,
     toxicity,
 )
 from shiftgauge.llm.components import connected
@@ -620,6 +621,28 @@ def test_seed_runs_have_few_shards(spark, monkeypatch):
     assert some.rdd.getNumPartitions() <= 4 and 30 < some.count() < 300
 
 
+def test_pieces_are_learnt_once_beside_white_space(monkeypatch):
+    """A text with white space at the ends of pieces has the tokenizer's ids, and costs them once."""
+    from tokenizers import Tokenizer
+
+    given = Tokenizer.from_file(vocabulary_path())
+    word = " naïve-word's"
+    texts = ["a" + word * 3 + " \n b" + word * 3 + "  c\t" + word, "É" + word + " !? 12 x. \n", None, ""]
+    calls, plain = [], tokens._PARTS
+
+    class Counting:
+        def findall(self, piece):
+            calls.append(piece)
+            return plain.findall(piece)
+
+    monkeypatch.setattr(tokens, "_PARTS", Counting())
+    encode = tokens.text_encoder.__wrapped__(vocabulary_path())
+    ids, offsets = encode(pa.array(texts))
+    expected = [given.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in itertools.pairwise(offsets)] == expected
+    assert calls.count(word) == 1
+
+
 def test_search_of_odd_rows(docs, no_docs):
     found = search.search(docs, docs.selectExpr("doc_id AS query_id", "text"), 3)
     assert {r.doc_id for r in found.where("query_id = 5").collect()} == {5}
