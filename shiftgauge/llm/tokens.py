@@ -61,11 +61,11 @@ def text_encoder(path: str, max_pieces: int = 400_000) -> Callable:
         if "".join(parts) != piece:
             made = tokenizer.encode(piece, add_special_tokens=False).ids
             return b"".join([packed[i] for i in made])
-        return b"".join([packed[t.id] for p in parts for t in tokenize(_visible(p))])
+        return b"".join(map(part, parts))
 
-    @lru_cache(maxsize=1 << 12)
-    def marks(piece: str) -> bytes:
-        return b"".join([packed[t.id] for t in tokenize(piece)])
+    @lru_cache(maxsize=1 << 14)  # signs, line ends and frequent words beside them
+    def part(shown: str) -> bytes:
+        return b"".join([packed[t.id] for t in tokenize(_visible(shown))])
 
     def learn(piece: str) -> bytes:
         if len(known) >= max_pieces:  # the older half goes
@@ -77,7 +77,7 @@ def text_encoder(path: str, max_pieces: int = 400_000) -> Callable:
             shown = "Ġ" + word if plain else _visible(" " + word)
             ids = b"".join([packed[t.id] for t in tokenize(shown)])
             if len(word) < len(piece):
-                ids += marks(piece[len(word) :])
+                ids += part(piece[len(word) :])
         else:
             ids = ask(" " + piece)
         known[piece] = ids
