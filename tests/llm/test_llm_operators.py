@@ -608,6 +608,57 @@ def test_frequent_words_of_a_shard_are_a_matrix(monkeypatch, cells):
         assert list(docs[reach]) == list(some) and list(scores[reach]) == list(few)
 
 
+def test_blocks_of_queries_share_one_pass(spark, monkeypatch):
+    """However many blocks, documents are indexed once, and those of the last seeds not again."""
+    read, given = [], search._shard_tops
+
+    def counted(docs, blocks, *others):
+        read.append((docs.count(), len(blocks)))
+        return given(docs, blocks, *others)
+
+    monkeypatch.setattr(search, "_shard_tops", counted)
+    rng = random.Random(15)
+    texts = [(i, " ".join(f"t{rng.randrange(300)}" for _ in range(40))) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+    queries = docs.where("doc_id % 10 = 0").selectExpr("doc_id AS query_id", "text")
+    one = rows_of(search.search(docs, queries, 5))
+    assert [blocks for _, blocks in read] == [1, 1, 1] and read[1][0] + read[2][0] == 400
+    read.clear()
+    assert rows_of(search.search(docs, queries, 5, terms_per_block=200)) == one
+    assert len(read) == 3 and all(blocks > 5 for _, blocks in read)
+
+
+def test_a_shard_answers_block_after_block(monkeypatch):
+    """Kinds of documents, products or lists, and words asked for earlier change no result."""
+    rng, n = random.Random(16), 300
+    texts = [" ".join(f"{'abc'[i % 3]}{int(rng.paretovariate(0.5)) % 300}" for _ in range(30)) for i in range(n)]
+    texts[90], texts[31] = texts[30], " "
+    held = [Counter(t.split()) for t in texts]
+    idf = {w: 0.5 + i % 11 / 3 for i, w in enumerate(sorted({w for c in held for w in c}))}
+
+    def block(ids):
+        rows = zip(*[(q, w, idf[w]) for q in ids for w in held[q]], strict=True)
+        return search.Queries(pa.table(dict(zip(("query_id", "word", "idf"), rows, strict=True))))
+
+    blocks = [block(range(a, n, 7)) for a in range(3)]
+    for cells in (0, 1, 1 << 30):  # all lists, by cost, all products
+        monkeypatch.setattr(search, "PRODUCTS", cells)
+        monkeypatch.setattr(search, "POSTINGS", 1 + cells % 1000)
+        shard = search.Shard(blocks[0], 30.0)
+        shard.add(pa.array(range(100)), pa.array(texts[:100]))
+        shard.add(pa.array(range(100, n)), pa.array(texts[100:]))
+        shard.index()
+        for queries in blocks:
+            shard.ask(queries)
+            for query, (docs, scores) in zip(queries.ids, shard.tops(4), strict=True):
+                full = [
+                    sum(idf[w] * (c[w] * 2.2 / (c[w] + 1.2 * (0.25 + 0.75 * c.total() / 30))) for w in sorted(held[query]) if w in c)
+                    for c in held
+                ]
+                best = sorted((i for i in range(n) if full[i]), key=lambda i: (-round(full[i], 9), i))[:4]
+                assert list(docs) == best and [round(x, 9) for x in scores] == [round(full[i], 9) for i in best]
+
+
 def test_seed_runs_have_few_shards(spark, monkeypatch):
     """Also where a shuffle has many partitions: every shard gives its best to every query."""
     kind, given = type(spark.range(1)), type(spark.range(1)).repartition
