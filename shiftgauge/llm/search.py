@@ -146,9 +146,8 @@ class Queries:
         self.idf[terms] = rows["idf"].to_numpy()
         ids, first = np.unique(rows["query_id"].to_numpy(), return_index=True)
         sizes = np.diff(np.append(first, len(terms)))
-        order = np.argsort(
-            _kinds(terms, np.repeat(np.arange(len(ids)), sizes), len(ids)), kind="stable"
-        )
+        kinds = _kinds(terms, np.repeat(np.arange(len(ids)), sizes), len(ids))
+        order = np.lexsort((sizes, kinds))
         self.ids, sizes = ids[order], sizes[order]
         self.terms = terms[_ranges(first[order], sizes)]
         self.first = np.append(0, np.cumsum(sizes))
@@ -244,7 +243,6 @@ class Shard:
         column[self.number] = np.arange(self.n_docs)
         kind, docs = kinds[docs], column[docs]
         self._split(docs, kind, n_terms)
-        self.weight = np.zeros(n_terms)
         self.weighed = np.zeros(n_terms, bool)
         self.ask(self.queries)
 
@@ -305,7 +303,7 @@ class Shard:
         place = pc.index_in(queries.words, value_set=self.words).fill_null(-1).to_numpy()
         known = place >= 0
         own = known[queries.terms]
-        self.terms = place[queries.terms[own]]
+        self.terms = place[queries.terms[own]].astype(np.int32)
         self.first = np.append(0, np.cumsum(own))[queries.first]
         self.idf = np.zeros(len(self.words))
         self.idf[place[known]] = queries.idf[known]
@@ -329,7 +327,7 @@ class Shard:
             slack = self.slack + ROUNDING * np.diff(first)
             floors = self.queries.floors[a : a + many]
             about = self._about(self.terms[first[0] : first[-1]], first - first[0])
-            least = np.maximum(floors * (1 - slack), np.finfo(np.float32).tiny)
+            least = np.maximum(floors * (1 - slack / 2), np.finfo(np.float32).tiny)
             found = np.flatnonzero(about >= least[:, None].astype(np.float32))
             edges = np.searchsorted(found, np.arange(len(floors) + 1) * self.n_docs)
             nothing = found[:0], np.zeros(0)
@@ -390,13 +388,18 @@ class Shard:
 
     def _whole(self, terms: np.ndarray, docs: np.ndarray) -> np.ndarray:
         """The scores of some documents, from their terms in order."""
-        held = self.document[docs + 1] - self.document[docs]
-        places = _ranges(self.document[docs], held)
-        self.weight[terms] = self.idf[terms]
-        weights = self.weight[self.held[places]]
-        self.weight[terms] = 0.0
-        of = np.repeat(np.arange(len(docs)), held)
-        return np.bincount(of, weights * self.held_impact[places], len(docs))
+        scores = np.zeros(len(docs))
+        for i, doc in enumerate(docs.tolist()):
+            a, b = self.document[doc], self.document[doc + 1]
+            held = self.held[a:b]
+            if len(held) < len(terms):
+                place, places = _places(held, terms)
+            else:
+                places, place = _places(terms, held)
+            if len(places):  # added up one by one: the same sum wherever the document is
+                impacts = self.held_impact[a:b][place]
+                scores[i] = np.cumsum(self.idf[terms[places]] * impacts)[-1]
+        return scores
 
     @staticmethod
     def _best(docs: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -407,6 +410,13 @@ class Shard:
         return docs[order], scores[order]
 
 
+def _places(few: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where numbers that both hold are in ``few`` and in ``many``, both in order."""
+    place = np.minimum(many.searchsorted(few), len(many) - 1)
+    own = np.flatnonzero(many[place] == few)
+    return own, place[own]
+
+
 def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The whole numbers of every range ``starts[i]`` to ``starts[i] + sizes[i]``, in order."""
     ends = np.cumsum(sizes)
