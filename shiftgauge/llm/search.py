@@ -241,25 +241,31 @@ class Shard:
         self.edges = np.searchsorted(kinds[self.number], np.arange(KINDS + 1))
         column = np.empty(self.n_docs, np.int64)
         column[self.number] = np.arange(self.n_docs)
-        kind, docs = kinds[docs], column[docs]
+        kind, docs = kinds.astype(np.int8)[docs], column.astype(np.int32)[docs]
         self._split(docs, kind, n_terms)
         self.weighed = np.zeros(n_terms, bool)
         self.ask(self.queries)
 
     def _split(self, docs: np.ndarray, kind: np.ndarray, n_terms: int) -> None:
         """A matrix of the terms that are frequent in a kind, and lists of the rest."""
-        counts = np.bincount(self.held * np.int64(KINDS) + kind, minlength=n_terms * KINDS)
-        counts = counts.reshape(n_terms, KINDS)
-        often = counts * FREQUENT > np.diff(self.edges)
-        frequent = np.flatnonzero(often.any(axis=1))
-        room = max(1, MATRIX // self.n_docs)
-        if len(frequent) > room:
-            often, found = often[frequent], counts[frequent].astype(np.float64)
-            most = (often * found**2 / np.maximum(np.diff(self.edges), 1)).sum(axis=1)
-            frequent = np.sort(frequent[np.argsort(-most, kind="stable")[:room]])
-            often = counts * FREQUENT > np.diff(self.edges)
-        self.often = often[frequent]
+        widths = np.diff(self.edges)
+        sizes = np.bincount(self.held, minlength=n_terms)
+        tried = np.flatnonzero(sizes * (FREQUENT * KINDS) > self.n_docs)
         self.row = np.full(n_terms, -1, np.int32)
+        self.row[tried] = np.arange(len(tried), dtype=np.int32)
+        rows = self.row[self.held]
+        own = np.flatnonzero(rows >= 0)
+        counts = np.bincount(rows[own] * KINDS + kind[own], minlength=len(tried) * KINDS)
+        counts = counts.reshape(len(tried), KINDS)
+        often = counts * FREQUENT > widths
+        work = (often * counts.astype(np.float64) ** 2 / np.maximum(widths, 1)).sum(axis=1)
+        kept = np.flatnonzero(work)
+        room = max(1, MATRIX // self.n_docs)
+        if len(kept) > room:
+            kept = np.sort(kept[np.argsort(-work[kept], kind="stable")[:room]])
+        frequent, often = tried[kept], often[kept]
+        self.often = often
+        self.row[:] = -1
         self.row[frequent] = np.arange(len(frequent), dtype=np.int32)
         # The lists: by term what is not in the matrix, then by row and kind what is.
         rows = self.row[self.held]
@@ -279,6 +285,7 @@ class Shard:
         self.cell -= self.cell_sizes
         # An impact in short, its last bits replaced by the document.
         places = np.concatenate([rest, own])
+        del rows, dense, rest, own, cells, order
         self.last = np.uint32((1 << (self.n_docs - 1).bit_length()) - 1)
         self.lists = self.held_impact[places].astype(np.float32).view(np.uint32) & ~self.last
         self.lists |= docs[places].astype(np.uint32)
@@ -315,8 +322,8 @@ class Shard:
         lists = (self.lists & ~self.last).view(np.float32)
         lists *= weights[self.listed]
         self.lists = (lists.view(np.uint32) & ~self.last) | (self.lists & self.last)
-        own = fresh[self.row >= 0]
-        self.matrix[own] *= weights[self.row >= 0][own, None]
+        for term in np.flatnonzero(fresh & (self.row >= 0)):
+            self.matrix[self.row[term]] *= weights[term]
 
     def tops(self, k: int):
         """(documents, scores) of the best ``k`` that reach the floor, query by query."""
