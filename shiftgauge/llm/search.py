@@ -4,18 +4,19 @@ Statistics (documents per word, number and mean length of documents) come from o
 all documents. A query is a text; its terms are all its words that some document has, unless a
 caller asks for the ``max_terms`` with the largest tf * idf. A shard is some documents of one task, cut at
 ``shard_postings`` or ``shard_docs``: posting lists by term, the terms of every document, and
-for the terms in many documents their impacts as a matrix. The frequent terms of many queries
-are one product of matrices in short numbers, the other terms are added up list by list, and
-what may reach the k-th best score, with room for rounding, is scored once more, whole, from
+for the terms in many documents of a kind their impacts as a matrix. Documents and queries with
+many words in common are of a kind. Terms that many queries of a kind ask for are one product of
+matrices in short numbers, the other terms are added up list by list, and what may reach the k-th best score, with room for rounding, is scored once more, whole, from
 the terms of the document. Impacts use the statistics of all documents, so the top k of the
 shards merge exactly.
 
 Before the run over all documents come runs over one document in ``SEEDS[i]``, each of which
 gives every query a score that k documents reach. No document below it can be among the best,
 so the next run starts there, and a run gives a few times k rows a query, however many shards.
+The documents of the last seeds are told by their content and not searched again.
 
 Queries are broadcast in blocks of about ``terms_per_block`` terms and ``queries_per_block``
-queries; more of them mean more passes.
+queries. A shard is indexed once and answers one block after another, so a run is one pass.
 
 Score: sum over terms of idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * length / mean)) with
 idf = ln(1 + (N - df + 0.5) / (df + 0.5)). Ties go to the least doc_id, NULL last. NULL and
